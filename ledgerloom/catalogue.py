@@ -498,8 +498,8 @@ def _loaded(spark: SparkSession, d: str, table: str) -> DataFrame:
     )
     empty_rows = bank.select(*[no_value.alias(c) for c in untidy.columns])
     balances = b.given(spark, d, "customer").select(
-        F.col("c_custkey").alias("col a"), b.money("c_acctbal").alias("col b"),
-        b.money("c_acctbal").alias("col c"), F.lit(0).alias("col d"),
+        F.col("c_custkey").alias("col a"), F.expr(b.money("c_acctbal")).alias("col b"),
+        F.expr(b.money("c_acctbal")).alias("col c"), F.lit(0).alias("col d"),
         F.lit("2024-01-01 00:00:00").alias("col e"), F.lit("note").alias("col f"),
     )
     paths = {

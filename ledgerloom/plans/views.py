@@ -110,22 +110,21 @@ def payment_revenue_summary(
     dim_branch: DataFrame,
 ) -> DataFrame:
     """Payment volume, fees and refunds by month, merchant category and channel."""
-    keys = ["time_key", "merchant_key", "channel_key", "branch_key"]
-    daily = payments.groupBy(*keys).agg(
-        _rows().alias("txn_count"), F.sum("txn_amount").alias("gross_amount"),
-        F.sum("fee_amount").alias("total_fee"), F.sum("refund_amount").alias("total_refund"),
-        F.sum("net_amount").alias("net_revenue"),
-    )
     named = (
-        daily.join(dim_time.select("time_key", "year", "quarter", "month"), "time_key")
+        payments.join(dim_time.select("time_key", "year", "quarter", "month"), "time_key")
         .join(dim_branch.select("branch_key", "region_name"), "branch_key")
         .join(dim_channel.select("channel_key", "channel_name"), "channel_key")
-        .join(dim_merchant.select("merchant_key", "merchant_category"), "merchant_key")
+    )
+    per_merchant = named.groupBy(
+        "year", "quarter", "month", "channel_name", "region_name", "merchant_key"
+    ).agg(
+        _rows().alias("txn_count"), F.sum("txn_amount").alias("gross_amount"),
+        F.sum("fee_amount").alias("total_fee"), F.sum("refund_amount").alias("total_refund"),
+        F.sum("net_amount").alias("net_revenue"),
     )
     return (
-        named.groupBy(
-            "year", "quarter", "month", "merchant_category", "channel_name", "region_name"
-        )
+        per_merchant.join(dim_merchant.select("merchant_key", "merchant_category"), "merchant_key")
+        .groupBy("year", "quarter", "month", "merchant_category", "channel_name", "region_name")
         .agg(
             _total("txn_count"), _total("gross_amount"), _total("total_fee"),
             _total("total_refund"), _total("net_revenue"),

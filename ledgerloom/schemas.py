@@ -6,6 +6,8 @@ Two star schemas live side by side: ``star`` (debt, e-wallet and payment facts,
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -254,6 +256,7 @@ FOREIGN_KEYS: dict[str, dict[str, str]] = {
 }
 
 
+@cache
 def struct_of(table: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[table])
 
@@ -263,6 +266,16 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], struct_of(table))
 
 
+def _default_sql(value: object) -> str:
+    if value is NOW:
+        return "current_timestamp()"
+    if value is TODAY:
+        return "current_date()"
+    if value is None:
+        return "NULL"
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Declared columns in declared order and type.
 
@@ -270,20 +283,13 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     that the frame does carry stays null.
     """
     defaults = DEFAULTS.get(table, {})
+    given = set(df.columns)
     columns = []
     for field in struct_of(table):
-        if field.name in df.columns:
-            value = F.col(field.name)
-        else:
-            default = defaults.get(field.name)
-            if default is NOW:
-                value = F.current_timestamp()
-            elif default is TODAY:
-                value = F.current_date()
-            else:
-                value = F.lit(default)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+        name, kind = field.name, field.dataType.simpleString()
+        value = f"`{name}`" if name in given else _default_sql(defaults.get(name))
+        columns.append(f"CAST({value} AS {kind}) AS `{name}`")
+    return df.selectExpr(*columns)
 
 
 def unknown_member(spark: SparkSession, table: str) -> DataFrame:

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # call-site capture costs several driver round trips per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

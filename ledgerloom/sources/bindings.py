@@ -1,84 +1,97 @@
 """The driver's test tables seen as the source tables of the three businesses.
 
 Projections only, apart from the region of a merchant, so that a query over
-them grows with the given tables and the check SQL can repeat them.
+them grows with the given tables and the check SQL can repeat them. They are
+written as SQL expressions: the driver then builds each one in a single call.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerloom import schemas
-from ledgerloom.functions.measures import risk_bucket
-from ledgerloom.functions.text import padded_id
-from ledgerloom.sources.seeds import WALLET_OFFSET, kyc_tier
 
 WIDTH = 12
 BRANCHES = 25
 EPOCH = "1995-01-01"  # time_key 1 of the bound facts
 
 
+@cache
+def _columns_of(path: str) -> T.StructType:
+    """The schema in the file's footer, read once per table."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def given(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(_columns_of(path)).parquet(path)
+
+
+def padded(prefix: str, number: str, width: int = WIDTH) -> str:
+    return f"concat('{prefix}', lpad(CAST({number} AS STRING), {width}, '0'))"
+
 
+def money(value: str) -> str:
+    return f"CAST({value} AS DECIMAL(18,2))"
 
-def money(value: str | Column) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return value.cast("decimal(18,2)")
 
+def cif(number: str) -> str:
+    return padded("CIF", number)
 
-def cif(number: str | Column) -> Column:
-    return padded_id("CIF", number, WIDTH)
 
+def wallet(number: str) -> str:
+    return padded("W", f"{number} + 500")
 
-def wallet(number: Column) -> Column:
-    return padded_id("W", number + WALLET_OFFSET, WIDTH)
 
+def branch(number: str) -> str:
+    return padded("BR", f"{number} % {BRANCHES}", 2)
 
-def branch(number: Column) -> Column:
-    return padded_id("BR", number % BRANCHES, 2)
 
+def day_number(ts: str) -> str:
+    return f"CAST(datediff({ts}, DATE '{EPOCH}') + 1 AS BIGINT)"
 
-def day_number(ts: str) -> Column:
-    return (F.datediff(F.col(ts), F.lit(EPOCH).cast("date")) + 1).cast("bigint")
+
+def bind(df: DataFrame, table: str, **columns: str) -> DataFrame:
+    """``df`` in the shape of a declared table, one SQL expression per column."""
+    return schemas.conform(
+        df.selectExpr(*[f"{text} AS `{name}`" for name, text in columns.items()]), table
+    )
 
 
 def bank_customer(spark: SparkSession, d: str) -> DataFrame:
     """Every eleventh customer lacks the national id and falls back to the phone."""
-    n = F.col("c_custkey")
-    return schemas.conform(
-        given(spark, d, "customer").select(
-            cif(n).alias("cif"),
-            F.concat(F.lit(" "), F.lower("c_name"), F.lit(" ")).alias("full_name"),
-            F.when(n % 11 != 7, padded_id("0", n, WIDTH)).alias("national_id"),
-            padded_id("09-", n, WIDTH).alias("phone"),
-            F.lit(EPOCH).cast("timestamp").alias("created_at"),
-        ),
-        "corebank.customer",
+    return bind(
+        given(spark, d, "customer"), "corebank.customer",
+        cif=cif("c_custkey"),
+        full_name="concat(' ', lower(c_name), ' ')",
+        national_id=f"CASE WHEN c_custkey % 11 <> 7 THEN {padded('0', 'c_custkey')} END",
+        phone=padded("09-", "c_custkey"),
+        created_at=f"TIMESTAMP '{EPOCH}'",
     )
 
 
 def mortgage_loan(spark: SparkSession, d: str) -> DataFrame:
-    return schemas.conform(
-        given(spark, d, "orders").select(
-            padded_id("LN", "o_orderkey", WIDTH).alias("contract_no"),
-            cif("o_custkey").alias("cif"),
-            branch(F.col("o_custkey")).alias("branch_code"),
-            F.when(F.col("o_orderpriority").startswith("1"), "MORTGAGE")
-            .otherwise("HOME_EQUITY").alias("product_type"),
-            money("o_totalprice").alias("principal_amount"),
-            ((F.col("o_orderkey") % 900) / 10000).alias("interest_rate"),
-            F.when(F.col("o_orderstatus") == "F", F.lit(0))
-            .otherwise(money("o_totalprice")).alias("total_outstanding"),
-            F.to_date("o_orderdate").alias("disbursement_date"),
-            F.date_add("o_orderdate", 3650).alias("maturity_date"),
-            F.when(F.col("o_orderstatus") == "F", "CLOSED").otherwise("ACTIVE").alias("status"),
-        ),
-        "corebank.mortgage_loan",
+    return bind(
+        given(spark, d, "orders"), "corebank.mortgage_loan",
+        contract_no=padded("LN", "o_orderkey"),
+        cif=cif("o_custkey"),
+        branch_code=branch("o_custkey"),
+        product_type=PRODUCT,
+        principal_amount=money("o_totalprice"),
+        interest_rate="(o_orderkey % 900) / 10000",
+        total_outstanding=f"CASE WHEN o_orderstatus = 'F' THEN 0 ELSE {money('o_totalprice')} END",
+        disbursement_date="to_date(o_orderdate)",
+        maturity_date="date_add(o_orderdate, 3650)",
+        status="CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'ACTIVE' END",
     )
 
 
+PRODUCT = "CASE WHEN o_orderpriority LIKE '1%' THEN 'MORTGAGE' ELSE 'HOME_EQUITY' END"
+
+
 def wallet_account(spark: SparkSession, d: str) -> DataFrame:
     """One account per user of the event stream.
 
@@ -86,140 +99,104 @@ def wallet_account(spark: SparkSession, d: str) -> DataFrame:
     two of them the same one; the next third has no national id, and of those
     some share a bank phone and some have no phone at all.
     """
-    n = F.col("user_id")
-    users = given(spark, d, "events").select("user_id").distinct()
-    return schemas.conform(
-        users.select(
-            n.alias("account_id"),
-            wallet(n).alias("user_id"),
-            F.when((n % 3 == 1) & (n % 5 == 0), F.lit(None))
-            .when((n % 3 == 1) & (n % 2 == 0), padded_id("(09) ", n, WIDTH))
-            .otherwise(padded_id("08", n, WIDTH)).alias("phone_number"),
-            F.concat(F.lit("wallet user "), n.cast("string")).alias("full_name"),
-            F.when(n % 3 == 0, padded_id("0", n - n % 6, WIDTH))
-            .when(n % 3 == 2, padded_id("1", n, WIDTH)).alias("national_id"),
-            F.when(n % 20 == 0, "SUSPENDED").otherwise("ACTIVE").alias("account_status"),
-            kyc_tier(n).alias("kyc_level"),
-            branch(n).alias("branch_code"),
-            F.lit(EPOCH).cast("timestamp").alias("created_at"),
-        ),
-        "ewallet.account",
+    users = given(spark, d, "events").selectExpr("user_id AS n").distinct()
+    return bind(
+        users, "ewallet.account",
+        account_id="n",
+        user_id=wallet("n"),
+        phone_number=f"""CASE WHEN n % 3 = 1 AND n % 5 = 0 THEN NULL
+            WHEN n % 3 = 1 AND n % 2 = 0 THEN {padded('(09) ', 'n')} ELSE {padded('08', 'n')} END""",
+        full_name="concat('wallet user ', CAST(n AS STRING))",
+        national_id=f"""CASE n % 3 WHEN 0 THEN {padded('0', 'n - n % 6')}
+            WHEN 2 THEN {padded('1', 'n')} END""",
+        account_status="CASE WHEN n % 20 = 0 THEN 'SUSPENDED' ELSE 'ACTIVE' END",
+        kyc_level="""CASE WHEN n % 3 = 0 THEN 'ADVANCED' WHEN n % 2 = 0 THEN 'STANDARD'
+            ELSE 'BASIC' END""",
+        branch_code=branch("n"),
+        created_at=f"TIMESTAMP '{EPOCH}'",
     )
 
 
-def _wallet_txn_type() -> Column:
-    kind = F.col("event_type")
-    return (
-        F.when(kind == "click", "PAYMENT").when(kind == "error", "TRANSFER")
-        .when(kind == "purchase", "TOP_UP").when(kind == "signup", "WITHDRAW")
-        .otherwise("withdrawal")
-    )
+WALLET_TXN_TYPE = """CASE event_type WHEN 'click' THEN 'PAYMENT' WHEN 'error' THEN 'TRANSFER'
+    WHEN 'purchase' THEN 'TOP_UP' WHEN 'signup' THEN 'WITHDRAW' ELSE 'withdrawal' END"""
+WALLET_AMOUNT = f"{money('value')} * 20"
+WALLET_FEE = f"{money('event_id % 300')} / 100"
 
 
 def wallet_transaction(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("event_id")
-    return schemas.conform(
-        given(spark, d, "events").select(
-            n.alias("txn_id"),
-            F.col("user_id").alias("account_id"),
-            _wallet_txn_type().alias("txn_type"),
-            (money("value") * 20).alias("txn_amount"),
-            (money(n % 300) / 100).alias("fee_amount"),
-            F.when(n % 10 == 0, "FAILED").when(n % 10 == 1, "PENDING").otherwise("SUCCESS")
-            .alias("txn_status"),
-            F.col("ts").cast("timestamp").alias("txn_date"),
-            branch(F.col("user_id")).alias("branch_code"),
-        ),
-        "ewallet.transaction",
+    return bind(
+        given(spark, d, "events"), "ewallet.transaction",
+        txn_id="event_id",
+        account_id="user_id",
+        txn_type=WALLET_TXN_TYPE,
+        txn_amount=WALLET_AMOUNT,
+        fee_amount=WALLET_FEE,
+        txn_status="""CASE event_id % 10 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'PENDING'
+            ELSE 'SUCCESS' END""",
+        txn_date="ts",
+        branch_code=branch("user_id"),
     )
 
 
 def merchant(spark: SparkSession, d: str) -> DataFrame:
-    nation = given(spark, d, "nation").join(
-        given(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    supplier = given(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    n = F.col("s_suppkey")
-    return schemas.conform(
-        supplier.select(
-            n.alias("merchant_id"),
-            padded_id("M", n, WIDTH).alias("merchant_code"),
-            F.col("s_name").alias("merchant_name"),
-            F.element_at(
-                F.array(*[F.lit(c) for c in ("RETAIL", "FOOD", "TRAVEL", "EDUCATION", "HEALTHCARE")]),
-                (n % 5 + 1).cast("int"),
-            ).alias("merchant_category"),
-            branch(F.col("s_nationkey")).alias("branch_code"),
-            F.col("r_name").alias("region"),
-        ),
-        "payment.merchant",
-    )
-
-
-def _line_id() -> Column:
-    names = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return F.concat_ws("-", F.lit("P"), *[F.col(c).cast("string") for c in names])
-
-
-def _line_amount() -> Column:
-    """Some amounts are negative, zero or missing."""
-    price = money("l_extendedprice")
-    return (
-        F.when((F.col("l_quantity") == 48) & (F.col("l_linestatus") == "F"), -price)
-        .when((F.col("l_quantity") == 49) & (F.col("l_linestatus") == "F"), F.lit(0))
-        .when((F.col("l_quantity") == 47) & (F.col("l_linestatus") == "F"), F.lit(None))
-        .otherwise(price)
+    nation = given(spark, d, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    places = nation.join(given(spark, d, "region"), "r_regionkey")
+    supplier = given(spark, d, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+    return bind(
+        supplier.join(places, "n_nationkey"), "payment.merchant",
+        merchant_id="s_suppkey",
+        merchant_code=padded("M", "s_suppkey"),
+        merchant_name="s_name",
+        merchant_category="""element_at(array('RETAIL', 'FOOD', 'TRAVEL', 'EDUCATION', 'HEALTHCARE'),
+            CAST(s_suppkey % 5 + 1 AS INT))""",
+        branch_code=branch("n_nationkey"),
+        region="r_name",
     )
 
 
-def _line_merchant() -> Column:
-    return F.when(F.col("l_suppkey") % 50 != 7, padded_id("Supplier#", "l_suppkey", 9))
-
-
-def _older_merchant() -> Column:
-    """The merchant column of the older event shape, partly with names of its own."""
-    return F.when(F.col("l_linenumber") == 7, padded_id("Kiosk#", "l_suppkey", 9)).otherwise(
-        _line_merchant()
-    )
+LINE_ID = "concat_ws('-', 'P', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+LINE_PRICE = money("l_extendedprice")
+# some amounts are negative, zero or missing
+LINE_AMOUNT = f"""CASE WHEN l_linestatus = 'F' AND l_quantity = 48 THEN -{LINE_PRICE}
+    WHEN l_linestatus = 'F' AND l_quantity = 49 THEN 0
+    WHEN l_linestatus = 'F' AND l_quantity = 47 THEN NULL ELSE {LINE_PRICE} END"""
+LINE_MERCHANT = f"CASE WHEN l_suppkey % 50 <> 7 THEN {padded('Supplier#', 'l_suppkey', 9)} END"
+# the merchant column of the older event shape has names of its own
+OLDER_MERCHANT = f"""CASE WHEN l_linenumber = 7 THEN {padded('Kiosk#', 'l_suppkey', 9)}
+    ELSE {LINE_MERCHANT} END"""
 
 
 def payment_events(spark: SparkSession, d: str) -> DataFrame:
     """Payment events; part numbers beyond the customers leave them unresolved."""
-    return schemas.conform(
-        given(spark, d, "lineitem").select(
-            _line_id().alias("event_id"),
-            F.lit("PAYMENT").alias("source_system"),
-            cif("l_partkey").alias("cif"),
-            _line_merchant().alias("merchant_name"),
-            _line_amount().alias("base_amount"),
-            F.lit("USD").alias("currency"),
-            F.col("l_shipdate").cast("timestamp").alias("timestamp"),
-            F.col("l_partkey").alias("account_id"),
-            _line_amount().alias("amount"),
-            F.when(F.col("l_returnflag") == "R", "TRANSFER").otherwise("PAYMENT").alias("txn_type"),
-            _older_merchant().alias("merchant"),
-            ((F.col("l_linenumber") == 1) & (F.col("l_discount") > 0.05)).cast("int")
-            .alias("is_fraud_flag"),
-        ),
-        "public.realtime_transactions",
+    return bind(
+        given(spark, d, "lineitem"), "public.realtime_transactions",
+        event_id=LINE_ID,
+        source_system="'PAYMENT'",
+        cif=cif("l_partkey"),
+        merchant_name=LINE_MERCHANT,
+        base_amount=LINE_AMOUNT,
+        currency="'USD'",
+        timestamp="l_shipdate",
+        account_id="l_partkey",
+        amount=LINE_AMOUNT,
+        txn_type="CASE WHEN l_returnflag = 'R' THEN 'TRANSFER' ELSE 'PAYMENT' END",
+        merchant=OLDER_MERCHANT,
+        is_fraud_flag="CAST(l_linenumber = 1 AND l_discount > 0.05D AS INT)",
     )
 
 
 def wallet_events(spark: SparkSession, d: str) -> DataFrame:
     """Wallet events; some wallets are unknown and some rows name an unknown source."""
-    n = F.col("event_id")
-    strayed = F.when(n % 7 == 0, F.col("user_id") + 1000000000).otherwise(F.col("user_id"))
-    return schemas.conform(
-        given(spark, d, "events").select(
-            F.concat(F.lit("E-"), n.cast("string")).alias("event_id"),
-            F.when((F.col("event_type") == "error") & (n % 10 == 0), "LEGACY")
-            .otherwise("EWALLET").alias("source_system"),
-            wallet(strayed).alias("wallet_id"),
-            money("value").alias("base_amount"),
-            F.lit("USD").alias("currency"),
-            F.col("ts").cast("timestamp").alias("timestamp"),
-        ),
-        "public.realtime_transactions",
+    user = "CASE WHEN event_id % 7 = 0 THEN user_id + 1000000000 ELSE user_id END"
+    return bind(
+        given(spark, d, "events"), "public.realtime_transactions",
+        event_id="concat('E-', CAST(event_id AS STRING))",
+        source_system="""CASE WHEN event_type = 'error' AND event_id % 10 = 0 THEN 'LEGACY'
+            ELSE 'EWALLET' END""",
+        wallet_id=wallet(user),
+        base_amount=money("value"),
+        currency="'USD'",
+        timestamp="ts",
     )
 
 
@@ -233,220 +210,182 @@ def raw_events(spark: SparkSession, d: str) -> DataFrame:
     By the number of its payload: broken JSON, text in the amount, a bad
     timestamp. The payload also carries fields that the parser drops.
     """
-    lines = given(spark, d, "lineitem").select(
-        _line_id().alias("event_id"), F.lit("PAYMENT").alias("source_system"),
-        cif("l_partkey").alias("cif"), F.lit(None).cast("string").alias("wallet_id"),
-        _line_merchant().alias("merchant_name"), F.col("l_extendedprice").alias("amount"),
-        F.col("l_shipdate").alias("at"), F.col("l_partkey").alias("n"),
-    )
-    clicks = given(spark, d, "events").select(
-        F.concat(F.lit("E-"), F.col("event_id").cast("string")).alias("event_id"),
-        F.lit("EWALLET").alias("source_system"),
-        F.lit(None).cast("string").alias("cif"), wallet(F.col("user_id")).alias("wallet_id"),
-        F.lit(None).cast("string").alias("merchant_name"), F.col("value").alias("amount"),
-        F.col("ts").alias("at"), F.col("event_id").alias("n"),
-    )
-    n = F.col("n")
-    amount = F.when(n % 89 == 1, F.lit("many")).otherwise(money("amount").cast("string"))
-    at = F.when(n % 83 == 1, F.lit("soon")).otherwise(
-        F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+    def payload(n: str, amount: str, at: str, **texts: str) -> str:
+        """JSON text; a field whose value is null is left out."""
+        fields = [
+            f"""coalesce(concat('"{name}":"', {value}, '",'), '')""" for name, value in texts.items()
+        ]
+        number = f"""CASE WHEN {n} % 89 = 1 THEN '"many"' ELSE CAST({money(amount)} AS STRING) END"""
+        stamp = f"""CASE WHEN {n} % 83 = 1 THEN 'soon'
+            ELSE date_format({at}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END"""
+        body = ", ".join(fields)
+        return f"""CASE WHEN {n} % 97 = 1 THEN '{{broken' ELSE concat('{{', {body},
+            '"currency":"USD","card_bin":"450630XXXX","base_amount":', {number},
+            ',"timestamp":"', {stamp}, '"}}') END AS value"""
+
+    lines = given(spark, d, "lineitem").selectExpr(
+        payload(
+            "l_partkey", "l_extendedprice", "l_shipdate", source_system="'PAYMENT'",
+            event_id=LINE_ID, cif=cif("l_partkey"), merchant_name=LINE_MERCHANT,
+        )
     )
-    payload = F.to_json(
-        F.struct(
-            "source_system", "event_id", "cif", "wallet_id", "merchant_name",
-            amount.alias("base_amount"), F.lit("USD").alias("currency"), at.alias("timestamp"),
-            F.lit("450630XXXX").alias("card_bin"),
+    clicks = given(spark, d, "events").selectExpr(
+        payload(
+            "event_id", "value", "ts", source_system="'EWALLET'",
+            event_id="concat('E-', CAST(event_id AS STRING))", wallet_id=wallet("user_id"),
         )
     )
-    # numbers are written without quotes, unlike the text that replaces some of them
-    payload = F.regexp_replace(payload, r'"base_amount":"([0-9.]+)"', r'"base_amount":$1')
-    value = F.when(n % 97 == 1, F.lit("{broken")).otherwise(payload)
-    return lines.unionByName(clicks).select(value.alias("value"))
+    return lines.unionByName(clicks)
+
+
+LINE_FEE = "CAST(l_quantity AS DECIMAL(10,0)) * CAST(l_tax AS DECIMAL(4,2))"
 
 
 def payment_transaction(spark: SparkSession, d: str) -> DataFrame:
-    fee = F.col("l_quantity").cast("decimal(10,0)") * F.col("l_tax").cast("decimal(4,2)")
-    return schemas.conform(
-        given(spark, d, "lineitem").select(
-            _line_id().alias("txn_id"),
-            F.col("l_suppkey").alias("merchant_id"),
-            cif("l_partkey").alias("customer_ref"),
-            money("l_extendedprice").alias("txn_amount"),
-            fee.alias("fee_amount"),
-            F.when(F.col("l_linestatus") == "O", "CARD").otherwise("QR_CODE").alias("payment_method"),
-            F.when(F.col("l_returnflag") == "R", "REFUNDED")
-            .when(F.col("l_returnflag") == "A", "FAILED").otherwise("SUCCESS").alias("txn_status"),
-            F.col("l_shipdate").cast("timestamp").alias("txn_date"),
-            F.date_add("l_shipdate", 1).alias("settlement_date"),
-            branch(F.col("l_suppkey")).alias("branch_code"),
-        ),
-        "payment.transaction",
+    return bind(
+        given(spark, d, "lineitem"), "payment.transaction",
+        txn_id=LINE_ID,
+        merchant_id="l_suppkey",
+        customer_ref=cif("l_partkey"),
+        txn_amount=LINE_PRICE,
+        fee_amount=LINE_FEE,
+        payment_method="CASE WHEN l_linestatus = 'O' THEN 'CARD' ELSE 'QR_CODE' END",
+        txn_status="CASE l_returnflag WHEN 'R' THEN 'REFUNDED' WHEN 'A' THEN 'FAILED' ELSE 'SUCCESS' END",
+        txn_date="l_shipdate",
+        settlement_date="date_add(l_shipdate, 1)",
+        branch_code=branch("l_suppkey"),
     )
 
 
 def payment_refund(spark: SparkSession, d: str) -> DataFrame:
-    """Two part refunds for each returned line, one of them still pending."""
-    returned = given(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
-    part = F.explode(F.array(F.lit("COMPLETED"), F.lit("PENDING")))
-    return schemas.conform(
-        returned.select(
-            F.concat(F.lit("R"), _line_id()).alias("refund_id"),
-            _line_id().alias("original_txn_id"),
-            money("l_quantity").alias("refund_amount"),
-            part.alias("refund_status"),
-            F.col("l_shipdate").cast("timestamp").alias("refund_date"),
-        ),
-        "payment.refund",
+    """Two refunds for each returned line, one of them still pending."""
+    returned = given(spark, d, "lineitem").where("l_returnflag = 'R'")
+    return bind(
+        returned, "payment.refund",
+        refund_id=f"concat('R', {LINE_ID})",
+        original_txn_id=LINE_ID,
+        refund_amount=money("l_quantity"),
+        refund_status="explode(array('COMPLETED', 'PENDING'))",
+        refund_date="l_shipdate",
     )
 
 
 def star_customer(spark: SparkSession, d: str) -> DataFrame:
     """The customer number takes all three forms that the daily loads join on."""
-    n = F.col("c_custkey")
-    return schemas.conform(
-        given(spark, d, "customer").select(
-            (n + 2).alias("customer_key"),
-            F.when(n % 3 == 0, n.cast("string")).when(n % 3 == 1, cif(n)).otherwise(wallet(n))
-            .alias("cif_number"),
-            F.col("c_name").alias("full_name"),
-            padded_id("0", n, WIDTH).alias("national_id"),
-            padded_id("09", n, WIDTH).alias("phone_number"),
-            F.lit(EPOCH).cast("date").alias("effective_date"),
-            F.when(n % 7 == 0, F.lit("2020-01-01").cast("date")).alias("expiry_date"),
-            (n % 7 != 0).alias("is_current"),
-        ),
-        "star.dim_customer",
+    return bind(
+        given(spark, d, "customer"), "star.dim_customer",
+        customer_key="c_custkey + 2",
+        cif_number=f"""CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS STRING)
+            WHEN 1 THEN {cif('c_custkey')} ELSE {wallet('c_custkey')} END""",
+        full_name="c_name",
+        national_id=padded("0", "c_custkey"),
+        phone_number=padded("09", "c_custkey"),
+        effective_date=f"DATE '{EPOCH}'",
+        expiry_date="CASE WHEN c_custkey % 7 = 0 THEN DATE '2020-01-01' END",
+        is_current="c_custkey % 7 <> 0",
     )
 
 
 def star_branch(spark: SparkSession, d: str) -> DataFrame:
-    nation = given(spark, d, "nation").join(
-        given(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    n = F.col("n_nationkey")
-    return schemas.conform(
-        nation.select(
-            (n + 1).alias("branch_key"),
-            F.when(n == 0, "MAIN").otherwise(padded_id("BR", n, 2)).alias("branch_code"),
-            F.col("n_name").alias("branch_name"),
-            F.col("r_name").alias("region_name"),
-        ),
-        "star.dim_branch",
+    nation = given(spark, d, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    return bind(
+        nation.join(given(spark, d, "region"), "r_regionkey"), "star.dim_branch",
+        branch_key="n_nationkey + 1",
+        branch_code=f"CASE WHEN n_nationkey = 0 THEN 'MAIN' ELSE {padded('BR', 'n_nationkey', 2)} END",
+        branch_name="n_name",
+        region_name="r_name",
     )
 
 
 def star_product(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("o_orderkey")
-    return schemas.conform(
-        given(spark, d, "orders").select(
-            (n + 1).alias("product_key"),
-            padded_id("LN", n, WIDTH).alias("contract_number"),
-            F.when(F.col("o_orderpriority").startswith("1"), "MORTGAGE")
-            .otherwise("HOME_EQUITY").alias("product_type"),
-            ((n % 900) / 10000).alias("interest_rate"),
-            F.date_add("o_orderdate", 3650).alias("maturity_date"),
-        ),
-        "star.dim_product",
+    return bind(
+        given(spark, d, "orders"), "star.dim_product",
+        product_key="o_orderkey + 1",
+        contract_number=padded("LN", "o_orderkey"),
+        product_type=PRODUCT,
+        interest_rate="(o_orderkey % 900) / 10000",
+        maturity_date="date_add(o_orderdate, 3650)",
     )
 
 
 def star_merchant(spark: SparkSession, d: str) -> DataFrame:
-    return schemas.conform(
-        merchant(spark, d).withColumn("merchant_key", F.col("merchant_id") + 1), "star.dim_merchant"
-    )
+    rows = merchant(spark, d).selectExpr("*", "merchant_id + 1 AS merchant_key")
+    return schemas.conform(rows, "star.dim_merchant")
 
 
 def star_channel(spark: SparkSession, d: str) -> DataFrame:
     """One channel per type of event in the stream."""
-    code = (
-        F.when(F.col("event_type") == "click", "EWALLET").when(F.col("event_type") == "error", "CARD")
-        .when(F.col("event_type") == "purchase", "QR_CODE")
-        .when(F.col("event_type") == "signup", "BANK_TRANSFER").otherwise("ATM")
+    codes = given(spark, d, "events").select("event_type").distinct().selectExpr(
+        """CASE event_type WHEN 'click' THEN 'EWALLET' WHEN 'error' THEN 'CARD'
+        WHEN 'purchase' THEN 'QR_CODE' WHEN 'signup' THEN 'BANK_TRANSFER' ELSE 'ATM' END AS code"""
     )
-    kinds = given(spark, d, "events").select("event_type").distinct().select(code.alias("channel_code"))
-    order = F.array(*[F.lit(c) for c in ("EWALLET", "CARD", "QR_CODE", "BANK_TRANSFER", "ATM")])
-    return schemas.conform(
-        kinds.select(
-            F.array_position(order, F.col("channel_code")).alias("channel_key"),
-            "channel_code",
-            F.initcap("channel_code").alias("channel_name"),
-            F.when(F.col("channel_code") == "ATM", "PHYSICAL").otherwise("DIGITAL").alias("channel_type"),
-            F.lit("PAYMENT").alias("product_line"),
-        ),
-        "star.dim_channel",
+    return bind(
+        codes, "star.dim_channel",
+        channel_key="array_position(array('EWALLET', 'CARD', 'QR_CODE', 'BANK_TRANSFER', 'ATM'), code)",
+        channel_code="code",
+        channel_name="initcap(code)",
+        channel_type="CASE WHEN code = 'ATM' THEN 'PHYSICAL' ELSE 'DIGITAL' END",
+        product_line="'PAYMENT'",
     )
 
 
 def debt_fact(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("o_orderkey")
-    late = (n % 120).cast("int")
-    return schemas.conform(
-        given(spark, d, "orders").select(
-            (F.col("o_custkey") + 2).alias("customer_key"),
-            (F.col("o_custkey") % BRANCHES + 1).alias("branch_key"),
-            (n + 1).alias("product_key"),
-            day_number("o_orderdate").alias("time_key"),
-            money("o_totalprice").alias("principal_amount"),
-            (money(n % 700) / 100).alias("interest_amount"),
-            F.when(F.col("o_custkey") % BRANCHES == 3, F.lit(0))
-            .otherwise(money("o_totalprice")).alias("total_outstanding"),
-            late.alias("days_past_due"),
-            risk_bucket(late).alias("risk_bucket"),
-        ),
-        "star.fact_debt_status",
+    days = "CAST(o_orderkey % 120 AS INT)"
+    return bind(
+        given(spark, d, "orders"), "star.fact_debt_status",
+        customer_key="o_custkey + 2",
+        branch_key=f"o_custkey % {BRANCHES} + 1",
+        product_key="o_orderkey + 1",
+        time_key=day_number("o_orderdate"),
+        principal_amount=money("o_totalprice"),
+        interest_amount=f"{money('o_orderkey % 700')} / 100",
+        total_outstanding=f"""CASE WHEN o_custkey % {BRANCHES} = 3 THEN 0
+            ELSE {money('o_totalprice')} END""",
+        days_past_due=days,
+        risk_bucket=f"""CASE WHEN {days} <= 0 THEN 'CURRENT' WHEN {days} <= 30 THEN '1-30 DPD'
+            WHEN {days} <= 60 THEN '31-60 DPD' WHEN {days} <= 90 THEN '61-90 DPD' ELSE 'NPL' END""",
     )
 
 
 def wallet_fact(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("event_id")
-    amount = (money("value") * 20).cast("decimal(18,2)")
-    fee = (money(n % 300) / 100).cast("decimal(18,2)")
-    return schemas.conform(
-        given(spark, d, "events").select(
-            (F.col("user_id") + 2).alias("customer_key"),
-            (F.col("user_id") % BRANCHES + 1).alias("branch_key"),
-            day_number("ts").alias("time_key"),
-            (n % 5 + 1).alias("channel_key"),
-            amount.alias("txn_amount"),
-            fee.alias("fee_amount"),
-            (amount - fee).alias("net_amount"),
-            _wallet_txn_type().alias("txn_type"),
-            F.when(n % 10 == 0, "FAILED").otherwise("SUCCESS").alias("txn_status"),
-        ),
-        "star.fact_ewallet_transaction",
+    return bind(
+        given(spark, d, "events"), "star.fact_ewallet_transaction",
+        customer_key="user_id + 2",
+        branch_key=f"user_id % {BRANCHES} + 1",
+        time_key=day_number("ts"),
+        channel_key="event_id % 5 + 1",
+        txn_amount=WALLET_AMOUNT,
+        fee_amount=WALLET_FEE,
+        net_amount=f"{WALLET_AMOUNT} - {WALLET_FEE}",
+        txn_type=WALLET_TXN_TYPE,
+        txn_status="CASE WHEN event_id % 10 = 0 THEN 'FAILED' ELSE 'SUCCESS' END",
     )
 
 
 def payment_fact(spark: SparkSession, d: str) -> DataFrame:
     """Keys run a little beyond the dimensions, so the key reports find orphans."""
-    amount = money("l_extendedprice")
-    fee = F.col("l_quantity").cast("decimal(10,0)") * F.col("l_tax").cast("decimal(4,2)")
-    returned = F.col("l_returnflag") == "R"
-    return schemas.conform(
-        given(spark, d, "lineitem").select(
-            (F.col("l_partkey") + 2).alias("customer_key"),
-            (F.col("l_suppkey") + 1).alias("merchant_key"),
-            (F.col("l_suppkey") % (BRANCHES + 1) + 1).alias("branch_key"),
-            day_number("l_shipdate").alias("time_key"),
-            (F.col("l_linenumber") % 6 + 1).cast("bigint").alias("channel_key"),
-            amount.alias("txn_amount"),
-            fee.alias("fee_amount"),
-            (amount - fee).alias("net_amount"),
-            F.when(returned, amount).otherwise(F.lit(0)).alias("refund_amount"),
-            F.when(F.col("l_linestatus") == "O", "CARD").otherwise("QR_CODE").alias("payment_method"),
-            F.when(returned, "REFUNDED").otherwise("SUCCESS").alias("txn_status"),
-        ),
-        "star.fact_payment_transaction",
+    return bind(
+        given(spark, d, "lineitem"), "star.fact_payment_transaction",
+        customer_key="l_partkey + 2",
+        merchant_key="l_suppkey + 1",
+        branch_key=f"l_suppkey % {BRANCHES + 1} + 1",
+        time_key=day_number("l_shipdate"),
+        channel_key="l_linenumber % 6 + 1",
+        txn_amount=LINE_PRICE,
+        fee_amount=LINE_FEE,
+        net_amount=f"{LINE_PRICE} - {LINE_FEE}",
+        refund_amount=f"CASE WHEN l_returnflag = 'R' THEN {LINE_PRICE} ELSE 0 END",
+        payment_method="CASE WHEN l_linestatus = 'O' THEN 'CARD' ELSE 'QR_CODE' END",
+        txn_status="CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE 'SUCCESS' END",
     )
 
 
 def date_bounds(spark: SparkSession, d: str) -> DataFrame:
     """First and last day that any bound fact can carry, as one row."""
-    days = [
-        given(spark, d, table).agg(F.max(F.to_date(column)).alias("last_day"))
-        for table, column in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
-    ]
-    ends = days[0].unionByName(days[1]).unionByName(days[2])
-    return ends.agg(F.max("last_day").alias("last_day")).withColumn(
-        "first_day", F.lit(EPOCH).cast("date")
+    orders = given(spark, d, "orders").selectExpr("max(o_orderdate) AS ts")
+    lines = given(spark, d, "lineitem").selectExpr("max(l_shipdate) AS ts")
+    events = given(spark, d, "events").selectExpr("max(ts) AS ts")
+    return orders.unionByName(lines).unionByName(events).selectExpr(
+        f"DATE '{EPOCH}' AS first_day", "to_date(max(ts)) AS last_day"
     )
