@@ -47,7 +47,7 @@ class Warehouse:
 
     def replace_day(self, table: str, rows: DataFrame, column: str, value: object,
                     row_id: str | None = None) -> None:
-        """Replace one partition; the row ids of a day start at a multiple of its own."""
+        """Replace one partition, with row ids of the day's own range when asked for."""
         rows = schemas.conform(rows, table)
         if row_id:
             rows = serial_ids(rows, row_id, start=_first_id(value))
@@ -55,11 +55,12 @@ class Warehouse:
 
 
 def _first_id(ds: object) -> int:
-    """Row ids of a day: the day number above 2**49, so days never collide.
+    """Row ids of a day start at its number since 2000 times 2**48.
 
-    That leaves 2**16 partitions of 2**33 rows to a day.
+    Days cannot collide as long as one write has fewer than 2**15 tasks, since a
+    task owns 2**33 ids.
     """
-    return dt.date.fromisoformat(str(ds)).toordinal() - 719162 << 49 if ds is not None else 1
+    return (dt.date.fromisoformat(str(ds)) - dt.date(2000, 1, 1)).days << 48
 
 
 def load_dimensions(w: Warehouse) -> None:

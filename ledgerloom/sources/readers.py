@@ -73,8 +73,11 @@ def jdbc_append(df: DataFrame, url: str, table: str, **options) -> None:
 
 
 def declared_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A declared table from ``root/<table>``, read with its declared columns.
+    """The declared columns of the table in ``root/<table>``.
 
-    Columns added to the declaration later read as null from older files.
+    Columns added to the declaration later read as null from older files, and
+    columns that only name sub-folders are left out.
     """
-    return spark.read.schema(schemas.struct_of(table)).parquet(f"{root.rstrip('/')}/{table}")
+    declared = schemas.struct_of(table)
+    rows = spark.read.schema(declared).parquet(f"{root.rstrip('/')}/{table}")
+    return rows.select(*declared.names)
