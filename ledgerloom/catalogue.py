@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions.measures import risk_bucket
 from ledgerloom.operators import quality, tables
-from ledgerloom.plans import dims, facts, fraud, monitor, views
+from ledgerloom.operators.tables import stored
+from ledgerloom.plans import daily, dims, facts, fraud, monitor, views
 from ledgerloom.session import scratch_path, use_utc
 from ledgerloom.sources import bindings as b
 from ledgerloom.sources import files, seeds
@@ -55,27 +56,18 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder, as the daily load keeps it.
-
-    A dimension that several steps read is computed once, and its size is known
-    to the joins that follow.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _customers(spark: SparkSession, d: str) -> DataFrame:
-    return dims.customer_dimension(b.bank_customer(spark, d), b.wallet_account(spark, d))
+    return dims.customer_dimension(b.bank_customer(spark, d), b.wallet_account(spark, d), stored)
 
 
 def _merchants(spark: SparkSession, d: str) -> DataFrame:
-    return dims.merchant_dimension(b.realtime_transactions(spark, d))
+    return dims.merchant_dimension(b.realtime_transactions(spark, d), stored)
 
 
 def _products(spark: SparkSession, d: str, customers: DataFrame) -> DataFrame:
-    return dims.product_dimension(b.wallet_account(spark, d), b.mortgage_loan(spark, d), customers)
+    return dims.product_dimension(
+        b.wallet_account(spark, d), b.mortgage_loan(spark, d), customers, stored
+    )
 
 
 def _calendar(spark: SparkSession, d: str) -> DataFrame:
@@ -119,7 +111,9 @@ def dim_customer_keeping_keys(spark: SparkSession, d: str) -> DataFrame:
     """The wallets arrive after a first load of the bank customers alone."""
     bank = b.bank_customer(spark, d)
     first = dims.customer_dimension(bank, schemas.empty(spark, "ewallet.account"))
-    return dims.customer_dimension_keeping_keys(bank, b.wallet_account(spark, d), first)
+    return dims.customer_dimension_keeping_keys(
+        bank, b.wallet_account(spark, d), stored(first), stored
+    )
 
 
 @query
@@ -173,6 +167,58 @@ def fact_enterprise(spark: SparkSession, d: str) -> DataFrame:
     return _enterprise(spark, d)
 
 
+def _warehouse(spark: SparkSession, d: str) -> daily.Warehouse:
+    """A warehouse that holds the source tables."""
+    w = daily.Warehouse(spark, scratch_path(spark, "warehouse"))
+    w.reload("corebank.customer", b.bank_customer(spark, d))
+    w.reload("corebank.mortgage_loan", b.mortgage_loan(spark, d))
+    w.reload("ewallet.account", b.wallet_account(spark, d))
+    w.reload("public.realtime_transactions", b.realtime_transactions(spark, d))
+    return w
+
+
+def _after_daily_runs(spark: SparkSession, d: str) -> daily.Warehouse:
+    """Two days, the first of them loaded twice."""
+    w = _warehouse(spark, d)
+    daily.load_dimensions(w)
+    for ds in (LOAN_DAY, PAYMENT_DAY, LOAN_DAY):
+        daily.load_enterprise_facts(w, ds)
+        daily.monitor_quality(w, ds)
+    return w
+
+
+@query
+def daily_run(spark: SparkSession, d: str) -> DataFrame:
+    return _after_daily_runs(spark, d).stored("mdm.fact_enterprise_transaction").drop("fact_id")
+
+
+@query
+def daily_run_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    log = _after_daily_runs(spark, d).stored("mdm.dq_quarantine_log")
+    return log.select("source_system", "error_type", "log_date")
+
+
+@query
+def star_day_run(spark: SparkSession, d: str) -> DataFrame:
+    """The older daily loads over stored dimensions, one day loaded twice."""
+    w = _warehouse(spark, d)
+    w.reload("ewallet.transaction", b.wallet_transaction(spark, d))
+    w.reload("star.dim_time", _calendar(spark, d))
+    w.reload("star.dim_customer", b.star_customer(spark, d))
+    w.reload("star.dim_branch", b.star_branch(spark, d))
+    w.reload("star.dim_merchant", b.star_merchant(spark, d))
+    for _ in range(2):
+        daily.run_star_day(w, LOAN_DAY)
+    debt = w.table("star.fact_debt_status").select(
+        F.lit("debt").alias("fact"), "time_key", "customer_key",
+        F.col("total_outstanding").alias("amount"),
+    )
+    payment = w.table("star.fact_payment_transaction").select(
+        F.lit("payment").alias("fact"), "time_key", "customer_key", F.col("txn_amount").alias("amount")
+    )
+    return debt.unionByName(payment)
+
+
 @query
 def enterprise_summary(spark: SparkSession, d: str) -> DataFrame:
     """Rows and amounts by source and by what is known about the customer."""
@@ -221,6 +267,18 @@ def replace_day(spark: SparkSession, d: str) -> DataFrame:
     return tables.read(spark, path)
 
 
+@query
+def clear_day(spark: SparkSession, d: str) -> DataFrame:
+    """The same table with the day deleted."""
+    path = scratch_path(spark, "clear-day")
+    rows = b.wallet_events(spark, d).select(
+        "event_id", "base_amount", F.to_date("timestamp").alias("trans_date")
+    )
+    tables.overwrite(rows, path, "trans_date")
+    tables.clear_partition(spark, path, "trans_date", EVENT_DAY)
+    return tables.read(spark, path)
+
+
 @query
 def insert_ignore(spark: SparkSession, d: str) -> DataFrame:
     """National ids of the wallets that an insert into the bank's would add."""

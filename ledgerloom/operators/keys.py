@@ -28,6 +28,8 @@ def assign_keys(
     partition after a lost executor gets the same keys again.
 
     The only broadcast is the offset table, at most ``16 ** hex_digits`` rows.
+    ``df`` is read twice, once for its natural key alone; give a stored frame
+    when it is costly to compute.
     """
     bucketed = df.withColumn("_bucket", key_bucket(natural, hex_digits))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -94,16 +94,25 @@ def clear_partition(spark: SparkSession, path: str, column: str, value: object)
     replace_partition(spark.createDataFrame([], schema), path, column, value)
 
 
+def stored(df: DataFrame, label: str = "step") -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For a frame that several steps read: it is computed once, its size is known
+    to the joins that follow, and a lost executor costs no recomputation of what
+    came before.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return read(df.sparkSession, path, df.schema)
+
+
 def rewrite(kept: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Overwrite a table with a plan that reads the same table.
 
     The rows are written to the shared folder first and copied from there, so
     the overwrite never reads what it replaces.
     """
-    spark = kept.sparkSession
-    copy = scratch_path(spark, "rewrite")
-    kept.write.parquet(copy)
-    overwrite(read(spark, copy, kept.schema), path, partition_by)
+    overwrite(stored(kept, "rewrite"), path, partition_by)
 
 
 def delete_matching(facts: DataFrame, keys: DataFrame, on: str) -> DataFrame:

@@ -66,13 +66,14 @@ def _first_id(ds: object) -> int:
 def load_dimensions(w: Warehouse) -> None:
     """Customers with their match log, merchants, then product accounts."""
     bank, wallet = w.table("corebank.customer"), w.table("ewallet.account")
-    w.reload("mdm.dim_customer", dims.customer_dimension(bank, wallet))
+    w.reload("mdm.dim_customer", dims.customer_dimension(bank, wallet, tables.stored))
     customers = w.table("mdm.dim_customer")
     w.reload("mdm.mdm_deduplication_log", dims.deduplication_log(customers))
     events = w.table("public.realtime_transactions")
-    w.reload("mdm.dim_merchant", dims.merchant_dimension(events))
+    w.reload("mdm.dim_merchant", dims.merchant_dimension(events, tables.stored))
     loans = w.table("corebank.mortgage_loan")
-    w.reload("mdm.dim_product_account", dims.product_dimension(wallet, loans, customers))
+    products = dims.product_dimension(wallet, loans, customers, tables.stored)
+    w.reload("mdm.dim_product_account", products)
 
 
 def load_enterprise_facts(w: Warehouse, ds: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -25,6 +26,14 @@ GENERAL_CATEGORY = "General"
 
 CUSTOMER_NUMBERING = ["bank_cif", "account_id"]
 
+# What to do with rows that are about to be numbered, and so read twice: leave
+# them lazy, or store them (``operators.tables.stored``) as the daily load does.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def lazily(df: DataFrame) -> DataFrame:
+    return df
+
 
 def _party(df: DataFrame, side: str, phone: str, kyc: Column, ids: list[str]) -> DataFrame:
     """One side of the match: cleansed attributes under the side's prefix."""
@@ -67,23 +76,24 @@ def resolve_customers(bank: DataFrame, wallet: DataFrame) -> DataFrame:
     )
 
 
-def customer_dimension(bank: DataFrame, wallet: DataFrame) -> DataFrame:
+def customer_dimension(bank: DataFrame, wallet: DataFrame, keep: Keep = lazily) -> DataFrame:
     """Full reload of the master customers behind the unknown member."""
-    members = assign_keys(resolve_customers(bank, wallet), "customer_sk", CUSTOMER_NUMBERING)
+    rows = keep(resolve_customers(bank, wallet))
+    members = assign_keys(rows, "customer_sk", CUSTOMER_NUMBERING)
     return schemas.unknown_member(bank.sparkSession, "mdm.dim_customer").unionByName(
         schemas.conform(members, "mdm.dim_customer")
     )
 
 
 def customer_dimension_keeping_keys(
-    bank: DataFrame, wallet: DataFrame, existing: DataFrame
+    bank: DataFrame, wallet: DataFrame, existing: DataFrame, keep: Keep = lazily
 ) -> DataFrame:
     """Reload in which known ``(bank_cif, wallet_user_id)`` pairs keep their key.
 
     A full reload numbers anew, while older facts keep the numbers they were
     written with. Here only new members are numbered.
     """
-    rows = resolve_customers(bank, wallet).drop("account_id")
+    rows = keep(resolve_customers(bank, wallet).drop("account_id"))
     known = existing.where(F.col("customer_sk") != schemas.UNKNOWN_SK)
     members = extend_keys(known, rows, "customer_sk", ["bank_cif", "wallet_user_id"])
     return schemas.unknown_member(bank.sparkSession, "mdm.dim_customer").unionByName(
@@ -101,7 +111,7 @@ def deduplication_log(dim_customer: DataFrame) -> DataFrame:
     )
 
 
-def merchant_dimension(events: DataFrame) -> DataFrame:
+def merchant_dimension(events: DataFrame, keep: Keep = lazily) -> DataFrame:
     """Distinct merchants of the events, a missing name being one of them.
 
     A merchant named like the unknown member's source id would conflict with it
@@ -113,13 +123,15 @@ def merchant_dimension(events: DataFrame) -> DataFrame:
         .where(~F.col("merchant_name").eqNullSafe(F.lit(unknown_id)))
         .withColumn("source_merchant_id", F.col("merchant_name"))
     )
-    members = assign_keys(names, "merchant_sk", ["merchant_name"])
+    members = assign_keys(keep(names), "merchant_sk", ["merchant_name"])
     return schemas.unknown_member(events.sparkSession, "mdm.dim_merchant").unionByName(
         schemas.conform(members, "mdm.dim_merchant")
     )
 
 
-def product_dimension(accounts: DataFrame, loans: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def product_dimension(
+    accounts: DataFrame, loans: DataFrame, dim_customer: DataFrame, keep: Keep = lazily
+) -> DataFrame:
     """Wallet accounts and loans of resolved customers.
 
     Several loans may share a ``branch_cif`` id, so rows are numbered by the
@@ -141,7 +153,7 @@ def product_dimension(accounts: DataFrame, loans: DataFrame, dim_customer: DataF
         F.lit("ACTIVE").alias("status"),
         F.col("contract_no").alias("_source_key"),
     )
-    rows = wallets.unionByName(mortgages)
+    rows = keep(wallets.unionByName(mortgages))
     members = assign_keys(rows, "product_sk", ["product_type", "_source_key", "customer_sk"])
     return schemas.unknown_member(accounts.sparkSession, "mdm.dim_product_account").unionByName(
         schemas.conform(members, "mdm.dim_product_account")

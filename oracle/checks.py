@@ -53,6 +53,23 @@ select {ENTERPRISE_COLUMNS} from t_lending
 where exists (select 1 from t_product p where p.product_type = 'LOAN_CONTRACT'
               and p.customer_sk = t_lending.customer_sk)"""
 CHECKS["fact_enterprise"] = f"select {ENTERPRISE_COLUMNS} from t_enterprise"
+CHECKS["daily_run"] = f"""
+select {ENTERPRISE_COLUMNS}, cast(trans_timestamp as date) as trans_date from t_enterprise
+where cast(trans_timestamp as date) in (date '1997-08-23', date '1996-11-01')"""
+CHECKS["daily_run_quarantine"] = """
+select source_system, 'INVALID_AMOUNT' as error_type, cast(trans_timestamp as date) as log_date
+from t_enterprise
+where base_amount <= 0 and cast(trans_timestamp as date) in (date '1997-08-23', date '1996-11-01')"""
+CHECKS["star_day_run"] = """
+, every_fact as (
+  select paid_out as full_date, 'debt' as fact, customer_key, outstanding as amount
+  from t_loan left join t_holder on cif_number = cif
+  union all
+  select cast(ts as date), 'payment', customer_key, amount
+  from t_pay join t_holder on cif_number = cast(account_id as varchar)
+)
+select fact, time_key, coalesce(customer_key, 1) as customer_key, cast(amount as double) as amount
+from every_fact join t_time using (full_date) where full_date = date '1997-08-23'"""
 CHECKS["enterprise_summary"] = """
 select r.source_system, c.is_wallet_user, c.is_borrower, count(*) as fact_rows,
        cast(sum(r.base_amount) as double) as base_amount
@@ -72,6 +89,9 @@ select event_id, cast(ts as date) as trans_date,
        cast(case when cast(ts as date) = date '2024-01-15' then 2 * amount else amount end as double)
          as base_amount
 from t_click"""
+CHECKS["clear_day"] = """
+select event_id, cast(ts as date) as trans_date, cast(amount as double) as base_amount
+from t_click where cast(ts as date) <> date '2024-01-15'"""
 CHECKS["insert_ignore"] = """
 select distinct national_id from t_wallet
 where national_id not in (select national_id from t_bank where national_id is not null)
@@ -150,7 +170,8 @@ from (select merchant from t_pay union all select null from t_click) s
 where not exists (select 1 from t_shop where t_shop.merchant_name = s.merchant)"""
 
 WALLET_FACT = """
-select coalesce(h.customer_key, 1) as customer_key, 1 as branch_key, t.time_key, 1 as channel_key,
+select coalesce(h.customer_key, 1) as customer_key, cast(1 as bigint) as branch_key, t.time_key,
+       cast(1 as bigint) as channel_key,
        cast(x.amount as double) as txn_amount, cast(x.fee as double) as fee_amount, x.txn_type, x.txn_status
 from t_wallet_txn x
 join t_time t on t.full_date = cast(x.ts as date)
@@ -161,7 +182,7 @@ CHECKS["fact_ewallet_day"] = WALLET_FACT + "\nwhere t.full_date = date '2024-01-
 
 DEBT_FACT = """
 select coalesce(h.customer_key, 1) as customer_key, coalesce(br.branch_key, 1) as branch_key,
-       1 as product_key, t.time_key, cast(l.principal as double) as principal_amount,
+       cast(1 as bigint) as product_key, t.time_key, cast(l.principal as double) as principal_amount,
        cast(l.outstanding as double) as total_outstanding, 'CURRENT' as risk_bucket
 from t_loan l
 join t_time t on t.full_date = l.paid_out
@@ -172,8 +193,8 @@ CHECKS["fact_debt_day"] = DEBT_FACT + "\nwhere l.paid_out = date '1997-08-23'"
 
 PAYMENT_FACT = """
 select h.customer_key, coalesce(s.merchant_key, 1) as merchant_key,
-       coalesce((select branch_key from t_branch where branch_code = 'MAIN'), 1) as branch_key,
-       t.time_key, 1 as channel_key, cast(1 as integer) as txn_count,
+       cast(coalesce((select branch_key from t_branch where branch_code = 'MAIN'), 1) as bigint) as branch_key,
+       t.time_key, cast(1 as bigint) as channel_key, cast(1 as integer) as txn_count,
        cast(e.amount as double) as txn_amount, cast(e.amount as double) as net_amount,
        'SUCCESS' as txn_status
 from t_pay e

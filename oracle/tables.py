@@ -152,7 +152,7 @@ from t_owned"""
 
 TABLES["t_realtime"] = """
 select coalesce(p.customer_sk, w.customer_sk, 1) as customer_sk,
-       coalesce(m.merchant_sk, 1) as merchant_sk, 1 as product_sk,
+       coalesce(m.merchant_sk, 1) as merchant_sk, cast(1 as bigint) as product_sk,
        e.source_system, e.event_id as source_trans_id, e.amount as base_amount,
        'USD' as currency_code, e.ts as trans_timestamp, 'COMPLETED' as status
 from t_event e
@@ -161,7 +161,7 @@ left join t_customer w on e.source_system = 'EWALLET' and e.wallet_id = w.wallet
 left join t_merchant m on e.merchant_name = m.merchant_name"""
 
 TABLES["t_lending"] = """
-select c.customer_sk, 1 as merchant_sk,
+select c.customer_sk, cast(1 as bigint) as merchant_sk,
        (select min(p.product_sk) from t_product p
         where p.product_type = 'MORTGAGE_LOAN' and p.customer_sk = c.customer_sk
           and p.source_account_id = l.branch_code || '_' || l.cif) as product_sk,

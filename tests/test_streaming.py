@@ -5,7 +5,7 @@ import os
 import pytest
 
 from ledgerloom.sources import readers
-from ledgerloom.streaming.landing import folder_sink, landed, start_landing, to_sinks
+from ledgerloom.streaming.landing import folder_sink, landed, start_console, start_landing, to_sinks
 from ledgerloom.streaming.parse import landing_rows, parse_events
 
 PAY = {"source_system": "PAYMENT", "event_id": "p1", "cif": "CIF000001", "card_bin": "450630XXXX",
@@ -58,6 +58,12 @@ def test_landing_casts_money(spark):
     assert str(row.base_amount) == "12.35" and row.account_id is None
 
 
+def test_an_amount_beyond_the_column_does_not_stop_the_stream(spark):
+    huge = spark.createDataFrame([(json.dumps({**PAY, "base_amount": 1e30}),)], "value string")
+    row = landing_rows(parse_events(huge)).first()
+    assert row.event_id == "p1" and row.base_amount is None
+
+
 def write(folder, name, lines):
     os.makedirs(folder, exist_ok=True)
     with open(os.path.join(folder, name), "w") as f:
@@ -110,6 +116,32 @@ def test_two_sinks_get_the_same_batch(spark, tmp_path):
     assert landed(spark, f"{base}/lake").count() == landed(spark, f"{base}/out").count() == len(EDGE)
 
 
+def test_a_running_stream_takes_new_events_until_stopped(spark, tmp_path):
+    base = str(tmp_path)
+    write(f"{base}/in", "1.json", EDGE[:2])
+    stream = start_landing(
+        readers.file_events(spark, f"{base}/in"), f"{base}/checkpoint", folder_sink(f"{base}/out")
+    )
+    try:
+        stream.processAllAvailable()
+        write(f"{base}/in", "2.json", EDGE[2:])
+        stream.processAllAvailable()
+        assert stream.isActive
+    finally:
+        stream.stop()
+    assert landed(spark, f"{base}/out").count() == len(EDGE)
+
+
+def test_console(spark, tmp_path):
+    write(f"{tmp_path}/in", "1.json", EDGE[:1])
+    stream = start_console(readers.file_events(spark, f"{tmp_path}/in"), f"{tmp_path}/checkpoint")
+    try:
+        stream.processAllAvailable()
+        assert stream.lastProgress["numInputRows"] == 1
+    finally:
+        stream.stop()
+
+
 def test_reader_options():
     kafka = readers.kafka_options("broker:9092", maxOffsetsPerTrigger="1000")
     assert kafka == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "realtime_transactions",
