@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.functions.measures import risk_bucket
+from ledgerloom.functions import measures
 from ledgerloom.operators import quality, tables
 from ledgerloom.operators.tables import stored
 from ledgerloom.plans import daily, dims, facts, fraud, monitor, views
@@ -22,8 +22,8 @@ from ledgerloom.session import scratch_path, use_utc
 from ledgerloom.sources import bindings as b
 from ledgerloom.sources import files, seeds
 from ledgerloom.sources.readers import file_events
+from ledgerloom.streaming import parse
 from ledgerloom.streaming.landing import folder_sink, landed, start_landing
-from ledgerloom.streaming.parse import parse_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -581,8 +581,8 @@ def load_files_by_position(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query
-def parse_events_batch(spark: SparkSession, d: str) -> DataFrame:
-    return parse_events(b.raw_events(spark, d))
+def parse_events(spark: SparkSession, d: str) -> DataFrame:
+    return parse.parse_events(b.raw_events(spark, d))
 
 
 @query
@@ -638,9 +638,9 @@ def fraud_model_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query
-def risk_buckets(spark: SparkSession, d: str) -> DataFrame:
+def risk_bucket(spark: SparkSession, d: str) -> DataFrame:
     debt = b.debt_fact(spark, d).select("product_key", "days_past_due")
-    return debt.withColumn("risk_bucket", risk_bucket("days_past_due"))
+    return debt.withColumn("risk_bucket", measures.risk_bucket("days_past_due"))
 
 
 @query

@@ -32,8 +32,8 @@ def left_lookup(
 
     ``also`` names further equality columns. Both sides call the columns alike
     and ``lookup`` gives no other column that ``facts`` has. A hot value in
-    ``facts`` is split by adaptive skew handling, which may split the preserved
-    side of these join types.
+    ``facts``, or many null keys with the same ``spread_by``, is split by
+    adaptive skew handling, which may split the preserved side of these joins.
     """
     also = also or []
     left = facts.withColumn("_join_key", _spread(key, spread_by))

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,7 @@ from ledgerloom.operators.keys import serial_ids
 from ledgerloom.plans import dims, facts
 from ledgerloom.sources.readers import declared_table
 from ledgerloom.sources.seeds import calendar
+from ledgerloom.streaming.landing import landed
 
 FACT_DAY = "trans_date"
 LOG_DAY = "log_date"
@@ -38,6 +43,10 @@ class Warehouse:
         """The declared columns of a table."""
         return declared_table(self.spark, self.root, table)
 
+    def events(self, ds: str) -> DataFrame:
+        """Landed events of one day."""
+        return landed(self.spark, self.path("public.realtime_transactions"), ds)
+
     def stored(self, table: str) -> DataFrame:
         """A table with all stored columns, row ids and partition columns included."""
         return self.spark.read.parquet(self.path(table))
@@ -63,25 +72,38 @@ def _first_id(ds: object) -> int:
     return (dt.date.fromisoformat(str(ds)) - dt.date(2000, 1, 1)).days << 48
 
 
+def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Run independent loads at the same time, so that one fills the other's idle tasks."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            running.result()
+
+
 def load_dimensions(w: Warehouse) -> None:
-    """Customers with their match log, merchants, then product accounts."""
-    bank, wallet = w.table("corebank.customer"), w.table("ewallet.account")
-    w.reload("mdm.dim_customer", dims.customer_dimension(bank, wallet, tables.stored))
-    customers = w.table("mdm.dim_customer")
-    w.reload("mdm.mdm_deduplication_log", dims.deduplication_log(customers))
-    events = w.table("public.realtime_transactions")
-    w.reload("mdm.dim_merchant", dims.merchant_dimension(events, tables.stored))
-    loans = w.table("corebank.mortgage_loan")
-    products = dims.product_dimension(wallet, loans, customers, tables.stored)
+    """Customers with their match log beside merchants, then product accounts."""
+    wallet = w.table("ewallet.account")
+
+    def customers() -> None:
+        bank = w.table("corebank.customer")
+        w.reload("mdm.dim_customer", dims.customer_dimension(bank, wallet, tables.stored))
+        log = dims.deduplication_log(w.table("mdm.dim_customer"))
+        w.reload("mdm.mdm_deduplication_log", log)
+
+    def merchants() -> None:
+        events = w.table("public.realtime_transactions")
+        w.reload("mdm.dim_merchant", dims.merchant_dimension(events, tables.stored))
+
+    together(w.spark, customers, merchants)
+    products = dims.product_dimension(
+        wallet, w.table("corebank.mortgage_loan"), w.table("mdm.dim_customer"), tables.stored
+    )
     w.reload("mdm.dim_product_account", products)
 
 
 def load_enterprise_facts(w: Warehouse, ds: str) -> None:
     """The day's events and disbursements, replacing what the day held before."""
     customers = w.table("mdm.dim_customer")
-    realtime = facts.realtime_facts(
-        w.table("public.realtime_transactions"), customers, w.table("mdm.dim_merchant"), ds
-    )
+    realtime = facts.realtime_facts(w.events(ds), customers, w.table("mdm.dim_merchant"))
     lending = facts.lending_facts(
         w.table("corebank.mortgage_loan"), customers, w.table("mdm.dim_product_account"), ds
     )
@@ -137,9 +159,10 @@ def run_star_day(w: Warehouse, ds: str) -> None:
             w.table("corebank.mortgage_loan"), customers, branches, time, ds
         ),
         "star.fact_payment_transaction": facts.payment_facts(
-            w.table("public.realtime_transactions"), customers, w.table("star.dim_merchant"),
-            branches, time, ds,
+            w.events(ds), customers, w.table("star.dim_merchant"), branches, time
         ),
     }
-    for table, rows in loads.items():
-        w.replace_day(table, rows, STAR_DAY, time_key)
+    together(
+        w.spark,
+        *[partial(w.replace_day, table, rows, STAR_DAY, time_key) for table, rows in loads.items()],
+    )

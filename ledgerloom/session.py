@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -35,19 +36,23 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="ledgerloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor can reach, as named by the cluster.
 
     Only a local session without ``spark.checkpoint.dir`` gets a folder of its
     own, because there the driver and the tasks share one disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+        named = _local_folder(spark.sparkContext.applicationId)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -5,22 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom import schemas
+from ledgerloom.functions.dates import on_day
 from ledgerloom.sources.readers import jdbc_append
 from ledgerloom.streaming.parse import landing_rows, parse_events
 
 Sink = Callable[[DataFrame, int], None]
+DAY_COLUMN = "event_date"
 BATCH_COLUMN = "batch_id"
 
 
 def folder_sink(path: str) -> Sink:
-    """Each batch owns one sub-folder, so a replayed batch replaces itself."""
+    """Sub-folders per event day and batch.
+
+    A batch overwrites only its own folders, so a replayed batch replaces
+    itself; the day lets a daily job read its own folders and no others.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path.rstrip('/')}/{BATCH_COLUMN}={batch_id}"
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+        rows = batch.withColumn(DAY_COLUMN, F.to_date("timestamp"))
+        rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(DAY_COLUMN, BATCH_COLUMN).parquet(path)
 
     return write
 
@@ -75,7 +84,15 @@ def start_console(raw: DataFrame, checkpoint: str) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).start()
 
 
-def landed(spark: SparkSession, path: str) -> DataFrame:
-    """The landing table for batch jobs, without the batch folders' column."""
+def landed(spark: SparkSession, path: str, ds: str | None = None) -> DataFrame:
+    """The landing table for batch jobs; only the day's folders when ``ds`` is given.
+
+    A table without day folders is filtered by the timestamp instead.
+    """
     declared = schemas.struct_of("public.realtime_transactions")
-    return spark.read.schema(declared).parquet(path).select(*declared.names)
+    rows = spark.read.schema(declared).parquet(path)
+    if ds is not None and DAY_COLUMN in rows.columns:
+        rows = rows.where(F.col(DAY_COLUMN) == F.lit(ds).cast("date"))
+    elif ds is not None:
+        rows = rows.where(on_day("timestamp", ds))
+    return rows.select(*declared.names)

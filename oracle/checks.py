@@ -316,7 +316,7 @@ CHECKS["load_files_by_position"] = """
 select c_custkey as account_id, c_acctbal as current_balance, c_acctbal as available_balance,
        cast(0 as double) as frozen_amount, timestamp '2024-01-01 00:00:00' as last_updated
 from customer"""
-CHECKS["parse_events_batch"] = "select * from t_parsed"
+CHECKS["parse_events"] = "select * from t_parsed"
 CHECKS["stream_landing"] = """
 select event_id, cast(null as bigint) as account_id, cast(null as double) as amount,
        cast(null as varchar) as txn_type, currency, timestamp, cast(null as varchar) as merchant,
@@ -343,7 +343,7 @@ from t_wallet_txn"""
 
 # --- declared by the schema -------------------------------------------------------------------------
 
-CHECKS["risk_buckets"] = """
+CHECKS["risk_bucket"] = """
 select product_key, days_late as days_past_due, risk as risk_bucket from t_debt"""
 CHECKS["scd2_customer"] = f"""
 , changed as (

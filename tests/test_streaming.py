@@ -90,7 +90,21 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
     land(spark, base)
     rows = landed(spark, f"{base}/out")
     assert rows.count() == len(EDGE) + 1 and rows.where("event_id = 'w9'").count() == 1
-    assert sorted(x for x in os.listdir(f"{base}/out")) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    day = f"{base}/out/event_date=2024-01-02"
+    assert sorted(os.listdir(day)) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+
+
+def test_a_day_reads_its_own_folders(spark, tmp_path, plan_of):
+    sink = folder_sink(f"{tmp_path}/out")
+    later = json.dumps({**PAY, "event_id": "p8", "timestamp": "2024-01-03T00:00:00Z"})
+    sink(landing_rows(parse_events(spark.createDataFrame([(v,) for v in [*EDGE, later]], "value string"))), 0)
+    day = landed(spark, f"{tmp_path}/out", "2024-01-03")
+    assert [r.event_id for r in day.collect()] == ["p8"]
+    assert "PartitionFilters: [isnotnull(event_date" in plan_of(day)
+    # without a timestamp an event belongs to no day, but it is landed
+    assert landed(spark, f"{tmp_path}/out").where("timestamp IS NULL").count() == 3
+    sink(landing_rows(parse_events(spark.createDataFrame([(later,)], "value string"))), 1)
+    assert landed(spark, f"{tmp_path}/out").count() == len(EDGE) + 2
 
 
 def test_a_replayed_batch_replaces_itself(spark, tmp_path):
