@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 NULL_SLOTS = 512
 
 
-def _spread(key: str, by: list[str]) -> Column:
+def _spread(key: str, by: list[str], mark: str = "?") -> Column:
     """The join key as text, with nulls spread over slots that match nothing.
 
     A null key matches no row, yet all null keys would hash to one task. Real
-    keys start with ``=`` and slots with ``?``, so a slot can never meet a key.
+    keys start with ``=`` and slots with another mark, so a slot can never meet
+    a key. The text is never null, which spares the join its null filter.
     """
     slot = F.pmod(F.xxhash64(*by), F.lit(NULL_SLOTS)).cast("string")
-    return F.when(F.col(key).isNotNull(), F.concat(F.lit("="), F.col(key).cast("string"))).otherwise(
-        F.concat(F.lit("?"), slot)
-    )
+    real = F.concat(F.lit("="), F.col(key).cast("string"))
+    return F.coalesce(real, F.concat(F.lit(mark), slot), F.lit(mark))
 
 
 def left_lookup(
@@ -55,12 +55,19 @@ def full_outer_on_key(
     one task. Here ``right`` is the preserved side of a left join and ``left``
     of an anti join against the distinct keys of ``right``: both may be split,
     and the distinct collapses a hot key before its shuffle. Null keys match
-    nothing and are all kept.
+    nothing and are all kept: each side's slots carry its own mark.
+
+    Both joins take the same shuffle of ``left``, which Spark then runs once. A
+    constant column would differ between them; derive it after the join.
     """
-    joined = left_lookup(right, left, key, right_id)
-    seen = right.select(key).where(F.col(key).isNotNull()).distinct()
-    left_only = left_lookup(left, seen, key, left_id, how="left_anti")
-    return joined.unionByName(left_only, allowMissingColumns=True)
+    keyed_left = left.withColumn("_join_key", _spread(key, left_id, "<")).drop(key)
+    keyed_right = right.withColumn("_join_key", _spread(key, right_id, ">")).drop(key)
+    seen = right.where(F.col(key).isNotNull()).select(
+        F.concat(F.lit("="), F.col(key).cast("string")).alias("_join_key")
+    )
+    joined = keyed_right.join(keyed_left, "_join_key", "left")
+    left_only = keyed_left.join(seen.distinct(), "_join_key", "left_anti")
+    return joined.unionByName(left_only, allowMissingColumns=True).drop("_join_key")
 
 
 def natural_id_bridge(dim: DataFrame, sk: str, sources: dict[str, str]) -> DataFrame:

@@ -37,12 +37,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
-                     partition_by: str | None = None) -> bool:
-    """An empty table where there is none; True when it was created."""
+def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """An empty table where there is none; True when it was created.
+
+    For tables without partitions: a partitioned one begins with its first day.
+    """
     if exists(spark, path):
         return False
-    overwrite(spark.createDataFrame([], schema), path, partition_by)
+    overwrite(spark.createDataFrame([], schema), path)
     return True
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
@@ -35,15 +35,14 @@ def lazily(df: DataFrame) -> DataFrame:
     return df
 
 
-def _party(df: DataFrame, side: str, phone: str, kyc: Column, ids: list[str]) -> DataFrame:
+def _party(df: DataFrame, side: str, phone: str, **own: str) -> DataFrame:
     """One side of the match: cleansed attributes under the side's prefix."""
     number = digits_only(phone)
     return df.select(
-        *ids,
+        *[F.col(source).alias(name) for name, source in own.items()],
         F.col("national_id").alias(f"{side}_national_id"),
         number.alias(f"{side}_phone"),
         clean_name("full_name").alias(f"{side}_name"),
-        kyc.alias(f"{side}_kyc"),
         F.coalesce("national_id", F.concat(F.lit(PHONE_KEY), number)).alias("match_key"),
     )
 
@@ -55,14 +54,13 @@ def resolve_customers(bank: DataFrame, wallet: DataFrame) -> DataFrame:
     A row without both matches nothing and is kept. ``account_id`` comes along
     because ``(bank_cif, account_id)`` identifies a row for the numbering.
     """
-    left = _party(
-        bank.withColumn("bank_cif", F.col("cif")), "b", "phone", F.lit(BANK_TIER), ["bank_cif"]
-    )
+    left = _party(bank, "b", "phone", bank_cif="cif")
     right = _party(
-        wallet.withColumn("wallet_user_id", F.col("user_id")), "w", "phone_number",
-        F.col("kyc_level"), ["wallet_user_id", "account_id"],
+        wallet, "w", "phone_number",
+        wallet_user_id="user_id", account_id="account_id", w_kyc="kyc_level",
     )
     pairs = full_outer_on_key(left, right, "match_key", ["bank_cif"], ["account_id"])
+    in_bank = F.col("bank_cif").isNotNull()
     return pairs.select(
         F.coalesce(
             "b_national_id", "w_national_id", F.concat(F.lit(PHONE_ID), F.col("w_phone"))
@@ -70,8 +68,8 @@ def resolve_customers(bank: DataFrame, wallet: DataFrame) -> DataFrame:
         F.coalesce("b_phone", "w_phone").alias("phone_number"),
         F.coalesce("b_name", "w_name").alias("full_name"),
         F.col("wallet_user_id").isNotNull().alias("is_wallet_user"),
-        F.col("bank_cif").isNotNull().alias("is_borrower"),
-        F.coalesce("b_kyc", "w_kyc").alias("kyc_level"),
+        in_bank.alias("is_borrower"),
+        F.when(in_bank, BANK_TIER).otherwise(F.col("w_kyc")).alias("kyc_level"),
         "bank_cif", "wallet_user_id", "account_id",
     )
 

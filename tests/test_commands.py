@@ -1,0 +1,47 @@
+import json
+
+import pytest
+
+from ledgerloom.__main__ import main
+
+
+def test_jobs_from_files_to_checks(spark, tmp_path, capsys):
+    root = f"{tmp_path}/w"
+
+    def write(name, text):
+        path = tmp_path / name
+        path.write_text(text)
+        return str(path)
+
+    main(["load", "--root", root,
+          "corebank.customer=" + write("c.csv", "cif,full_name,national_id,phone\nC1,ann,ID1,1\n"),
+          "ewallet.account=" + write("a.csv", "account_id,user_id,phone_number,national_id\n1,W1,2,ID1\n"),
+          "corebank.mortgage_loan=" + write(
+              "l.csv", "contract_no,cif,branch_code,principal_amount,disbursement_date\nL1,C1,B1,10,2024-01-02\n"),
+          "ewallet.transaction=" + write(
+              "t.csv", "txn_id,account_id,txn_type,txn_amount,txn_status\n"
+              + "".join(f"{i},1,TOP_UP,{i},{'FAILED' if i > 80 else 'SUCCESS'}\n" for i in range(100)))])
+    events = tmp_path / "events"
+    events.mkdir()
+    event = {"source_system": "PAYMENT", "event_id": "e1", "cif": "C1", "merchant_name": "Shop", "base_amount": 0,
+             "currency": "USD", "timestamp": "2024-01-02T03:00:00Z"}
+    (events / "1.json").write_text(json.dumps(event) + "\n")
+    main(["stream", "--root", root, "--folder", str(events), "--available-now"])
+    main(["dimensions", "--root", root])
+    main(["daily", "--root", root, "--day", "2024-01-02"])
+    main(["calendar", "--root", root, "--start", "2024-01-01", "--end", "2024-01-03"])
+    main(["checks", "--root", root])
+    main(["monitor", "--root", root])
+    main(["train", "--root", root, "--model", f"{root}/model"])
+    out = capsys.readouterr().out
+    assert "loaded: corebank.customer ewallet.account corebank.mortgage_loan ewallet.transaction" in out
+    assert "2024-01-02 03:00:00" in out and "accuracy:" in out
+    facts = spark.read.parquet(f"{root}/mdm.fact_enterprise_transaction")
+    assert sorted(r.source_trans_id for r in facts.collect()) == ["LND_B1", "e1"]
+    assert spark.read.parquet(f"{root}/mdm.dq_quarantine_log").count() == 1
+    assert spark.read.parquet(f"{root}/star.dim_time").count() == 3
+
+
+def test_unknown_jobs_are_refused():
+    with pytest.raises(SystemExit):
+        main(["drop", "--root", "x"])

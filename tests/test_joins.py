@@ -124,3 +124,18 @@ def test_constant_match_keeps_left_join_semantics(spark, plan_of, codes, expecte
     for i in range(2):
         assert [r.branch_key for r in got.where(f"id = {i}").orderBy("branch_key").collect()] == expected
     assert "Join" not in plan_of(got)
+
+
+def test_full_outer_shuffles_the_left_side_once(spark):
+    left = spark.range(2000).selectExpr("id AS l", "CAST(id AS STRING) AS k", "concat('n', id) AS name")
+    right = spark.range(1000, 4000).selectExpr("id AS r", "CAST(id AS STRING) AS k")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    try:
+        got = full_outer_on_key(left, right, "k", ["l"], ["r"]).select("l", "name", "r")
+        assert len(got.collect()) == 4000
+        assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
