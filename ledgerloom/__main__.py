@@ -47,9 +47,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def _stream(spark: SparkSession, w: daily.Warehouse, args: argparse.Namespace) -> None:
     raw = kafka_events(spark, args.servers, args.topic) if args.servers else file_events(spark, args.folder)
-    landing = w.path("public.realtime_transactions")
+    sink = folder_sink(w.path("public.realtime_transactions"), by_day=True)
     query = start_landing(
-        raw, f"{w.root}/_checkpoints/landing", folder_sink(landing), available_now=args.available_now
+        raw, f"{w.root}/_checkpoints/landing", sink, available_now=args.available_now
     )
     query.awaitTermination()
 

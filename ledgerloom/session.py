@@ -56,5 +56,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path of its own below the shared folder; nothing is written there yet."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path of its own below the shared folder; nothing is written there yet.
+
+    All paths of an application share one parent, which may be removed once the
+    application has ended.
+    """
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

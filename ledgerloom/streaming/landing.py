@@ -18,18 +18,25 @@ DAY_COLUMN = "event_date"
 BATCH_COLUMN = "batch_id"
 
 
-def folder_sink(path: str) -> Sink:
-    """Sub-folders per event day and batch.
+def folder_sink(path: str, by_day: bool = False) -> Sink:
+    """Each batch owns its sub-folders, so a replayed batch replaces itself.
 
-    A batch overwrites only its own folders, so a replayed batch replaces
-    itself; the day lets a daily job read its own folders and no others.
+    With ``by_day`` the events of a batch are also split by day, which lets a
+    daily job read its own folders and no others. That suits a live feed, whose
+    batches span a day or two; a backfill over years would write a folder per day
+    and batch.
     """
+    root = path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn(DAY_COLUMN, F.to_date("timestamp"))
-        rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(DAY_COLUMN, BATCH_COLUMN).parquet(path)
+        if by_day:
+            rows = batch.withColumn(DAY_COLUMN, F.to_date("timestamp"))
+            rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id)).hint("rebalance", DAY_COLUMN)
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(DAY_COLUMN, BATCH_COLUMN).parquet(root)
+        else:
+            writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.parquet(f"{root}/{BATCH_COLUMN}={batch_id}")
 
     return write
 

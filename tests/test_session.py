@@ -9,7 +9,7 @@ def session(master, folder=None):
     """Only what the folder lookup asks a session for."""
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default),
-        sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
+        sparkContext=SimpleNamespace(master=master, applicationId="app-" + master[:5]),
     )
 
 
@@ -17,7 +17,7 @@ def test_the_named_folder_is_used():
     cluster = session("spark://host:7077", "hdfs://shared/tmp/")
     assert shared_folder(cluster) == "hdfs://shared/tmp"
     one, two = scratch_path(cluster, "step"), scratch_path(cluster, "step")
-    assert one.startswith("hdfs://shared/tmp/step-") and one != two
+    assert one.startswith("hdfs://shared/tmp/app-spark/step-") and one != two
 
 
 def test_only_a_local_session_may_use_its_own_folder():
