@@ -181,7 +181,7 @@ CHECKS["fact_ewallet"] = WALLET_FACT
 CHECKS["fact_ewallet_day"] = WALLET_FACT + "\nwhere t.full_date = date '2024-01-15'"
 
 DEBT_FACT = """
-select coalesce(h.customer_key, 1) as customer_key, coalesce(br.branch_key, 1) as branch_key,
+select coalesce(h.customer_key, 1) as customer_key, cast(coalesce(br.branch_key, 1) as bigint) as branch_key,
        cast(1 as bigint) as product_key, t.time_key, cast(l.principal as double) as principal_amount,
        cast(l.outstanding as double) as total_outstanding, 'CURRENT' as risk_bucket
 from t_loan l
