@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +63,18 @@ def piece_rows(spark: SparkSession, total: int) -> int:
     many entries as there are shuffle partitions, whatever the data.
     """
     return max(1, math.ceil(total / (2 * partitions(spark))))
+
+
+@cache
+def _shipped(application: str, context: SparkContext) -> None:
+    package = Path(__file__).parents[1]
+    target = Path(tempfile.mkdtemp()) / "ledgerloom_modules.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may not have it on their path."""
+    _shipped(spark.sparkContext.applicationId, spark.sparkContext)

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, fair_mix
+from ledgerloom.llm import exact_dedup, fair_mix, simhash, token_counts
 from ledgerloom.llm.common import table
 
+TOKENIZER = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +93,28 @@ with squeezed as (
   window o as (partition by norm order by length(text) desc, doc_id nulls last)
 )
 select doc_id, keep_id, group_size, place = 1 as kept, sha256(norm) as text_sha256 from placed"""
+
+
+# --- 7: near duplicates ---------------------------------------------------------
+
+
+@query
+def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, d, "documents"), radius=2)
+
+
+# --- 10: token counts -------------------------------------------------------------
+
+
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    counted = token_counts.token_counts(docs, tokenizer_file())
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
