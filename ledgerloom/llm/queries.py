@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, fair_mix, simhash, token_counts
+from ledgerloom.llm import exact_dedup, fair_mix, simhash, suffix_dedup, token_counts
 from ledgerloom.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -103,6 +103,16 @@ def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, d, "documents"), radius=2)
 
 
+# --- 9: repeated strings -----------------------------------------------------------
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return suffix_dedup.suffix_dedup(docs, length=400).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 # --- 10: token counts -------------------------------------------------------------
 
 
