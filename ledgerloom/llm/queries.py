@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, fair_mix, simhash, suffix_dedup, token_counts
+from ledgerloom.llm import exact_dedup, fair_mix, packing, rules, simhash, suffix_dedup, token_counts
 from ledgerloom.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -23,6 +23,24 @@ def query(fn: Query) -> Query:
     return fn
 
 
+# --- 1: packing ---------------------------------------------------------------
+
+
+@query
+def op1_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), capacity=4096, per_source=4)
+
+
+# --- 3: quality ---------------------------------------------------------------
+
+
+@query
+def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = rules.quality_scores(docs, table(spark, d, "labels"), rows=20_000)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 # --- 5: mixing ---------------------------------------------------------------
 
 
