@@ -43,6 +43,7 @@ def statistics(text: Column) -> dict[str, Column]:
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     n_words = F.greatest(F.size(words), F.lit(1))
     lines = F.split(text, "\n")
+    sentences = F.split(text, r"[.!?\n]+[ \n]*")
 
     def share(pattern: str) -> Column:
         return (F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))) / chars
@@ -50,7 +51,9 @@ def statistics(text: Column) -> dict[str, Column]:
     return {
         "log_words": F.log1p(F.size(words).cast("double")),
         "chars_per_word": chars / n_words,
-        "distinct_words": F.size(F.array_distinct(words)) / n_words,
+        # of natural texts of any length about alike, unlike the plain share of distinct words
+        "variety": F.log1p(F.size(F.array_distinct(words)).cast("double")) / F.log1p(n_words.cast("double")),
+        "distinct_sentences": F.size(F.array_distinct(sentences)) / F.size(sentences),
         "capitals": share(r"\p{Lu}+"),
         "digits": share(r"\d+"),
         "sentence_marks": share(r"[.,;:?]+"),
