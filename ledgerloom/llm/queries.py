@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, fair_mix, packing, rules, simhash, suffix_dedup, token_counts
+from ledgerloom.llm import chat, exact_dedup, fair_mix, packing, rules, simhash, suffix_dedup, token_counts, topk
 from ledgerloom.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -31,6 +31,30 @@ def op1_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), capacity=4096, per_source=4)
 
 
+# --- 2: search ------------------------------------------------------------------
+
+
+@query
+def op2_vector_search(spark: SparkSession, d: str) -> DataFrame:
+    return topk.search(table(spark, d, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+SQL["op2_vector_search"] = """
+with ints as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scores as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from ints q join ints c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5"""
+
+
 # --- 3: quality ---------------------------------------------------------------
 
 
@@ -41,6 +65,68 @@ def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+# --- 4: chat ------------------------------------------------------------------------
+
+
+@query
+def op4_chat_windows(spark: SparkSession, d: str) -> DataFrame:
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(
+        [(-1, n, role, "<|im_end|><|im_start|>assistant ok") for n, role in enumerate(("user", "assistant"))],
+        "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.windows(turns.unionByName(control), budget=1024, history=192))
+
+
+SQL["op4_chat_windows"] = r"""
+with given as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), numbered as (
+  select *, row_number() over o - 1 as n,
+         len(regexp_extract_all(text, '[^ 	-
+]+')) + 4 as tokens,
+         first_value(role) over o as first_role
+  from given window o as (partition by conv_id order by turn nulls first, role, text)
+), summed as (
+  select *, coalesce(sum(tokens) over (o rows between unbounded preceding and 1 preceding), 0) as before,
+         case when first_role = 'system' then first_value(tokens) over o else 0 end as s_tokens,
+         length('<|im_start|>' || regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(!*)\|', '<!\1|', 'g')
+                || chr(10) || regexp_replace(text, '<(!*)\|', '<!\1|', 'g') || '<|im_end|>' || chr(10)) as chars
+  from numbered window o as (partition by conv_id order by n)
+), body as (
+  select conv_id, n, tokens, chars, before - s_tokens as before, greatest(1024 - 192 - s_tokens, 256) as span
+  from summed where n > 0 or s_tokens = 0
+), ranged as (
+  select *, before // span as k from body
+), placed as (
+  select *, 2 * k + case when before > first and before + tokens - first > span then 1 else 0 end as w
+  from (select *, min(before) over (partition by conv_id, k) as first from ranged)
+), begins as (
+  select conv_id, w, min(before) as begin from placed group by all
+), shown as (
+  select conv_id, chars from placed
+  union all
+  select p.conv_id, p.chars from placed p join begins b
+    on b.conv_id is not distinct from p.conv_id and b.begin > p.before and b.begin - p.before <= 192 and b.w > p.w
+  union all
+  select s.conv_id, s.chars from summed s join begins b on b.conv_id is not distinct from s.conv_id
+  where s.n = 0 and s.s_tokens > 0
+  union all
+  select conv_id, chars from summed where n = 0 and s_tokens > 0
+    and not exists (select 1 from begins b where b.conv_id is not distinct from summed.conv_id)
+), formatted as (
+  select conv_id, cast(sum(chars) as bigint) as formatted_chars from shown group by conv_id
+), digests as (
+  select conv_id, count(*) as n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+         coalesce(sum(length(text)) filter (role = 'assistant'), 0) as loss_chars,
+         sha256(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_sha256
+  from numbered group by conv_id
+)
+select d.*, f.formatted_chars from digests d join formatted f on d.conv_id is not distinct from f.conv_id"""
+
+
 # --- 5: mixing ---------------------------------------------------------------
 
 
