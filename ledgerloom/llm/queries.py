@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, fair_mix, packing, rules, simhash, suffix_dedup, token_counts, topk
+from ledgerloom.llm import (
+    chat,
+    exact_dedup,
+    fair_mix,
+    packing,
+    pseudo_lm,
+    rules,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    topk,
+)
 from ledgerloom.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -207,6 +218,16 @@ def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, d, "documents"), radius=2)
 
 
+# --- 8: language model ---------------------------------------------------------------
+
+
+@query
+def op8_pseudo_likelihood(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pseudo_lm.pseudo_likelihood(docs).select(
+        "doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
+
+
 # --- 9: repeated strings -----------------------------------------------------------
 
 
