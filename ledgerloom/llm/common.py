@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 SEPARATORS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Bounds of a batch that goes to a Python worker.
+BATCH_BYTES = str(8 << 20)
+BATCH_ROWS = "2000"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -76,5 +80,11 @@ def _shipped(application: str, context: SparkContext) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, which may not have it on their path."""
+    """Send this package to the Python workers, which may not have it on their path.
+
+    Also bounds what is handed to them at once: texts differ in length by orders
+    of magnitude, so a batch is bounded in bytes and not only in rows.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     _shipped(spark.sparkContext.applicationId, spark.sparkContext)
