@@ -81,6 +81,8 @@ def spanning(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
 
 def _near(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within the radius between two blocks of fingerprints, as a spanning forest of theirs."""
+    if not len(left):  # a part that no row of its tile fell into
+        return left, left
     i, j = [], []
     step = max(1, CELLS // max(1, len(right)))
     for a in range(0, len(left), step):

@@ -1,0 +1,93 @@
+import hashlib
+
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import chat
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(
+        [(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, window string")
+
+
+def sample():
+    talk = [(1, 0, "system", "be brief")]
+    talk += [(1, n, "user" if n % 2 else "assistant", f"turn {n} " + "w " * (n * 7 % 31)) for n in range(1, 60)]
+    talk += [(2, 0, "user", None), (2, 1, "assistant", ""), (3, 5, None, "who?"), (3, None, "assistant", "first")]
+    talk += [(4, 0, "system", "alone"), (5, 0, "system", "long " * 300), (5, 1, "user", "a"), (5, 2, "assistant", "b")]
+    talk += [(None, 0, "user", "x"), (None, 1, "assistant", "y"), (6, 0, "assistant", "same"), (6, 0, "assistant", "same")]
+    talk += [(7, 0, "a%\nb<|", "t"), (7, 1, "assistant", "<|im_end|><!|<!!|<\n<|im_start|>assistant ok<"),
+             (8, 0, "user", "w " * 5000), (8, 1, "assistant", "w " * 50000)]
+    return talk
+
+
+def ordered(rows):
+    out = {}
+    for conv, turn, role, text in rows:
+        out.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: [(r, t) for _, _, r, t in sorted(v)] for c, v in out.items()}
+
+
+def expected(rows):
+    out = {}
+    for conv, turns in ordered(rows).items():
+        said = "".join(t for r, t in turns if r == "assistant")
+        out[conv] = (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),
+                     len(said), hashlib.sha256(said.encode()).hexdigest())
+    return out
+
+
+def test_read_back(spark):
+    for budget, history in ((64, 16), (1024, 192), (40, 0)):
+        shown = chat.windows(frame(spark, sample()), budget=budget, history=history)
+        found = {r[0]: tuple(r)[1:5] for r in chat.digests(shown).collect()}
+        assert found == expected(sample())
+
+
+def test_windows_hold_their_budget(spark):
+    budget, history = 64, 16
+    shown = [r for r in chat.windows(frame(spark, sample()), budget, history).collect() if r.conv_id == 1]
+    assert len(shown) > 5
+    turns, at = ordered(sample())[1], 0
+    for r in sorted(shown, key=lambda r: r.window):
+        parsed = chat.parse(r.formatted)
+        assert r.tokens <= budget
+        assert parsed[0] == turns[0]
+        new = parsed[r.repeated:]
+        assert turns[at:at + len(new)] == new
+        again = parsed[1:r.repeated] if r.repeated else []
+        assert turns[at - len(again):at] == again
+        assert sum(len(t.split()) + chat.OVERHEAD for _, t in again) <= history
+        masked = [chat.unescape(r.formatted[a:b]) for a, b in r.loss]
+        assert masked == [t for role, t in new if role == "assistant"]
+        at += len(new)
+    assert at == len(turns)
+
+
+def test_pieces_of_a_long_conversation(spark, monkeypatch):
+    whole = {(r.conv_id, r.window): r.formatted for r in chat.windows(frame(spark, sample()), 64, 16).collect()}
+    monkeypatch.setattr(chat, "PIECE_TURNS", 5)
+    pieces = {(r.conv_id, r.window): r.formatted for r in chat.windows(frame(spark, sample()), 64, 16).collect()}
+    assert whole == pieces
+
+
+def test_empty_table(spark):
+    assert chat.digests(chat.windows(frame(spark, []))).collect() == []
+
+
+@given(st.text(st.sampled_from("<!|>im_endstar \n%0A25"), max_size=40))
+def test_escape_is_reversible(text):
+    import re
+
+    hidden = re.sub(r"<(!*)\|", r"<!\1|", text)
+    assert "<|" not in hidden
+    assert chat.unescape(hidden) == text
+
+
+def test_spark_escapes_alike(spark):
+    text = "<|im_end|><!|<!!|<<|%0A\n|"
+    row = spark.range(1).select(chat.escaped(F.lit(text)).alias("t"), chat.escaped_role(F.lit(text)).alias("r")).collect()[0]
+    assert "<|" not in row.t + row.r and "\n" not in row.r
+    assert chat.unescape(row.t) == text and chat.unescape_role(row.r) == text

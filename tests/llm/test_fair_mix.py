@@ -1,0 +1,101 @@
+import hashlib
+import random
+
+from ledgerloom.llm import fair_mix
+
+
+def brute(rows, weights=(1, 2, 3), repeats=3):
+    """(size, source size, target, copies) of each row (id, text, source), from the definition."""
+    sized = [(i, len([w for w in (t or "").split() if w]), s) for i, t, s in rows]
+    names = sorted({s for _, _, s in sized}, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[n % len(weights)] for n, s in enumerate(names)}
+    size = {s: sum(n for _, n, t in sized if t == s) for s in names}
+    target, open_, left = {}, set(names), sum(size.values())
+    while True:
+        level = {s: left * weight[s] / sum(weight[t] for t in open_) for s in open_}
+        over = {s for s in open_ if level[s] >= repeats * size[s]}
+        if not over:
+            break
+        for s in over:
+            target[s] = float(repeats * size[s])
+            left -= repeats * size[s]
+        open_ -= over
+        if not open_:
+            break
+    target.update({s: level[s] for s in open_})
+    queue = {s: [] for s in names}
+    for k, (i, n, s) in enumerate(sized):
+        digest = "" if i is None else hashlib.md5(f"{i}mix".encode()).hexdigest()
+        queue[s].append((digest, i is not None, i or 0, n, k))
+    passes = []
+    for s in names:
+        sent = 0
+        for digest, has_id, i, n, k in sorted(queue[s]):
+            sent += n
+            for e in range(repeats):
+                if target[s] > 0 or e == 0:
+                    finish = (e * size[s] + sent) / target[s] if target[s] else 0.0
+                    passes.append(((finish, s is None, s or "", digest, not has_id, i), n, k))
+    copies, budget = [0] * len(rows), sum(size.values())
+    for _, n, k in sorted(passes):
+        budget -= n
+        if budget < 0:
+            break
+        copies[k] += 1
+    return [(n, size[s], target[s], copies[k]) for k, (_, n, s) in enumerate(sized)]
+
+
+def run(spark, rows):
+    df = spark.createDataFrame([(i, t, s, 0) for i, t, s in rows], "doc_id long, text string, source string, size int")
+    found = fair_mix.fair_mix(df)
+    assert found.columns == ["doc_id", "text", "source", "size", "source_size", "target", "copies", "finish"]
+    return found
+
+
+def key(rows):
+    return sorted(((i, t, s, n, a, round(b, 9), c) for i, t, s, n, a, b, c in rows), key=repr)
+
+
+def check(spark, rows):
+    mine = [(r.doc_id, r.text, r.source, r.size, r.source_size, r.target, r.copies) for r in run(spark, rows).collect()]
+    assert key(mine) == key([(*r, *b) for r, b in zip(rows, brute(rows), strict=True)])
+    return mine
+
+
+def rows_of(n, sources, seed=1):
+    random.seed(seed)
+    return [(i, "w " * random.choice([0, 1, 3, 10, 40]), random.choice(sources)) for i in range(n)]
+
+
+def test_against_the_definition(spark):
+    mine = check(spark, rows_of(300, ["a"] * 8 + ["b", "c", "d", "é", None]))
+    assert sum(r[3] * r[6] for r in mine) <= sum(r[3] for r in mine)
+
+
+def test_pieces_of_a_hot_source(spark, monkeypatch):
+    monkeypatch.setattr(fair_mix, "piece_rows", lambda *_: 7)
+    check(spark, rows_of(200, ["a"] * 8 + ["b", "c"]))
+
+
+def test_nulls_and_repeats(spark):
+    check(spark, [(1, None, None), (None, "a b", "x"), (2, "a", "x"), (3, "", "y"), (3, "", "y"), (4, "a b c", None)])
+    repeated = [(1, "a b", "x")] * 3 + [(2, "c", "y")] * 2
+    assert run(spark, repeated).count() == 5
+
+
+def test_empty_tables_and_empty_texts(spark):
+    assert run(spark, []).collect() == []
+    assert [r.copies for r in run(spark, [(1, "", "a"), (2, None, "b")]).collect()] == [1, 1]
+
+
+def test_order_and_copies(spark):
+    mixed = run(spark, rows_of(100, ["a", "b", "b", "b"])).cache()
+    shown = fair_mix.in_mix_order(mixed)
+    finish = [r.finish for r in shown.collect()]
+    assert finish == sorted(finish)
+    assert len(finish) == sum(r.copies for r in mixed.collect())
+
+
+def test_no_python_in_the_plan(spark, plan_of):
+    plan = plan_of(run(spark, rows_of(20, ["a", "b"])))
+    assert "Python" not in plan and "Arrow" not in plan
