@@ -35,7 +35,9 @@ def _parser() -> argparse.ArgumentParser:
     calendar = job("calendar", "add missing days to the calendar")
     calendar.add_argument("--start")
     calendar.add_argument("--end")
-    job("dimensions", "reload the enterprise dimensions")
+    job("dimensions", "load the enterprise dimensions; known members keep their keys").add_argument(
+        "--renumber", action="store_true", help="number all members anew; all facts must be loaded again")
+    job("constraints", "declared constraints of all tables that are there; exit status 1 if one is broken")
     for name, text in (("daily", "dimensions, facts and checks of a day"),
                        ("star-day", "wallet, lending and payment star facts of a day")):
         job(name, text).add_argument("--day", required=True)
@@ -47,7 +49,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def _stream(spark: SparkSession, w: daily.Warehouse, args: argparse.Namespace) -> None:
     raw = kafka_events(spark, args.servers, args.topic) if args.servers else file_events(spark, args.folder)
-    sink = folder_sink(w.path("public.realtime_transactions"), by_day=True)
+    sink = folder_sink(w.path("public.realtime_transactions"))
     query = start_landing(
         raw, f"{w.root}/_checkpoints/landing", sink, available_now=args.available_now
     )
@@ -71,7 +73,12 @@ def main(argv: list[str]) -> None:
     elif args.job == "calendar":
         daily.load_calendar(w, args.start, args.end)
     elif args.job == "dimensions":
-        daily.load_dimensions(w)
+        daily.load_dimensions(w, args.renumber)
+    elif args.job == "constraints":
+        report = daily.constraint_report(w).where("broken_rows > 0")
+        _show(report)
+        if not report.isEmpty():
+            sys.exit(1)
     elif args.job == "daily":
         daily.run_daily(w, args.day)
     elif args.job == "star-day":

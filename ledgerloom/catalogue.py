@@ -23,7 +23,8 @@ from ledgerloom.sources import bindings as b
 from ledgerloom.sources import files, seeds
 from ledgerloom.sources.readers import file_events
 from ledgerloom.streaming import parse
-from ledgerloom.streaming.landing import folder_sink, landed, start_landing
+from ledgerloom.streaming.landing import folder_sink, landed, reload_landed, start_landing
+from ledgerloom.streaming.parse import landing_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,8 +72,7 @@ def _products(spark: SparkSession, d: str, customers: DataFrame) -> DataFrame:
 
 
 def _calendar(spark: SparkSession, d: str) -> DataFrame:
-    days = seeds.days_between(b.date_bounds(spark, d), "first_day", "last_day")
-    return dims.missing_days(days, None)
+    return dims.missing_days(seeds.calendar(spark, *b.date_bounds(d)), None, first_day=b.EPOCH)
 
 
 def _realtime(
@@ -108,12 +108,12 @@ def dim_customer(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dim_customer_keeping_keys(spark: SparkSession, d: str) -> DataFrame:
-    """The wallets arrive after a first load of the bank customers alone."""
-    bank = b.bank_customer(spark, d)
-    first = dims.customer_dimension(bank, schemas.empty(spark, "ewallet.account"))
-    return dims.customer_dimension_keeping_keys(
-        bank, b.wallet_account(spark, d), stored(first), stored
-    )
+    """The wallets arrive after a first load of the bank customers alone; then it is loaded twice more."""
+    bank, wallet = b.bank_customer(spark, d), b.wallet_account(spark, d)
+    members = dims.customer_dimension(bank, schemas.empty(spark, "ewallet.account"))
+    for _ in range(3):
+        members = dims.customer_dimension_keeping_keys(bank, wallet, stored(members), stored)
+    return members
 
 
 @query
@@ -198,6 +198,63 @@ def daily_run_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return log.select("source_system", "error_type", "log_date")
 
 
+@query
+def daily_run_two_days(spark: SparkSession, d: str) -> DataFrame:
+    """Natural ids of all facts after a second day, before which most of the bank arrived.
+
+    On the first day every landed event loads, each with a customer that the
+    wallets give; the bank customers that join them later must not move a key.
+    """
+    w = daily.Warehouse(spark, scratch_path(spark, "warehouse"))
+    bank, loans = b.bank_customer(spark, d), b.mortgage_loan(spark, d)
+    early = F.substring("cif", -1, 1).isin("0", "3", "6")
+    w.reload("public.realtime_transactions", b.wallet_events(spark, d))
+    w.reload("ewallet.account", b.wallet_account(spark, d))
+    w.reload("corebank.customer", bank.where(early))
+    w.reload("corebank.mortgage_loan", loans.where(early))
+    daily.run_daily(w, LOAN_DAY)
+    w.reload("corebank.customer", bank)
+    w.reload("corebank.mortgage_loan", loans)
+    daily.run_daily(w, PAYMENT_DAY)
+    customers = w.table("mdm.dim_customer").select("customer_sk", "bank_cif", "wallet_user_id")
+    products = w.table("mdm.dim_product_account").select("product_sk", "source_account_id")
+    merchants = w.table("mdm.dim_merchant").select("merchant_sk", "source_merchant_id")
+    held = w.stored("mdm.fact_enterprise_transaction").join(customers, "customer_sk").join(products, "product_sk")
+    return held.join(merchants, "merchant_sk").select(
+        "source_system", "source_trans_id", "base_amount", "trans_date", "bank_cif", "wallet_user_id",
+        "source_account_id", "source_merchant_id")
+
+
+def _after_late_events(spark: SparkSession, d: str) -> daily.Warehouse:
+    """Raw wallet events in two batches, the second after its days were loaded; some without a timestamp."""
+    w = daily.Warehouse(spark, scratch_path(spark, "warehouse"))
+    w.reload("corebank.customer", b.bank_customer(spark, d))
+    w.reload("corebank.mortgage_loan", b.mortgage_loan(spark, d).where(F.lit(False)))
+    w.reload("ewallet.account", b.wallet_account(spark, d))
+    raw = b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"'))
+    rows = landing_rows(parse.parse_events(raw))
+    late = F.coalesce(F.substring("event_id", -1, 1).isin("1", "4", "7"), F.lit(False))
+    sink = folder_sink(w.path("public.realtime_transactions"))
+    sink(rows.where(~late), "query-0")
+    daily.run_daily(w, EVENT_DAY)
+    sink(rows.where(late), "query-1")
+    daily.run_daily(w, "2024-01-16")
+    return w
+
+
+@query
+def daily_run_late_events(spark: SparkSession, d: str) -> DataFrame:
+    facts_held = _after_late_events(spark, d).stored("mdm.fact_enterprise_transaction")
+    return facts_held.select("source_system", "source_trans_id", "base_amount", "trans_timestamp", "trans_date")
+
+
+@query
+def daily_run_late_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    log = _after_late_events(spark, d).stored("mdm.dq_quarantine_log")
+    named = F.get_json_object("raw_payload", "$.source_trans_id").alias("source_trans_id")
+    return log.select("source_system", named, "error_type", "log_date")
+
+
 @query
 def star_day_run(spark: SparkSession, d: str) -> DataFrame:
     """The older daily loads over stored dimensions, one day loaded twice."""
@@ -357,6 +414,18 @@ def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
     return broken.select("cif", "missing_column")
 
 
+@query
+def dq_all_constraints(spark: SparkSession, d: str) -> DataFrame:
+    """The declared constraints of the source tables and enterprise dimensions, and of one star fact."""
+    customers = _stored_customers(spark, d)
+    held = {
+        "corebank.customer": b.bank_customer(spark, d), "ewallet.account": b.wallet_account(spark, d),
+        "mdm.dim_customer": customers, "mdm.dim_merchant": _merchants(spark, d),
+        "star.fact_debt_status": b.debt_fact(spark, d), "star.dim_time": _calendar(spark, d),
+    }
+    return quality.constraint_report(held, schemas.REQUIRED, schemas.UNIQUE, schemas.FOREIGN_KEYS)
+
+
 @query
 def dq_duplicates(spark: SparkSession, d: str) -> DataFrame:
     wallets = quality.duplicates(b.wallet_account(spark, d), "national_id")
@@ -378,8 +447,7 @@ def dim_time(spark: SparkSession, d: str) -> DataFrame:
 def dim_time_missing(spark: SparkSession, d: str) -> DataFrame:
     """Days that a calendar of the wallet events' days lacks."""
     seen = b.wallet_events(spark, d).select(F.to_date("timestamp").alias("full_date")).distinct()
-    days = seeds.days_between(b.date_bounds(spark, d), "first_day", "last_day")
-    return dims.missing_days(days, seen)
+    return dims.missing_days(seeds.calendar(spark, *b.date_bounds(d)), seen, first_day=b.EPOCH)
 
 
 @query
@@ -598,6 +666,38 @@ def stream_landing(spark: SparkSession, d: str) -> DataFrame:
     return landed(spark, f"{base}/out")
 
 
+def _streamed(spark: SparkSession, base: str, checkpoint: str) -> None:
+    start_landing(
+        file_events(spark, f"{base}/in"), f"{base}/{checkpoint}", folder_sink(f"{base}/out"), available_now=True,
+    ).awaitTermination()
+
+
+@query
+def stream_restart(spark: SparkSession, d: str) -> DataFrame:
+    """Half of the wallet events, a restart, the other half, a restart, then all again under a new checkpoint."""
+    base = scratch_path(spark, "stream")
+    raw = b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"'))
+    odd = F.pmod(F.crc32("value"), F.lit(2)) == 1
+    raw.where(odd).write.mode("append").text(f"{base}/in")
+    _streamed(spark, base, "one")
+    raw.where(~odd).write.mode("append").text(f"{base}/in")
+    _streamed(spark, base, "one")
+    _streamed(spark, base, "one")
+    _streamed(spark, base, "two")
+    counted = landed(spark, f"{base}/out").groupBy("event_id", "wallet_id", "base_amount", "timestamp")
+    return counted.agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query
+def stream_after_load(spark: SparkSession, d: str) -> DataFrame:
+    """Wallet events loaded as a table, then the same events streamed into it."""
+    base = scratch_path(spark, "stream")
+    reload_landed(schemas.conform(b.wallet_events(spark, d), "public.realtime_transactions"), f"{base}/out")
+    b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"')).write.text(f"{base}/in")
+    _streamed(spark, base, "one")
+    return landed(spark, f"{base}/out").select("event_id", "wallet_id", "base_amount", "timestamp")
+
+
 # --- fraud -----------------------------------------------------------------
 
 
@@ -634,6 +734,32 @@ def fraud_model_score(spark: SparkSession, d: str) -> DataFrame:
     return fraud.score(_to_score(spark, d), fraud.load_model(spark, path))
 
 
+@query
+def fraud_model_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What does not depend on the trees: rows, bounds, flags, rows without an amount, save and load."""
+    path = scratch_path(spark, "fraud-model")
+    txns = b.wallet_transaction(spark, d)
+    fraud.train(txns, path)
+    unknown = F.when(F.col("txn_id") % 10 != 3, F.col("amount"))
+    to_score = _to_score(spark, d).withColumn("amount", unknown)
+    first = fraud.score(to_score, fraud.load_model(spark, path))
+    again = fraud.score(to_score, fraud.load_model(spark, path)).select(
+        "txn_id", F.col("risk_score").alias("second_score"))
+    learn, test = fraud.split(fraud.training_set(txns))
+    n_learn, n_test = learn.count(), test.count()
+    checked = first.join(again, "txn_id").agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.count_if(F.col("risk_score").between(0, 1)).alias("within_bounds"),
+        F.count_if(F.col("is_fraud") == (F.col("risk_score") > 0.5)).alias("flags_agree"),
+        F.count_if(F.col("risk_score") == F.col("second_score")).alias("same_after_load"),
+        F.count_if(F.col("amount").isNull() & F.col("risk_score").isNull() & F.col("is_fraud").isNull())
+        .alias("unscored"),
+    )
+    share = n_test / max(1, n_learn + n_test)
+    return checked.withColumn("split_rows", F.lit(n_learn + n_test).cast("bigint")).withColumn(
+        "a_fifth_for_tests", F.lit(0.1 <= share <= 0.3))
+
+
 # --- declared by the schema ------------------------------------------------
 
 
@@ -645,7 +771,7 @@ def risk_bucket(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def scd2_customer(spark: SparkSession, d: str) -> DataFrame:
-    """Names in capitals arrive for the customers below a balance."""
+    """Names in capitals arrive for the customers below a balance, every customer named twice."""
     current = b.star_customer(spark, d).select(
         "customer_key", "cif_number", "full_name", "phone_number", "effective_date",
         "expiry_date", "is_current",
@@ -661,7 +787,8 @@ def scd2_customer(spark: SparkSession, d: str) -> DataFrame:
         "phone_number",
     )
     return dims.scd2_merge(
-        current, arrived, "customer_key", "cif_number", ["full_name", "phone_number"], CHANGE_DAY
+        current, arrived.unionAll(arrived), "customer_key", "cif_number", ["full_name", "phone_number"],
+        CHANGE_DAY, stored,
     )
 
 

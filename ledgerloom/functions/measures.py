@@ -23,7 +23,7 @@ def average(total: Column, rows: Column) -> Column:
 
 
 def risk_bucket(days_past_due: str | Column) -> Column:
-    """Ladder of days past due."""
+    """Ladder of days past due. Bounds and labels are fixed values of the schema."""
     days = F.col(days_past_due) if isinstance(days_past_due, str) else days_past_due
     return (
         F.when(days <= 0, "CURRENT")

@@ -16,9 +16,12 @@ def clean_name(text: str | Column) -> Column:
 
 
 def padded_id(prefix: str, number: str | Column, width: int) -> Column:
-    """``prefix`` and the number, zero-filled on the left; null when the number is null."""
-    number = F.col(number) if isinstance(number, str) else number
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """``prefix`` and the number, zero-filled on the left; null when the number is null.
+
+    A number with more digits than ``width`` is kept whole, so ids never repeat.
+    """
+    digits = (F.col(number) if isinstance(number, str) else number).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def short_id(text: str | Column, keep: int = 8) -> Column:

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SLOTS = 512
 
+def _slots(df: DataFrame) -> int:
+    """Null keys are dealt into slots, so many for each shuffle partition that the partitions come out even."""
+    return 64 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def _spread(key: str, by: list[str], mark: str = "?") -> Column:
+
+def _spread(df: DataFrame, key: str, by: list[str], mark: str = "?") -> Column:
     """The join key as text, with nulls spread over slots that match nothing.
 
     A null key matches no row, yet all null keys would hash to one task. Real
     keys start with ``=`` and slots with another mark, so a slot can never meet
     a key. The text is never null, which spares the join its null filter.
     """
-    slot = F.pmod(F.xxhash64(*by), F.lit(NULL_SLOTS)).cast("string")
+    slot = F.pmod(F.xxhash64(*by), F.lit(_slots(df))).cast("string")
     real = F.concat(F.lit("="), F.col(key).cast("string"))
     return F.coalesce(real, F.concat(F.lit(mark), slot), F.lit(mark))
 
@@ -36,7 +39,7 @@ def left_lookup(
     adaptive skew handling, which may split the preserved side of these joins.
     """
     also = also or []
-    left = facts.withColumn("_join_key", _spread(key, spread_by))
+    left = facts.withColumn("_join_key", _spread(facts, key, spread_by))
     right = lookup.withColumn(
         "_join_key", F.concat(F.lit("="), F.col(key).cast("string"))
     ).drop(key)
@@ -60,8 +63,8 @@ def full_outer_on_key(
     Both joins take the same shuffle of ``left``, which Spark then runs once. A
     constant column would differ between them; derive it after the join.
     """
-    keyed_left = left.withColumn("_join_key", _spread(key, left_id, "<")).drop(key)
-    keyed_right = right.withColumn("_join_key", _spread(key, right_id, ">")).drop(key)
+    keyed_left = left.withColumn("_join_key", _spread(left, key, left_id, "<")).drop(key)
+    keyed_right = right.withColumn("_join_key", _spread(right, key, right_id, ">")).drop(key)
     seen = right.where(F.col(key).isNotNull()).select(
         F.concat(F.lit("="), F.col(key).cast("string")).alias("_join_key")
     )
@@ -99,10 +102,11 @@ def natural_id(sources: dict[str, str]) -> Column:
 def with_constant_match(
     facts: DataFrame, dim: DataFrame, condition: Column, key: str
 ) -> DataFrame:
-    """Left join of every fact row to the dimension rows that meet a constant condition.
+    """Left join of every fact row to the one dimension row that meets a constant condition.
 
-    No join is needed: the keys are one scalar subquery, and exploding them
-    keeps the multiplicity (none gives null, one is the normal case).
+    No join is needed: the key is a scalar subquery, null where no row meets the
+    condition. Several rows would multiply every fact, so they fail the job.
     """
-    keys = dim.where(condition).agg(F.collect_list(key)).scalar()
-    return facts.withColumn(key, F.explode_outer(keys))
+    several = F.raise_error(F.lit(f"several rows give a {key} for every fact"))
+    one = F.when(F.count(F.lit(1)) > 1, several.cast(dim.schema[key].dataType)).otherwise(F.max(key))
+    return facts.withColumn(key, dim.where(condition).agg(one).scalar())

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,25 +56,55 @@ def keys_after(dim: DataFrame, rows: DataFrame, key: str, natural: list[str]) ->
     return assign_keys(rows, key, natural, start=1).withColumn(key, F.col(key) + highest)
 
 
-def extend_keys(dim: DataFrame, rows: DataFrame, key: str, natural: list[str]) -> DataFrame:
+def extend_keys(
+    dim: DataFrame, rows: DataFrame, key: str, natural: list[str], tie: list[str] | None = None,
+    looser: list[list[str]] | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """Keys kept for the members ``dim`` already has; only new members are numbered.
 
-    ``natural`` identifies a member in ``dim`` and in ``rows``. Null-safe
-    equality lets a member with a null in its natural key keep its number too.
+    ``natural`` names a member in ``dim`` and in ``rows``; null-safe equality
+    lets a member with a null in it keep its number too. Members with the same
+    natural key are told apart by their place among them, in order of the key in
+    ``dim`` and of ``tie`` in ``rows``, so a repeated member never multiplies.
+    Rows that are left are compared by each list of ``looser`` columns, where
+    these are not null, with the members that are left. ``keep`` stores each
+    step, which the next ones read.
     """
-    known = dim.select(key, *[F.col(c).alias(f"_known_{c}") for c in natural])
-    same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in natural]
-    matched = rows.join(known, same, "left").select(key, *rows.columns)
-    kept = matched.where(F.col(key).isNotNull())
-    new = matched.where(F.col(key).isNull()).drop(key)
-    return kept.unionByName(keys_after(dim, new, key, natural))
-
-
-def serial_ids(df: DataFrame, key: str, start: int = 1) -> DataFrame:
+    tie = tie or []
+    todo, known, kept = rows, dim, []
+    for columns in [natural, *(looser or [])]:
+        there = known.select(key, *[F.col(c).alias(f"_known_{c}") for c in columns])
+        here, apart = todo, None
+        if columns != natural:
+            present = reduce(and_, [F.col(c).isNotNull() for c in columns])
+            here, apart = todo.where(present), todo.where(~present)
+        place = Window.partitionBy(*columns).orderBy(*[F.col(c).asc_nulls_first() for c in [*natural, *tie]])
+        known_place = Window.partitionBy(*[f"_known_{c}" for c in columns]).orderBy(key)
+        there = there.withColumn("_known_place", F.row_number().over(known_place))
+        here = here.withColumn("_place", F.row_number().over(place))
+        same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in columns]
+        matched = keep(here.join(there, [*same, F.col("_place") == F.col("_known_place")], "left").select(
+            key, *rows.columns))
+        kept.append(matched.where(F.col(key).isNotNull()))
+        todo = matched.where(F.col(key).isNull()).drop(key)
+        if apart is not None:
+            todo = todo.unionByName(apart)
+        known = known.join(kept[-1].select(key), key, "left_anti")
+    return reduce(DataFrame.unionByName, [*kept, keys_after(dim, todo, key, [*natural, *tie])])
+
+
+def serial_ids(df: DataFrame, key: str, start: int | Column = 1, tasks: int | None = None) -> DataFrame:
     """Unique but not dense row ids for append-only tables.
 
+    A task owns 2**33 ids. With ``tasks`` the write fails when a task beyond
+    that number gives ids, so that ids cannot run into another range.
+
     A dense number would cost a shuffle of the whole fact table and nothing
     reads one, so the ids follow partition and row position. Use it right
     before a write, because the numbers are fixed only by writing them.
     """
-    return df.select((F.monotonically_increasing_id() + start).alias(key), *df.columns)
+    ids = F.monotonically_increasing_id() + start
+    if tasks is not None:
+        beyond = F.raise_error(F.lit(f"more than {tasks} tasks write rows of one id range"))
+        ids = F.when(F.spark_partition_id() < tasks, ids).otherwise(beyond.cast("bigint"))
+    return df.select(ids.alias(key), *df.columns)

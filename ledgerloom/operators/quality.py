@@ -12,20 +12,33 @@ from ledgerloom.functions.text import iso_timestamp
 INVALID_AMOUNT = "INVALID_AMOUNT"
 
 
-def row_json(df: DataFrame):
+UNDATED = "MISSING_TIMESTAMP"
+
+
+def row_json(df: DataFrame, without: tuple[str, ...] = ()):
     """The row as JSON with nulls kept and timestamps in ISO form."""
     fields = [
         iso_timestamp(name).alias(name) if kind.startswith("timestamp") else F.col(name)
-        for name, kind in df.dtypes
+        for name, kind in df.dtypes if name not in without
     ]
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def invalid_amounts(facts: DataFrame) -> DataFrame:
-    """Quarantine rows for amounts of zero or less; a null amount is not selected."""
+def invalid_amounts(facts: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Quarantine rows for amounts of zero or less; a null amount is not selected.
+
+    ``also`` names columns that stay beside the payload and out of it.
+    """
     return facts.where(F.col("base_amount") <= 0).select(
-        "source_system", row_json(facts).alias("raw_payload"),
-        F.lit(INVALID_AMOUNT).alias("error_type"),
+        "source_system", row_json(facts, also).alias("raw_payload"),
+        F.lit(INVALID_AMOUNT).alias("error_type"), *also,
+    )
+
+
+def undated(facts: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Quarantine rows for facts whose event had no readable timestamp."""
+    return facts.where(F.col("trans_timestamp").isNull()).select(
+        "source_system", row_json(facts, also).alias("raw_payload"), F.lit(UNDATED).alias("error_type"), *also,
     )
 
 
@@ -86,3 +99,31 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
         .where(F.col("copies") > 1)
         .select(F.col(key).cast("string").alias("key_value"), "copies")
     )
+
+
+def constraint_report(
+    held: dict[str, DataFrame], required: dict[str, tuple[str, ...]], unique: dict[str, tuple[str, ...]],
+    foreign: dict[str, dict[str, str]],
+) -> DataFrame:
+    """``(table_name, column_name, rule, broken_rows)`` of every constraint whose tables are in ``held``."""
+    reports = []
+
+    def add(table: str, column: str, rule: str, count: DataFrame) -> None:
+        reports.append(count.select(
+            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(rule).alias("rule"),
+            F.coalesce("n", F.lit(0)).cast("bigint").alias("broken_rows")))
+
+    for table, columns in required.items():
+        if table in held:
+            reports.append(null_counts(held[table], table, list(columns)).select(
+                "table_name", "column_name", F.lit("required").alias("rule"), F.col("null_rows").alias("broken_rows")))
+    for table, columns in unique.items():
+        for column in columns if table in held else ():
+            copies = duplicates(held[table], column)
+            add(table, column, "unique", copies.agg(F.sum(F.col("copies") - 1).alias("n")))
+    for table, keys in foreign.items():
+        for column, other in keys.items() if table in held else ():
+            if other in held:
+                orphans = orphan_keys(held[table], column, held[other].select(F.col(column)))
+                add(table, column, "foreign key", orphans.agg(F.sum("fact_rows").alias("n")))
+    return reduce(DataFrame.unionByName, reports)

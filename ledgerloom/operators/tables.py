@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from ledgerloom.session import scratch_path
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a day
+
+
 def _writer(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
     """One partition column gets rebalanced first: few files per folder, and a
     folder with many rows is split over several tasks by adaptive execution."""
@@ -37,6 +40,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [e.getPath().getName() for e in entries]
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """An empty table where there is none; True when it was created.
 
@@ -90,6 +100,23 @@ def replace_partition(df: DataFrame, path: str, column: str, value: object) -> N
     )
 
 
+def replace_partitions(df: DataFrame, path: str, column: str, values: list | None = None) -> None:
+    """Delete-then-insert of several days in one write.
+
+    The rows are stored beside the table first, so a failure leaves the table as
+    it was. Days of ``values`` without rows are cleared; None stands for all days.
+    """
+    rows = stored(df, "days")
+    held = {str(r[0]) for r in rows.select(column).distinct().collect()}
+    before = set()
+    if exists(df.sparkSession, path):
+        before = {n.partition("=")[2] for n in children(df.sparkSession, path) if n.startswith(f"{column}=")}
+    writer = _writer(rows, column).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+    for value in before & (before if values is None else {str(v) for v in values}) - held - {NO_VALUE}:
+        clear_partition(df.sparkSession, path, column, value)
+
+
 def clear_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
     """Delete one day."""
     schema = T.StructType([f for f in read(spark, path).schema if f.name != column])

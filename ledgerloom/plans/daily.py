@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
@@ -16,9 +16,13 @@ from ledgerloom.operators import quality, tables
 from ledgerloom.operators.keys import serial_ids
 from ledgerloom.plans import dims, facts
 from ledgerloom.sources.readers import declared_table
-from ledgerloom.sources.seeds import calendar
-from ledgerloom.streaming.landing import landed
+from ledgerloom.sources.seeds import CALENDAR_END, CALENDAR_START, calendar
+from ledgerloom.streaming.landing import BATCH_COLUMN, in_months, landed, reload_landed, with_batches
 
+LANDING = "public.realtime_transactions"
+FACTS = "mdm.fact_enterprise_transaction"
+LOADED = "mdm.loaded_batches"  # batches of the landing table that a daily run has taken up
+TASKS = 1 << 15  # of one write: a task owns 2**33 row ids, and a day 2**48
 FACT_DAY = "trans_date"
 LOG_DAY = "log_date"
 STAR_DAY = "time_key"
@@ -45,29 +49,40 @@ class Warehouse:
 
     def events(self, ds: str) -> DataFrame:
         """Landed events of one day."""
-        return landed(self.spark, self.path("public.realtime_transactions"), ds)
+        return landed(self.spark, self.path(LANDING), ds)
 
     def stored(self, table: str) -> DataFrame:
         """A table with all stored columns, row ids and partition columns included."""
         return self.spark.read.parquet(self.path(table))
 
+    def existing(self, table: str) -> DataFrame | None:
+        return self.table(table) if tables.exists(self.spark, self.path(table)) else None
+
     def reload(self, table: str, rows: DataFrame) -> None:
-        tables.overwrite(schemas.conform(rows, table), self.path(table))
+        rows = schemas.conform(rows, table)
+        if table == LANDING:
+            reload_landed(rows, self.path(table))
+        else:
+            tables.overwrite(rows, self.path(table))
+
+    def revise(self, table: str, rows: DataFrame) -> None:
+        """Reload with rows that were made from the table itself."""
+        tables.rewrite(schemas.conform(rows, table), self.path(table))
 
     def replace_day(self, table: str, rows: DataFrame, column: str, value: object,
                     row_id: str | None = None) -> None:
         """Replace one partition, with row ids of the day's own range when asked for."""
         rows = schemas.conform(rows, table)
         if row_id:
-            rows = serial_ids(rows, row_id, start=_first_id(value))
+            rows = serial_ids(rows, row_id, start=_first_id(value), tasks=TASKS)
         tables.replace_partition(rows, self.path(table), column, value)
 
 
 def _first_id(ds: object) -> int:
     """Row ids of a day start at its number since 2000 times 2**48.
 
-    Days cannot collide as long as one write has fewer than 2**15 tasks, since a
-    task owns 2**33 ids.
+    Days before 2000 have negative ids. Days cannot collide, since a write with
+    2**15 tasks or more fails and a task owns 2**33 ids.
     """
     return (dt.date.fromisoformat(str(ds)) - dt.date(2000, 1, 1)).days << 48
 
@@ -79,25 +94,38 @@ def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
             running.result()
 
 
-def load_dimensions(w: Warehouse) -> None:
-    """Customers with their match log beside merchants, then product accounts."""
+def load_dimensions(w: Warehouse, renumber: bool = False) -> None:
+    """Customers with their match log beside merchants, then product accounts.
+
+    Members that the tables hold keep their keys, because facts of earlier days
+    point at them. ``renumber`` numbers everything anew; all facts have to be
+    loaded again after that.
+    """
     wallet = w.table("ewallet.account")
 
+    def held(table: str) -> DataFrame | None:
+        return None if renumber else w.existing(table)
+
     def customers() -> None:
-        bank = w.table("corebank.customer")
-        w.reload("mdm.dim_customer", dims.customer_dimension(bank, wallet, tables.stored))
+        bank, known = w.table("corebank.customer"), held("mdm.dim_customer")
+        if known is None:
+            w.reload("mdm.dim_customer", dims.customer_dimension(bank, wallet, tables.stored))
+        else:
+            rows = dims.customer_dimension_keeping_keys(bank, wallet, known, tables.stored)
+            w.revise("mdm.dim_customer", rows)
         log = dims.deduplication_log(w.table("mdm.dim_customer"))
         w.reload("mdm.mdm_deduplication_log", log)
 
     def merchants() -> None:
-        events = w.table("public.realtime_transactions")
-        w.reload("mdm.dim_merchant", dims.merchant_dimension(events, tables.stored))
+        known = held("mdm.dim_merchant")
+        w.revise("mdm.dim_merchant", dims.merchant_dimension(w.table(LANDING), tables.stored, known))
 
     together(w.spark, customers, merchants)
     products = dims.product_dimension(
-        wallet, w.table("corebank.mortgage_loan"), w.table("mdm.dim_customer"), tables.stored
+        wallet, w.table("corebank.mortgage_loan"), w.table("mdm.dim_customer"), tables.stored,
+        held("mdm.dim_product_account"),
     )
-    w.reload("mdm.dim_product_account", products)
+    w.revise("mdm.dim_product_account", products)
 
 
 def load_enterprise_facts(w: Warehouse, ds: str) -> None:
@@ -107,30 +135,95 @@ def load_enterprise_facts(w: Warehouse, ds: str) -> None:
     lending = facts.lending_facts(
         w.table("corebank.mortgage_loan"), customers, w.table("mdm.dim_product_account"), ds
     )
-    w.replace_day(
-        "mdm.fact_enterprise_transaction", realtime.unionByName(lending), FACT_DAY, ds, "fact_id"
-    )
+    w.replace_day(FACTS, realtime.unionByName(lending), FACT_DAY, ds, "fact_id")
 
 
 def monitor_quality(w: Warehouse, ds: str) -> None:
     """Quarantine the day's invalid amounts; a second run replaces the first."""
-    day = w.stored("mdm.fact_enterprise_transaction").where(
-        F.col(FACT_DAY) == F.lit(ds).cast("date")
-    )
-    row = day.select("fact_id", *schemas.struct_of("mdm.fact_enterprise_transaction").names)
+    day = w.stored(FACTS).where(F.col(FACT_DAY) == F.lit(ds).cast("date"))
+    row = day.select("fact_id", *schemas.struct_of(FACTS).names)
     w.replace_day("mdm.dq_quarantine_log", quality.invalid_amounts(row), LOG_DAY, ds, "log_id")
 
 
+def new_batches(w: Warehouse) -> list[str]:
+    """Batches that have landed since the last daily run; their names are folder names."""
+    landing = with_batches(w.spark, w.path(LANDING)).select(BATCH_COLUMN).distinct()
+    if tables.exists(w.spark, w.path(LOADED)):
+        landing = landing.join(w.spark.read.parquet(w.path(LOADED)), BATCH_COLUMN, "left_anti")
+    return [r[0] for r in landing.collect()]
+
+
+def _on_days(day: str | Column, days: list) -> Column:
+    """Rows of these days; None stands for rows without one."""
+    day = F.col(day) if isinstance(day, str) else day
+    dated = F.coalesce(day.isin([d for d in days if d is not None]), F.lit(False))
+    return dated | day.isNull() if None in days else dated
+
+
+def _with_day_ids(rows: DataFrame, key: str, day: str) -> DataFrame:
+    """Row ids in each day's own range, see ``_first_id``; below all days for rows without one."""
+    number = F.coalesce(F.datediff(day, F.lit("2000-01-01").cast("date")), F.lit(-20000)).cast("bigint")
+    return serial_ids(rows, key, start=F.shiftleft(number, 48), tasks=TASKS)
+
+
+def catch_up(w: Warehouse, ds: str) -> None:
+    """Load the days of all events that have landed since the last run, ``ds`` aside.
+
+    An event counts by its arrival: a late one has its day loaded again, and one
+    without a readable timestamp goes to the partition without a day and to the
+    quarantine. So after a run every landed event is a fact. Disbursements of
+    those days come along.
+    """
+    arrived = new_batches(w)
+    landing = with_batches(w.spark, w.path(LANDING))
+    found = landing.where(F.col(BATCH_COLUMN).isin(arrived)).select(F.to_date("timestamp").alias("day"))
+    # a row for each day of the calendar at most
+    touched = [r[0] for r in found.distinct().collect() if str(r[0]) != ds]
+    if touched:
+        events = landing.where(in_months(touched)).where(_on_days(F.to_date("timestamp"), touched))
+        customers = w.table("mdm.dim_customer")
+        realtime = facts.realtime_facts(
+            events.select(*schemas.struct_of(LANDING).names), customers, w.table("mdm.dim_merchant")
+        )
+        loans = w.table("corebank.mortgage_loan").where(_on_days("disbursement_date", touched))
+        loans = loans.where(F.col("disbursement_date").isNotNull())
+        lending = facts.lending_facts(loans, customers, w.table("mdm.dim_product_account"))
+        rows = schemas.conform(realtime.unionByName(lending), FACTS)
+        rows = _with_day_ids(rows.withColumn(FACT_DAY, F.to_date("trans_timestamp")), "fact_id", FACT_DAY)
+        tables.replace_partitions(rows, w.path(FACTS), FACT_DAY, touched)
+
+        names = ["fact_id", *schemas.struct_of(FACTS).names, FACT_DAY]
+        loaded = w.stored(FACTS).where(_on_days(FACT_DAY, touched)).select(*names)
+        broken = quality.invalid_amounts(loaded, (FACT_DAY,)).unionByName(quality.undated(loaded, (FACT_DAY,)))
+        log = broken.withColumnRenamed(FACT_DAY, LOG_DAY).withColumn("created_at", F.current_timestamp())
+        log = _with_day_ids(log, "log_id", LOG_DAY)
+        tables.replace_partitions(log, w.path("mdm.dq_quarantine_log"), LOG_DAY, touched)
+    if arrived:
+        loaded = w.spark.createDataFrame([(b,) for b in arrived], f"{BATCH_COLUMN} string")
+        tables.append(loaded, w.path(LOADED))
+
+
+def constraint_report(w: Warehouse) -> DataFrame:
+    """``(table_name, column_name, rule, broken_rows)`` for the declared constraints of all stored tables.
+
+    Broken rows are those without a required value, those beyond the first of a
+    unique value, and those whose key the named table lacks.
+    """
+    held = {t: w.table(t) for t in schemas.TABLES if tables.exists(w.spark, w.path(t))}
+    return quality.constraint_report(held, schemas.REQUIRED, schemas.UNIQUE, schemas.FOREIGN_KEYS)
+
+
 def run_daily(w: Warehouse, ds: str) -> None:
-    """Dimensions, facts of the day, quality checks, in that order."""
+    """Dimensions, facts and quality checks of the day and of late events, in that order."""
     load_dimensions(w)
+    catch_up(w, ds)
     load_enterprise_facts(w, ds)
     monitor_quality(w, ds)
 
 
 def load_calendar(w: Warehouse, start: str | None = None, end: str | None = None) -> None:
     """Add the missing days of the calendar; keys of the days already there stay."""
-    days = calendar(w.spark, start, end) if start and end else calendar(w.spark)
+    days = calendar(w.spark, start or CALENDAR_START, end or CALENDAR_END)
     path = w.path("star.dim_time")
     existing = None
     first_key = 1
@@ -138,7 +231,7 @@ def load_calendar(w: Warehouse, start: str | None = None, end: str | None = None
         existing = w.table("star.dim_time")
         last = existing.agg(F.max("time_key")).first()[0]
         first_key = (last or 0) + 1
-    tables.append(dims.missing_days(days, existing, first_key), path)
+    tables.append(dims.missing_days(days, existing, first_key, start or CALENDAR_START), path)
 
 
 def run_star_day(w: Warehouse, ds: str) -> None:

@@ -86,14 +86,20 @@ def customer_dimension(bank: DataFrame, wallet: DataFrame, keep: Keep = lazily)
 def customer_dimension_keeping_keys(
     bank: DataFrame, wallet: DataFrame, existing: DataFrame, keep: Keep = lazily
 ) -> DataFrame:
-    """Reload in which known ``(bank_cif, wallet_user_id)`` pairs keep their key.
+    """Reload in which known customers keep their key.
 
     A full reload numbers anew, while older facts keep the numbers they were
-    written with. Here only new members are numbered.
+    written with. Here only new members are numbered. A member is known by its
+    pair of bank and wallet id; where one of the two has arrived since, by the
+    wallet id or else by the bank id alone. Where two members turn out to be one
+    person, the row keeps the key of its wallet.
     """
-    rows = keep(resolve_customers(bank, wallet).drop("account_id"))
+    rows = keep(resolve_customers(bank, wallet))
     known = existing.where(F.col("customer_sk") != schemas.UNKNOWN_SK)
-    members = extend_keys(known, rows, "customer_sk", ["bank_cif", "wallet_user_id"])
+    members = extend_keys(
+        known, rows, "customer_sk", ["bank_cif", "wallet_user_id"], ["account_id"],
+        looser=[["wallet_user_id"], ["bank_cif"]], keep=keep,
+    )
     return schemas.unknown_member(bank.sparkSession, "mdm.dim_customer").unionByName(
         schemas.conform(members, "mdm.dim_customer")
     )
@@ -109,9 +115,23 @@ def deduplication_log(dim_customer: DataFrame) -> DataFrame:
     )
 
 
-def merchant_dimension(events: DataFrame, keep: Keep = lazily) -> DataFrame:
+def _numbered(
+    rows: DataFrame, existing: DataFrame | None, key: str, natural: list[str], tie: list[str], keep: Keep
+) -> DataFrame:
+    """All rows numbered anew, or only those that ``existing`` does not hold."""
+    if existing is None:
+        return assign_keys(rows, key, natural)
+    known = existing.where(F.col(key) != schemas.UNKNOWN_SK)
+    return extend_keys(known, rows, key, natural, tie, keep=keep)
+
+
+def merchant_dimension(
+    events: DataFrame, keep: Keep = lazily, existing: DataFrame | None = None
+) -> DataFrame:
     """Distinct merchants of the events, a missing name being one of them.
 
+    Merchants of ``existing`` keep their key.
+
     A merchant named like the unknown member's source id would conflict with it
     and is left out.
     """
@@ -121,19 +141,21 @@ def merchant_dimension(events: DataFrame, keep: Keep = lazily) -> DataFrame:
         .where(~F.col("merchant_name").eqNullSafe(F.lit(unknown_id)))
         .withColumn("source_merchant_id", F.col("merchant_name"))
     )
-    members = assign_keys(keep(names), "merchant_sk", ["merchant_name"])
+    members = _numbered(keep(names), existing, "merchant_sk", ["merchant_name"], [], keep)
     return schemas.unknown_member(events.sparkSession, "mdm.dim_merchant").unionByName(
         schemas.conform(members, "mdm.dim_merchant")
     )
 
 
 def product_dimension(
-    accounts: DataFrame, loans: DataFrame, dim_customer: DataFrame, keep: Keep = lazily
+    accounts: DataFrame, loans: DataFrame, dim_customer: DataFrame, keep: Keep = lazily,
+    existing: DataFrame | None = None,
 ) -> DataFrame:
     """Wallet accounts and loans of resolved customers.
 
     Several loans may share a ``branch_cif`` id, so rows are numbered by the
-    key of their source table instead.
+    key of their source table instead. Products of ``existing`` keep their key;
+    of loans under one id the first ones do.
     """
     wallets = accounts.join(
         dim_customer.select("customer_sk", F.col("wallet_user_id").alias("user_id")), "user_id"
@@ -152,19 +174,27 @@ def product_dimension(
         F.col("contract_no").alias("_source_key"),
     )
     rows = keep(wallets.unionByName(mortgages))
-    members = assign_keys(rows, "product_sk", ["product_type", "_source_key", "customer_sk"])
+    if existing is None:
+        members = assign_keys(rows, "product_sk", ["product_type", "_source_key", "customer_sk"])
+    else:
+        members = _numbered(
+            rows, existing, "product_sk", ["product_type", "source_account_id", "customer_sk"], ["_source_key"], keep
+        )
     return schemas.unknown_member(accounts.sparkSession, "mdm.dim_product_account").unionByName(
         schemas.conform(members, "mdm.dim_product_account")
     )
 
 
-def missing_days(days: DataFrame, existing: DataFrame | None, first_key: int = 1) -> DataFrame:
+def missing_days(
+    days: DataFrame, existing: DataFrame | None, first_key: int = 1, first_day: str | None = None
+) -> DataFrame:
     """Calendar rows for the days in ``full_date`` that ``existing`` lacks.
 
-    The key counts days from the first one given, so no sort is needed to
-    number them; ``first_key`` continues after the keys of an older calendar.
+    The key counts days from ``first_day``, which has ``first_key``, so no sort
+    is needed to number them; ``first_key`` continues after the keys of an older
+    calendar. Without ``first_day`` it is the first of the days given.
     """
-    start = days.agg(F.min("full_date")).scalar()
+    start = F.lit(first_day).cast("date") if first_day else days.agg(F.min("full_date")).scalar()
     rows = days.select(
         (F.datediff("full_date", start) + first_key).cast("bigint").alias("time_key"),
         "full_date",
@@ -193,31 +223,38 @@ def new_merchants(events: DataFrame, dim_merchant: DataFrame) -> DataFrame:
 
 
 def scd2_merge(
-    dim: DataFrame, incoming: DataFrame, key: str, natural: str, tracked: list[str], ds: str
+    dim: DataFrame, incoming: DataFrame, key: str, natural: str, tracked: list[str], ds: str,
+    keep: Keep = lazily,
 ) -> DataFrame:
     """Versioned reload: a changed member is closed on ``ds`` and reopened.
 
-    ``incoming`` holds one row per member with its tracked columns. Members it
-    does not name stay as they are.
+    Members that ``incoming`` does not name stay as they are. A member named
+    twice with the same values counts once; with different ones the job fails,
+    since nothing says which is newer. Only current versions are joined, once;
+    ``keep`` stores the join, from which versions and new members are taken.
     """
     day = F.lit(ds).cast("date")
-    arrived = incoming.select(
-        natural, *[F.col(c).alias(f"_new_{c}") for c in tracked], F.lit(True).alias("_named")
-    )
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in tracked])
-    checked = dim.join(arrived, natural, "left").withColumn(
-        "_state",
-        F.when(F.col("is_current") & F.col("_named"), F.when(same, "held").otherwise("closes")),
-    )
-    closes = F.coalesce(F.col("_state") == "closes", F.lit(False))
+    values = F.struct(*[F.col(c) for c in tracked])
+    differ = F.raise_error(F.concat(F.lit("named twice with different values: "), F.col(natural).cast("string")))
+    arrived = incoming.groupBy(natural).agg(F.min(values).alias("_new"), F.max(values).alias("_other"))
+    one = F.when(F.col("_new").eqNullSafe(F.col("_other")), F.col("_new"))
+    arrived = arrived.select(natural, one.otherwise(differ.cast(arrived.schema["_new"].dataType)).alias("_new"))
+    current = dim.where("is_current").withColumn("_held", F.lit(True))
+    joined = keep(current.join(arrived, natural, "full"))
+
+    new = F.col("_new").isNotNull()
+    held = F.coalesce(F.col("_held"), F.lit(False))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new.{c}")) for c in tracked])
+    closes = held & new & ~same
     ended = {
         "expiry_date": F.when(closes, day).otherwise(F.col("expiry_date")),
-        "is_current": F.col("is_current") & ~closes,
+        "is_current": ~closes,
     }
-    versions = checked.select(*[ended.get(c, F.col(c)).alias(c) for c in dim.columns])
-
-    held = checked.where(F.col("_state") == "held").select(natural)
-    opened = incoming.select(natural, *tracked).join(held, natural, "left_anti")
-    opened = opened.withColumn("effective_date", day).withColumn("is_current", F.lit(True))
+    versions = joined.where(held).select(*[ended.get(c, F.col(c)).alias(c) for c in dim.columns])
+    opened = joined.where(new & (~held | ~same)).select(
+        natural, *[F.col(f"_new.{c}").alias(c) for c in tracked],
+        day.alias("effective_date"), F.lit(True).alias("is_current"),
+    )
+    past = dim.where(~F.coalesce(F.col("is_current"), F.lit(False)))
     numbered = keys_after(dim, opened, key, [natural])
-    return versions.unionByName(numbered, allowMissingColumns=True)
+    return versions.unionByName(past).unionByName(numbered, allowMissingColumns=True)

@@ -32,11 +32,18 @@ def training_set(txns: DataFrame) -> DataFrame:
 
 
 def _features(df: DataFrame, code) -> DataFrame:
+    """The inputs of the model; a null amount stands as zero and :func:`score` leaves its row unscored."""
     return df.withColumn("type_code", code.cast("double")).withColumn(
-        "amount_value", F.col("amount").cast("double")
+        "amount_value", F.coalesce(F.col("amount").cast("double"), F.lit(0.0))
     )
 
 
+def _labelled(rows: DataFrame) -> DataFrame:
+    """Rows to learn from or to test on; one without an amount teaches nothing and is left out."""
+    data = _features(rows.where(F.col("amount").isNotNull()), F.col("txn_type"))
+    return data.withColumn("label", F.col("is_fraud").cast("double"))
+
+
 def split(rows: DataFrame, row_id: str = "txn_id") -> tuple[DataFrame, DataFrame]:
     """80/20 by a hash of the row id: no sort, and the same rows on a recomputation."""
     test = F.pmod(F.xxhash64(F.lit(SEED), row_id), F.lit(100)) < TEST_SHARE
@@ -45,7 +52,7 @@ def split(rows: DataFrame, row_id: str = "txn_id") -> tuple[DataFrame, DataFrame
 
 def fit(rows: DataFrame) -> PipelineModel:
     """``rows`` as given by :func:`training_set`."""
-    data = _features(rows, F.col("txn_type")).withColumn("label", F.col("is_fraud").cast("double"))
+    data = _labelled(rows)
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label"
     )
@@ -53,7 +60,7 @@ def fit(rows: DataFrame) -> PipelineModel:
 
 
 def accuracy(model: PipelineModel, rows: DataFrame) -> float:
-    data = _features(rows, F.col("txn_type")).withColumn("label", F.col("is_fraud").cast("double"))
+    data = _labelled(rows)
     return MulticlassClassificationEvaluator(metricName="accuracy").evaluate(model.transform(data))
 
 
@@ -73,7 +80,8 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
 def score(txns: DataFrame, model: PipelineModel | None) -> DataFrame:
     """``risk_score``, ``is_fraud`` and the score in percent for ``txn_type`` and ``amount``.
 
-    Without a model the amount rule decides. Works on batches and on streams.
+    Without a model the amount rule decides. A row without an amount is not
+    scored: all three are null, which is its flag. Works on batches and streams.
     """
     if model is None:
         risk = rule_score("amount")
@@ -88,4 +96,6 @@ def score(txns: DataFrame, model: PipelineModel | None) -> DataFrame:
             .withColumn("is_fraud", F.col("prediction") == 1)
             .select(*txns.columns, "risk_score", "is_fraud")
         )
+    known = F.col("amount").isNotNull()
+    scored = scored.withColumns({c: F.when(known, F.col(c)) for c in ("risk_score", "is_fraud")})
     return scored.withColumn("risk_pct", score_pct("risk_score"))

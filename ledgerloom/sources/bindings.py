@@ -31,7 +31,8 @@ def given(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def padded(prefix: str, number: str, width: int = WIDTH) -> str:
-    return f"concat('{prefix}', lpad(CAST({number} AS STRING), {width}, '0'))"
+    digits = f"CAST({number} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
 def money(value: str) -> str:
@@ -381,11 +382,20 @@ def payment_fact(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def date_bounds(spark: SparkSession, d: str) -> DataFrame:
-    """First and last day that any bound fact can carry, as one row."""
-    orders = given(spark, d, "orders").selectExpr("max(o_orderdate) AS ts")
-    lines = given(spark, d, "lineitem").selectExpr("max(l_shipdate) AS ts")
-    events = given(spark, d, "events").selectExpr("max(ts) AS ts")
-    return orders.unionByName(lines).unionByName(events).selectExpr(
-        f"DATE '{EPOCH}' AS first_day", "to_date(max(ts)) AS last_day"
-    )
+@cache
+def date_bounds(d: str) -> tuple[str, str]:
+    """First and last day that any bound fact can carry, read once for a folder of tables.
+
+    The first day is that of the data where it lies before the day of key 1:
+    keys count on below 1, and no fact is without its day.
+    """
+    spark = SparkSession.active()
+    ends = [
+        given(spark, d, table).selectExpr(f"to_date(min({ts})) AS first", f"to_date(max({ts})) AS last")
+        for table, ts in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
+    ]
+    row = ends[0].unionByName(ends[1]).unionByName(ends[2]).selectExpr(
+        f"CAST(least(min(first), DATE '{EPOCH}') AS STRING) AS first",
+        f"CAST(greatest(max(last), DATE '{EPOCH}') AS STRING) AS last",
+    ).first()
+    return row["first"], row["last"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions.text import normalise_headers
 from ledgerloom.operators import tables
+from ledgerloom.streaming.landing import reload_landed
 
 # Tables whose header is replaced by position.
 POSITIONAL = {
@@ -18,6 +19,7 @@ POSITIONAL = {
     ],
 }
 SKIPPED = "README"
+LANDING_TABLE = "public.realtime_transactions"
 _BLANK_HEADER = re.compile(r"_c\d+")  # what the CSV reader calls a blank header
 
 
@@ -53,6 +55,10 @@ def load_folder(
             continue
         if table in schemas.TABLES:
             rows = schemas.conform(rows, table)
-        tables.overwrite(rows, f"{target.rstrip('/')}/{table}")
+        path = f"{target.rstrip('/')}/{table}"
+        if table == LANDING_TABLE:
+            reload_landed(rows, path)
+        else:
+            tables.overwrite(rows, path)
         loaded.append(table)
     return loaded

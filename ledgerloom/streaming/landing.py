@@ -2,45 +2,54 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom import schemas
 from ledgerloom.functions.dates import on_day
+from ledgerloom.operators.tables import children
 from ledgerloom.sources.readers import jdbc_append
 from ledgerloom.streaming.parse import landing_rows, parse_events
 
-Sink = Callable[[DataFrame, int], None]
-DAY_COLUMN = "event_date"
+Sink = Callable[[DataFrame, object], None]
+MONTH_COLUMN = "event_month"
 BATCH_COLUMN = "batch_id"
+LOADED = "load"  # the batch of rows that a file load puts into the table
 
 
-def folder_sink(path: str, by_day: bool = False) -> Sink:
+def _dated(rows: DataFrame, batch: object) -> DataFrame:
+    """The one layout of the table: folders by month of the event, and in each by batch."""
+    rows = rows.withColumn(MONTH_COLUMN, F.to_date(F.trunc(F.to_date("timestamp"), "month")))
+    return rows.withColumn(BATCH_COLUMN, F.lit(str(batch))).hint("rebalance", MONTH_COLUMN)
+
+
+def folder_sink(path: str) -> Sink:
     """Each batch owns its sub-folders, so a replayed batch replaces itself.
 
-    With ``by_day`` the events of a batch are also split by day, which lets a
-    daily job read its own folders and no others. That suits a live feed, whose
-    batches span a day or two; a backfill over years would write a folder per day
-    and batch.
+    The folders are by month of the event first. A daily job lists one month and
+    skips, by the bounds of the timestamps in the files, the batches of other
+    days; a backfill over years writes a folder for each month and not for each
+    day. Events without a readable timestamp have a folder of their own.
     """
-    root = path.rstrip("/")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if by_day:
-            rows = batch.withColumn(DAY_COLUMN, F.to_date("timestamp"))
-            rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id)).hint("rebalance", DAY_COLUMN)
-            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(DAY_COLUMN, BATCH_COLUMN).parquet(root)
-        else:
-            writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            writer.parquet(f"{root}/{BATCH_COLUMN}={batch_id}")
+    def write(batch: DataFrame, batch_id: object) -> None:
+        writer = _dated(batch, batch_id).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(MONTH_COLUMN, BATCH_COLUMN).parquet(path)
 
     return write
 
 
+def reload_landed(rows: DataFrame, path: str) -> None:
+    """Truncate and full reload of the landing table, in its layout."""
+    writer = _dated(rows, LOADED).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(MONTH_COLUMN, BATCH_COLUMN).parquet(path)
+
+
 def jdbc_sink(url: str, table: str, **options) -> Sink:
     """Append to a database table; a batch replayed after a crash is appended again."""
 
@@ -50,9 +59,18 @@ def jdbc_sink(url: str, table: str, **options) -> Sink:
     return write
 
 
-def to_sinks(*sinks: Sink) -> Sink:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps with its checkpoint over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def to_sinks(*sinks: Sink, checkpoint: str | None = None) -> Sink:
     """Feed non-empty batches to every sink.
 
+    Batch numbers begin at 0 in every query. With ``checkpoint`` a batch is named
+    after its query and its number, so that a second query, or a new checkpoint,
+    never replaces what another one has landed.
+
     With several sinks the batch is kept for their duration, so the source is
     read once. The emptiness test reads one row, not the batch.
     """
@@ -62,8 +80,11 @@ def to_sinks(*sinks: Sink) -> Sink:
             batch = batch.persist()
         try:
             if not batch.isEmpty():
+                name: object = batch_id
+                if checkpoint is not None:
+                    name = f"{query_id(batch.sparkSession, checkpoint)}-{batch_id}"
                 for sink in sinks:
-                    sink(batch, batch_id)
+                    sink(batch, name)
         finally:
             if len(sinks) > 1:
                 batch.unpersist()
@@ -78,7 +99,8 @@ def start_landing(
 
     The checkpoint holds the offsets: a restarted query goes on where it ended.
     """
-    writer = landing_rows(parse_events(raw)).writeStream.foreachBatch(to_sinks(*sinks))
+    writer = landing_rows(parse_events(raw)).writeStream.foreachBatch(
+        to_sinks(*sinks, checkpoint=checkpoint))
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -92,14 +114,34 @@ def start_console(raw: DataFrame, checkpoint: str) -> StreamingQuery:
 
 
 def landed(spark: SparkSession, path: str, ds: str | None = None) -> DataFrame:
-    """The landing table for batch jobs; only the day's folders when ``ds`` is given.
+    """The landing table for batch jobs; only the month's folder, and in it the day, when ``ds`` is given.
 
-    A table without day folders is filtered by the timestamp instead.
+    Spark would ignore files beside these folders without a word, so a table of
+    another layout is refused.
     """
     declared = schemas.struct_of("public.realtime_transactions")
-    rows = spark.read.schema(declared).parquet(path)
-    if ds is not None and DAY_COLUMN in rows.columns:
-        rows = rows.where(F.col(DAY_COLUMN) == F.lit(ds).cast("date"))
-    elif ds is not None:
-        rows = rows.where(on_day("timestamp", ds))
+    rows = with_batches(spark, path)
+    if ds is not None:
+        rows = rows.where(in_months([ds])).where(on_day("timestamp", ds))
     return rows.select(*declared.names)
+
+
+def in_months(days: list) -> Column:
+    """The folders of these days; None stands for events without one."""
+    months = sorted({f"{str(d)[:7]}-01" for d in days if d is not None})
+    named = F.col(MONTH_COLUMN).isin([F.lit(m).cast("date") for m in months]) if months else F.lit(False)
+    return named | F.col(MONTH_COLUMN).isNull() if None in days else named
+
+
+def with_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The landing table with the month and the batch of each event."""
+    declared = schemas.struct_of("public.realtime_transactions")
+    names = [n for n in children(spark, path) if not n.startswith(("_", "."))]
+    odd = [n for n in names if not n.startswith(f"{MONTH_COLUMN}=")]
+    if odd:
+        raise ValueError(f"{path} is not in folders by month: {odd[0]}")
+    if not names:
+        return spark.createDataFrame([], declared).withColumns(
+            {MONTH_COLUMN: F.lit(None).cast("date"), BATCH_COLUMN: F.lit(None).cast("string")})
+    schema = T.StructType([*declared, T.StructField(MONTH_COLUMN, T.DateType()), T.StructField(BATCH_COLUMN, T.StringType())])
+    return spark.read.schema(schema).parquet(path)

@@ -15,10 +15,13 @@ CHECKS["dim_customer_keeping_keys"] = f"""
 , first_load as (
   select 1 + {numbered('cif', "cast(null as bigint)")} as sk, cif from t_bank
 ), arrived as (
-  select p.*, f.sk from t_party p
-  left join first_load f on p.user_id is null and f.cif = p.cif
+  -- the first wallet that joins a bank customer goes on with its key
+  select p.* exclude (place), f.sk
+  from (select *, row_number() over (partition by cif order by user_id nulls first, account_id nulls first) as place
+        from t_party) p
+  left join first_load f on p.place = 1 and f.cif = p.cif
 ), fresh as (
-  select (select max(sk) from first_load) + {numbered('cif', 'user_id')} as sk, * exclude (sk)
+  select (select max(sk) from first_load) + {numbered('cif', 'user_id', 'account_id')} as sk, * exclude (sk)
   from arrived where sk is null
 )
 select 1 as customer_sk, 'N/A' as national_id, 'N/A' as phone_number,
@@ -60,6 +63,30 @@ CHECKS["daily_run_quarantine"] = """
 select source_system, 'INVALID_AMOUNT' as error_type, cast(trans_timestamp as date) as log_date
 from t_enterprise
 where base_amount <= 0 and cast(trans_timestamp as date) in (date '1997-08-23', date '1996-11-01')"""
+CHECKS["daily_run_two_days"] = """
+select e.source_system, e.event_id as source_trans_id, cast(e.amount as double) as base_amount,
+       cast(e.ts as date) as trans_date, p.cif as bank_cif, p.user_id as wallet_user_id,
+       'N/A' as source_account_id, 'NA' as source_merchant_id
+from t_click e left join t_party p on e.source_system = 'EWALLET' and p.user_id = e.wallet_id
+union all
+select 'COREBANK', 'LND_' || l.branch_code, cast(l.principal as double), l.paid_out, p.cif, p.user_id,
+       l.branch_code || '_' || l.cif, 'NA'
+from t_loan l join t_party p on p.cif = l.cif
+where l.paid_out = date '1996-11-01'
+   or l.paid_out = date '1997-08-23' and right(l.cif, 1) in ('0', '3', '6')"""
+LATE_EVENTS = """
+, late_facts as (
+  select e.source_system, e.event_id as source_trans_id, cast(e.base_amount as double) as base_amount,
+         e.timestamp as trans_timestamp, cast(e.timestamp as date) as trans_date
+  from t_parsed e left join t_party p on p.user_id = e.wallet_id where e.source_system = 'EWALLET'
+)"""
+CHECKS["daily_run_late_events"] = LATE_EVENTS + """
+select * from late_facts"""
+CHECKS["daily_run_late_quarantine"] = LATE_EVENTS + """
+select source_system, source_trans_id, 'INVALID_AMOUNT' as error_type, trans_date as log_date
+from late_facts where base_amount <= 0
+union all
+select source_system, source_trans_id, 'MISSING_TIMESTAMP', null from late_facts where trans_timestamp is null"""
 CHECKS["star_day_run"] = """
 , every_fact as (
   select paid_out as full_date, 'debt' as fact, customer_key, outstanding as amount
@@ -152,6 +179,31 @@ CHECKS["dq_orphan_keys"] = "\nunion all ".join(
 )
 CHECKS["dq_not_null"] = """
 select cif, 'national_id' as missing_column from t_bank where national_id is null"""
+def _required(table: str, source: str, **columns: str) -> list[str]:
+    return [f"select '{table}' as table_name, '{name}' as column_name, 'required' as rule, "
+            f"count(*) filter ({own} is null) as broken_rows from {source}" for name, own in columns.items()]
+
+
+def _unique(table: str, source: str, **columns: str) -> list[str]:
+    return [f"select '{table}', '{name}', 'unique', count({own}) - count(distinct {own}) from {source}"
+            for name, own in columns.items()]
+
+
+CHECKS["dq_all_constraints"] = "\nunion all\n".join([
+    *_required("corebank.customer", "t_bank", cif="cif", full_name="full_name", national_id="national_id"),
+    *_required("ewallet.account", "t_wallet", account_id="account_id", user_id="user_id", phone_number="phone"),
+    *_required("star.dim_time", "t_time", time_key="time_key", full_date="full_date", day="day", month="month",
+               quarter="quarter", year="year"),
+    *_required("star.fact_debt_status", "t_debt", customer_key="customer_key", branch_key="branch_key",
+               product_key="product_key", time_key="time_key"),
+    *_unique("corebank.customer", "t_bank", cif="cif", national_id="national_id"),
+    *_unique("ewallet.account", "t_wallet", account_id="account_id", phone_number="phone"),
+    *_unique("star.dim_time", "t_time", time_key="time_key", full_date="full_date"),
+    *_unique("mdm.dim_customer", "t_customer", customer_sk="customer_sk"),
+    *_unique("mdm.dim_merchant", "t_merchant", merchant_sk="merchant_sk", source_merchant_id="source_merchant_id"),
+    "select 'star.fact_debt_status', 'time_key', 'foreign key', count(*) from t_debt "
+    "where time_key is not null and time_key not in (select time_key from t_time)",
+])
 CHECKS["dq_duplicates"] = """
 select national_id as key_value, count(*) as copies, 'national_id' as column_name
 from t_wallet where national_id is not null group by national_id having count(*) > 1
@@ -323,6 +375,14 @@ select event_id, cast(null as bigint) as account_id, cast(null as double) as amo
        cast(null as integer) as is_fraud_flag, source_system, cif, wallet_id, merchant_name, base_amount
 from t_parsed"""
 
+CHECKS["stream_restart"] = """
+select event_id, wallet_id, cast(base_amount as double) as base_amount, timestamp, 2 * count(*) as copies
+from t_parsed where source_system = 'EWALLET' group by all"""
+CHECKS["stream_after_load"] = """
+select event_id, wallet_id, cast(amount as double) as base_amount, ts as timestamp from t_click
+union all
+select event_id, wallet_id, cast(base_amount as double), timestamp from t_parsed where source_system = 'EWALLET'"""
+
 # --- fraud ------------------------------------------------------------------------------------------
 
 CHECKS["fraud_training_set"] = f"""
@@ -336,6 +396,11 @@ select txn_id, txn_type, cast(amount as double) as amount,
        amount > 3000 as is_fraud,
        cast(case when amount > 3000 then 80 else 10 end as double) as risk_pct
 from t_wallet_txn"""
+CHECKS["fraud_model_checks"] = """
+select count(*) as scored_rows, count(*) filter (txn_id % 10 <> 3) as within_bounds,
+       count(*) filter (txn_id % 10 <> 3) as flags_agree, count(*) filter (txn_id % 10 <> 3) as same_after_load,
+       count(*) filter (txn_id % 10 = 3) as unscored, count(*) as split_rows, true as a_fifth_for_tests
+from t_wallet_txn"""
 CHECKS["fraud_type_codes"] = f"""
 select txn_id, cast({CODE_TYPE.format('txn_type')} as integer) as training_code,
        cast({CODE_TYPE.format('upper(txn_type)')} as integer) as scoring_code

@@ -154,6 +154,13 @@ def test_versions_of_a_changed_customer(spark):
         ("D", "Di", "4", d0, None, True), ("E", "Eve", "5", day, None, True),
     }
     assert sorted(r.customer_key for r in got.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    twice = dims.scd2_merge(
+        dim, arrived.unionAll(arrived), "customer_key", "cif_number", ["full_name", "phone_number"], "2024-05-01")
+    assert sorted(map(tuple, twice.collect()), key=repr) == sorted(map(tuple, got.collect()), key=repr)
+    other = arrived.unionAll(arrived.where("cif_number = 'A'").withColumn("full_name", F.lit("Anne")))
+    with pytest.raises(Exception, match="named twice"):
+        dims.scd2_merge(
+            dim, other, "customer_key", "cif_number", ["full_name", "phone_number"], "2024-05-01").collect()
 
 
 def test_seed_rows(spark):

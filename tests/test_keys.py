@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from ledgerloom.operators.keys import assign_keys, extend_keys, key_bucket, keys_after, serial_ids
 
 
@@ -63,6 +65,32 @@ def test_known_members_keep_their_keys(spark):
     assert got == {("c1", None): 5, ("c2", "w2"): 6, (None, "w3"): 7, ("c4", None): 8}
 
 
+def test_repeated_members_neither_multiply_nor_move(spark):
+    rows = spark.createDataFrame(
+        [("c1", "w1", 1), ("c1", "w1", 2), ("c1", "w1", 3), (None, "w2", 4), ("c3", None, None)],
+        "cif string, wallet string, account int")
+    dim = assign_keys(rows.where("account = 1 OR account IS NULL"), "sk", ["cif", "wallet", "account"])
+    for _ in range(3):
+        dim = extend_keys(dim, rows, "sk", ["cif", "wallet"], ["account"])
+    assert dim.count() == 5 and sorted(r.sk for r in dim.collect()) == [2, 3, 4, 5, 6]
+
+
+def test_a_member_goes_on_when_its_other_id_arrives(spark):
+    dim = spark.createDataFrame([(5, "c1", None), (6, None, "w2"), (7, "c3", "w3")], "sk long, cif string, wallet string")
+    rows = spark.createDataFrame(
+        [("c1", "w1"), ("c1", "w9"), ("c2", "w2"), ("c3", "w3"), ("c4", None)], "cif string, wallet string")
+    got = extend_keys(dim, rows, "sk", ["cif", "wallet"], [], looser=[["wallet"], ["cif"]])
+    keys = {(r.cif, r.wallet): r.sk for r in got.collect()}
+    assert {k: keys[k] for k in [("c1", "w1"), ("c2", "w2"), ("c3", "w3")]} == {
+        ("c1", "w1"): 5, ("c2", "w2"): 6, ("c3", "w3"): 7}
+    assert sorted(keys.values()) == [5, 6, 7, 8, 9]
+
+
+def test_too_many_tasks_for_an_id_range_fail(spark):
+    with pytest.raises(Exception, match="more than 3 tasks"):
+        serial_ids(members(spark, 100, 8), "id", tasks=3).collect()
+
+
 def test_serial_ids_are_unique(spark):
     got = [r.id for r in serial_ids(members(spark, 1000, 8), "id", start=100).collect()]
     assert len(set(got)) == 1000 and min(got) == 100

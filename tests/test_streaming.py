@@ -5,7 +5,17 @@ import os
 import pytest
 
 from ledgerloom.sources import readers
-from ledgerloom.streaming.landing import folder_sink, landed, start_console, start_landing, to_sinks
+from ledgerloom import schemas
+from ledgerloom.plans import daily
+from ledgerloom.streaming.landing import (
+    folder_sink,
+    landed,
+    query_id,
+    start_console,
+    start_landing,
+    to_sinks,
+    with_batches,
+)
 from ledgerloom.streaming.parse import landing_rows, parse_events
 
 PAY = {"source_system": "PAYMENT", "event_id": "p1", "cif": "CIF000001", "card_bin": "450630XXXX",
@@ -70,9 +80,9 @@ def write(folder, name, lines):
         f.write("\n".join(lines) + "\n")
 
 
-def land(spark, base, *extra):
+def land(spark, base, *extra, checkpoint="checkpoint"):
     stream = start_landing(
-        readers.file_events(spark, f"{base}/in", max_files=1), f"{base}/checkpoint", folder_sink(f"{base}/out"),
+        readers.file_events(spark, f"{base}/in", max_files=1), f"{base}/{checkpoint}", folder_sink(f"{base}/out"),
         *extra, available_now=True,
     )
     stream.awaitTermination()
@@ -90,25 +100,49 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
     land(spark, base)
     rows = landed(spark, f"{base}/out")
     assert rows.count() == len(EDGE) + 1 and rows.where("event_id = 'w9'").count() == 1
-    assert sorted(os.listdir(f"{base}/out")) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    own = query_id(spark, f"{base}/checkpoint")
+    batches = {r.batch_id for r in with_batches(spark, f"{base}/out").select("batch_id").distinct().collect()}
+    assert batches == {f"{own}-{n}" for n in range(3)}
 
 
-def test_a_day_reads_its_own_folders(spark, tmp_path, plan_of):
-    sink = folder_sink(f"{tmp_path}/out", by_day=True)
+def test_a_new_checkpoint_replaces_nothing(spark, tmp_path):
+    base = str(tmp_path)
+    write(f"{base}/in", "1.json", EDGE)
+    land(spark, base)
+    os.rename(f"{base}/in", f"{base}/seen")
+    write(f"{base}/in", "2.json", [json.dumps({**WALLET, "event_id": "w9"})])
+    land(spark, base, checkpoint="second")
+    assert landed(spark, f"{base}/out").count() == len(EDGE) + 1
+
+
+def test_streams_add_to_a_loaded_table_and_other_layouts_are_refused(spark, tmp_path):
+    base = str(tmp_path)
+    w = daily.Warehouse(spark, base)
+    rows = landing_rows(parse_events(spark.createDataFrame([(v,) for v in EDGE[:3]], "value string")))
+    w.reload("public.realtime_transactions", rows)
+    folder_sink(w.path("public.realtime_transactions"))(rows, "q-0")
+    assert landed(spark, w.path("public.realtime_transactions")).count() == 6
+    schemas.conform(rows, "public.realtime_transactions").write.parquet(f"{base}/plain")
+    with pytest.raises(ValueError, match="folders by month"):
+        landed(spark, f"{base}/plain")
+
+
+def test_a_day_reads_its_own_month(spark, tmp_path, plan_of):
+    sink = folder_sink(f"{tmp_path}/out")
     later = json.dumps({**PAY, "event_id": "p8", "timestamp": "2024-01-03T00:00:00Z"})
     sink(landing_rows(parse_events(spark.createDataFrame([(v,) for v in [*EDGE, later]], "value string"))), 0)
     day = landed(spark, f"{tmp_path}/out", "2024-01-03")
     assert [r.event_id for r in day.collect()] == ["p8"]
-    assert "PartitionFilters: [isnotnull(event_date" in plan_of(day)
+    assert "PartitionFilters: [isnotnull(event_month" in plan_of(day)
+    assert "GreaterThanOrEqual(timestamp" in plan_of(day)
     # without a timestamp an event belongs to no day, but it is landed
     assert landed(spark, f"{tmp_path}/out").where("timestamp IS NULL").count() == 3
     sink(landing_rows(parse_events(spark.createDataFrame([(later,)], "value string"))), 1)
     assert landed(spark, f"{tmp_path}/out").count() == len(EDGE) + 2
 
 
-@pytest.mark.parametrize("by_day", [False, True])
-def test_a_replayed_batch_replaces_itself(spark, tmp_path, by_day):
-    sink = folder_sink(f"{tmp_path}/out", by_day)
+def test_a_replayed_batch_replaces_itself(spark, tmp_path):
+    sink = folder_sink(f"{tmp_path}/out")
     batch = landing_rows(parse_events(spark.createDataFrame([(v,) for v in EDGE], "value string")))
     for _ in range(2):
         sink(batch, 4)
