@@ -162,6 +162,18 @@ def fact_lending_literal(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def fact_lending_by_type(spark: SparkSession, d: str) -> DataFrame:
+    """Facts and amounts under the type that the accounts have, beside the literal that none has."""
+    customers = _stored_customers(spark, d)
+    kinds = []
+    for kind in ("MORTGAGE_LOAN", "LOAN_CONTRACT"):
+        found = _lending(spark, d, customers, product_type=kind)
+        kinds.append(found.agg(F.count(F.lit(1)).alias("fact_rows"), F.sum("base_amount").alias("base_amount")).select(
+            F.lit(kind).alias("product_type"), "fact_rows", "base_amount"))
+    return kinds[0].unionByName(kinds[1])
+
+
 @query
 def fact_enterprise(spark: SparkSession, d: str) -> DataFrame:
     return _enterprise(spark, d)
@@ -336,6 +348,20 @@ def clear_day(spark: SparkSession, d: str) -> DataFrame:
     return tables.read(spark, path)
 
 
+@query
+def create_and_append(spark: SparkSession, d: str) -> DataFrame:
+    """A table that is created once, gets its rows in two appends, and dates them itself."""
+    path = scratch_path(spark, "append")
+    rows = b.bank_customer(spark, d).drop("created_at")
+    made = [tables.create_if_absent(spark, path, schemas.struct_of("corebank.customer")) for _ in range(2)]
+    late = F.substring("cif", -1, 1).isin("1", "4", "7")
+    for part in (rows.where(~late), rows.where(late)):
+        tables.append(schemas.conform(part, "corebank.customer"), path)
+    return tables.read(spark, path).select(
+        "cif", "full_name", F.col("created_at").isNotNull().alias("dated"),
+        F.lit(made == [True, False]).alias("created_once"))
+
+
 @query
 def insert_ignore(spark: SparkSession, d: str) -> DataFrame:
     """National ids of the wallets that an insert into the bank's would add."""
@@ -688,6 +714,20 @@ def stream_restart(spark: SparkSession, d: str) -> DataFrame:
     return counted.agg(F.count(F.lit(1)).alias("copies"))
 
 
+@query
+def stream_two_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """Every batch reaches two tables; rows and amounts of both."""
+    base = scratch_path(spark, "stream")
+    b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"')).write.text(f"{base}/in")
+    start_landing(
+        file_events(spark, f"{base}/in"), f"{base}/checkpoint", folder_sink(f"{base}/one"), folder_sink(f"{base}/two"),
+        available_now=True,
+    ).awaitTermination()
+    both = [landed(spark, f"{base}/{n}").withColumn("sink", F.lit(n)) for n in ("one", "two")]
+    return both[0].unionByName(both[1]).groupBy("sink", "wallet_id").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("base_amount").alias("base_amount"))
+
+
 @query
 def stream_after_load(spark: SparkSession, d: str) -> DataFrame:
     """Wallet events loaded as a table, then the same events streamed into it."""

@@ -56,6 +56,12 @@ select {ENTERPRISE_COLUMNS} from t_lending
 where exists (select 1 from t_product p where p.product_type = 'LOAN_CONTRACT'
               and p.customer_sk = t_lending.customer_sk)"""
 CHECKS["fact_enterprise"] = f"select {ENTERPRISE_COLUMNS} from t_enterprise"
+CHECKS["fact_lending_by_type"] = """
+select 'MORTGAGE_LOAN' as product_type, count(*) as fact_rows, cast(sum(base_amount) as double) as base_amount
+from t_lending
+union all select 'LOAN_CONTRACT', 0, null"""
+CHECKS["create_and_append"] = """
+select cif, full_name, true as dated, true as created_once from t_bank"""
 CHECKS["daily_run"] = f"""
 select {ENTERPRISE_COLUMNS}, cast(trans_timestamp as date) as trans_date from t_enterprise
 where cast(trans_timestamp as date) in (date '1997-08-23', date '1996-11-01')"""
@@ -378,6 +384,9 @@ from t_parsed"""
 CHECKS["stream_restart"] = """
 select event_id, wallet_id, cast(base_amount as double) as base_amount, timestamp, 2 * count(*) as copies
 from t_parsed where source_system = 'EWALLET' group by all"""
+CHECKS["stream_two_sinks"] = """
+select s.sink, e.wallet_id, count(*) as events, cast(sum(cast(e.base_amount as decimal(18,2))) as double) as base_amount
+from t_parsed e, (values ('one'), ('two')) s(sink) where e.source_system = 'EWALLET' group by all"""
 CHECKS["stream_after_load"] = """
 select event_id, wallet_id, cast(amount as double) as base_amount, ts as timestamp from t_click
 union all
