@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD, fresh, text_of, without
+from ledgerloom.llm.common import SEPARATORS, fresh, text_of, without
 from ledgerloom.operators.tables import stored
 
 RESULT = ("held_out", "score", "predicted")
@@ -38,29 +38,30 @@ class Ensemble:
 
 
 def statistics(text: Column) -> dict[str, Column]:
-    """Name and column of each statistic; none looks at anything but the text."""
+    """Name and column of each statistic; none looks at anything but the text.
+
+    All are plain expressions in generated code, which evaluates the split of
+    the text into words, lines or sentences once for all that use it.
+    """
     chars = F.greatest(F.char_length(text), F.lit(1))
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    n_words = F.greatest(F.size(words), F.lit(1))
+    words = F.split(text, SEPARATORS)
     lines = F.split(text, "\n")
     sentences = F.split(text, r"[.!?\n]+[ \n]*")
 
-    def share(pattern: str) -> Column:
-        return (F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))) / chars
+    def share(rest: Column) -> Column:
+        return (F.char_length(text) - F.char_length(rest)) / chars
 
     return {
         "log_words": F.log1p(F.size(words).cast("double")),
-        "chars_per_word": chars / n_words,
+        "chars_per_word": chars / F.size(words),
         # of natural texts of any length about alike, unlike the plain share of distinct words
-        "variety": F.log1p(F.size(F.array_distinct(words)).cast("double")) / F.log1p(n_words.cast("double")),
+        "variety": F.log1p(F.size(F.array_distinct(words)).cast("double")) / F.log1p(F.size(words).cast("double")),
         "distinct_sentences": F.size(F.array_distinct(sentences)) / F.size(sentences),
-        "capitals": share(r"\p{Lu}+"),
-        "digits": share(r"\d+"),
-        "sentence_marks": share(r"[.,;:?]+"),
-        "exclamations": share(r"!+"),
-        "other_marks": share(r"[^\p{L}\d\s.,;:?!'-]+"),
-        "long_words": F.size(F.filter(words, lambda w: F.char_length(w) > 18)) / n_words,
-        "lone_marks": F.size(F.filter(words, lambda w: w.rlike(r"^[^\p{L}\d]+$"))) / n_words,
+        "capitals": share(F.regexp_replace(text, r"\p{Lu}+", "")),
+        "digits": share(F.regexp_replace(text, "[0-9]+", "")),
+        "sentence_marks": share(F.regexp_replace(text, "[.,;:?]+", "")),
+        "exclamations": share(F.replace(text, F.lit("!"), F.lit(""))),
+        "other_marks": share(F.regexp_replace(text, r"[^\p{L}0-9\s.,;:?!'-]+", "")),
         "words_per_line": F.size(words) / F.size(lines),
         "distinct_lines": F.size(F.array_distinct(lines)) / F.size(lines),
     }
@@ -135,7 +136,9 @@ def scored(docs: DataFrame, ensemble: Ensemble, id_col: str = "doc_id", text_col
     docs = without(docs, *RESULT)
     (name,) = fresh(docs, "stats")
     stats = statistics(text_of(text_col))
+    # a generated row, so that a filter on the score stays above the statistics and none is computed twice
     rows = docs.withColumn(name, F.struct(*[c.cast("double").alias(n) for n, c in stats.items()]))
+    rows = rows.withColumn(name, F.explode(F.array(name)))
     values = [F.col(f"{name}.{n}") for n in stats]
     margin = F.lit(ensemble.intercept)
     for rule, weight in ensemble.rules:
