@@ -432,7 +432,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     ship(docs.sparkSession)
     spark = docs.sparkSession
     anchors = stored(docs.mapInArrow(_anchors(length, seed), "h long, k1 long, k2 long, pos int"), "anchors")
-    counts = anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    # stored, so that the join has plain shuffles on both sides and splits a seed with very many anchors
+    counts = stored(anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "seeds")
     repeated = anchors.join(counts, "h")
     places = stored(
         repeated.groupBy("k1", "k2").agg(
