@@ -102,10 +102,11 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, id_c
     if not 0 <= 4 * history <= budget:
         raise ValueError("the history takes at most a quarter of the budget")
     rows = stored(_numbered(turns, id_col), "turns")
-    system = rows.filter((F.col("n") == 0) & (F.col("role") == "system")).select(
-        "conv", F.col("role").alias("s_role"), F.col("text").alias("s_text"), F.col("tokens").alias("s_tokens"))
-    body = rows.join(system.select("conv", "s_tokens"), "conv", "left").withColumn(
-        "s_tokens", F.coalesce("s_tokens", F.lit(0).cast("long")))
+    # windows are chosen on rows without text
+    narrow = rows.select("conv", "n", "role", "tokens", "before")
+    system = narrow.filter((F.col("n") == 0) & (F.col("role") == "system")).select(
+        "conv", F.col("tokens").alias("s_tokens"))
+    body = narrow.join(system, "conv", "left").withColumn("s_tokens", F.coalesce("s_tokens", F.lit(0).cast("long")))
     only_system = body.filter((F.col("n") == 0) & (F.col("s_tokens") > 0))
     body = body.filter((F.col("n") > 0) | (F.col("s_tokens") == 0)).withColumns({
         "before": F.col("before") - F.col("s_tokens"),
@@ -122,16 +123,14 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, id_c
     later = body.withColumn("w", F.explode(F.sequence(F.col("w") + 1, 2 * F.col("k") + 3)))
     later = later.join(begins, ["conv", "w"]).filter(
         (F.col("begin") > F.col("before")) & (F.col("begin") - F.col("before") <= history))
-    head = begins.join(system, "conv").select(
-        "conv", "w", F.lit(0).cast("long").alias("n"), F.col("s_role").alias("role"), F.col("s_text").alias("text"),
-        F.col("s_tokens").alias("tokens"), (F.col("begin") > 0).alias("again"))
-    columns = ["conv", "w", "n", "role", "text", "tokens"]
-    parts = body.select(*columns, F.lit(False).alias("again")).unionByName(
-        later.select(*columns, F.lit(True).alias("again"))).unionByName(head)
+    first_turn = F.lit(0).cast("long").alias("n")
+    head = begins.join(system, "conv").select("conv", "w", first_turn, (F.col("begin") > 0).alias("again"))
+    parts = body.select("conv", "w", "n", F.lit(False).alias("again")).unionByName(
+        later.select("conv", "w", "n", F.lit(True).alias("again"))).unionByName(head)
     # a conversation of a system turn alone
     lone = only_system.join(begins.select("conv").distinct(), "conv", "left_anti").select(
-        "conv", F.lit(0).cast("long").alias("w"), "n", "role", "text", "tokens", F.lit(False).alias("again"))
-    parts = parts.unionByName(lone)
+        "conv", F.lit(0).cast("long").alias("w"), "n", F.lit(False).alias("again"))
+    parts = parts.unionByName(lone).join(rows.select("conv", "n", "id", "role", "text", "tokens"), ["conv", "n"])
 
     parts = parts.withColumns({"text": escaped(F.col("text")), "head": F.concat(
         F.lit(START), escaped_role(F.col("role")), F.lit("\n"))})
@@ -143,9 +142,9 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, id_c
     done = parts.groupBy("conv", "w").agg(
         F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts"),
         F.array_sort(F.collect_list("mask")).alias("loss"),
-        F.sum(F.col("again").cast("int")).alias("repeated"), F.sum("tokens").alias("tokens"))
-    ids = rows.groupBy("conv").agg(F.first("id").alias(id_col))
-    return done.join(ids, "conv").select(
+        F.sum(F.col("again").cast("int")).alias("repeated"), F.sum("tokens").alias("tokens"),
+        F.first("id").alias(id_col))
+    return done.select(
         id_col, F.col("w").alias("window"), F.array_join("parts.part", "").alias("formatted"), "loss", "repeated", "tokens")
 
 
