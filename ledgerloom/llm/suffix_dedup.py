@@ -450,7 +450,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
         strings = texts.filter(F.size("hot") > 0).select("k1", "k2", "text", "hot").mapInArrow(
             _digests(length, seed), "k1 long, k2 long, begin long, d1 long, d2 long")
         strings = stored(strings, "strings")
-        again = strings.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+        again = stored(strings.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "again")
         found = strings.join(again, ["d1", "d2"])
         spans = spans.unionByName(found.select(
             "k1", "k2", F.expr(f"shiftleft(begin, 32) + begin + {length}").alias("span")))
