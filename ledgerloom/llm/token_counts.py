@@ -13,7 +13,8 @@ Texts are split into chunks that run in lockstep, one table lookup for each
 byte position of all chunks. A chunk's map from entry state to (exit state,
 tokens) is constant after its first cut, so composing the maps of neighbours
 means to run the exit state of one through the head of the next; all chunks do
-so at once, and the sums of a text's chunks are its count.
+so at once, those after a chunk without a cut again until nothing changes, and
+the sums of a text's chunks are its count.
 """
 
 from __future__ import annotations
@@ -147,16 +148,23 @@ class Transducer:
         total, cut, exits, last_cut = self._run(
             data, stream, begin, end - begin, np.zeros(len(doc), np.int64), whole, drop_first=~is_first)
         last_cut = np.maximum.accumulate(last_cut)  # a chunk without a cut goes on with what is open
-        # heads: the exit state of the chunk before, run up to the first cut
-        later = np.flatnonzero(~is_first)
-        if len(later):
-            length = np.where(cut[later] >= 0, cut[later] + 1, (end - begin)[later])
-            joined, _, through, reached = self._run(
-                data, stream, begin[later], length, exits[later - 1], last_cut[later - 1])
-            total[later] += joined
-            uncut = cut[later] < 0
-            exits[later] = np.where(uncut, through, exits[later])
-            last_cut[later] = np.where(uncut, reached, last_cut[later])
+        # heads: the exit state of the chunk before, run up to the first cut; again where that chunk had
+        # no cut of its own and its exit state or last cut came out different
+        todo, heads = np.flatnonzero(~is_first), np.zeros(len(doc), np.int64)
+        while len(todo):
+            length = np.where(cut[todo] >= 0, cut[todo] + 1, (end - begin)[todo])
+            heads[todo], _, through, reached = self._run(
+                data, stream, begin[todo], length, exits[todo - 1], last_cut[todo - 1])
+            uncut = cut[todo] < 0
+            new_exits, new_cut = exits.copy(), last_cut.copy()
+            new_exits[todo[uncut]] = through[uncut]
+            new_cut[todo[uncut]] = np.maximum(new_cut[todo[uncut]], reached[uncut])
+            new_cut = np.maximum.accumulate(new_cut)
+            moved = np.flatnonzero((new_exits != exits) | (new_cut != last_cut)) + 1
+            exits, last_cut = new_exits, new_cut
+            todo = moved[moved < len(doc)]
+            todo = todo[~is_first[todo]]
+        total += heads
         # what is open at the end of a text
         total[is_last] += self.tokens([data[a:b] for a, b in zip(last_cut[is_last].tolist(), ends.tolist(), strict=True)])
         out[full] = np.add.reduceat(total, first)

@@ -34,6 +34,20 @@ def test_chunks_compose(machine):
     assert machine.counts(texts).tolist() == counts(texts)
 
 
+@pytest.mark.parametrize("machine", [MACHINE, TINY])
+def test_runs_that_begin_where_a_chunk_does(machine):
+    texts = ["a " * 255 + "\n" + run * n + tail for run in ("-", "a", "=", "漢") for n in (600, 1024, 2500)
+             for tail in (" b", "", "\n" + "-" * 700 + " c")]
+    texts += ["a " * 254 + "b" * k + "\n" + "-" * 1100 + "\n" for k in range(6)]
+    assert machine.counts(texts).tolist() == counts(texts)
+
+
+def test_long_states_compose():
+    machine = token_counts.Transducer(MODEL, longest=2000)
+    texts = ["a " * 255 + "\n" + "-" * 1700 + " b", "a" * 3000 + " b"]
+    assert machine.counts(texts).tolist() == counts(texts)
+
+
 def test_frame(spark):
     rows = [(1, "the cat", "x"), (None, None, "y"), (2, "", "z"), (2, "", "z"), (3, "long text " * 30000, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
