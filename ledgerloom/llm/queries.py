@@ -11,6 +11,7 @@ from ledgerloom.llm import (
     chat,
     exact_dedup,
     fair_mix,
+    line_dedup,
     packing,
     pseudo_lm,
     rules,
@@ -253,3 +254,33 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     counted = token_counts.token_counts(docs, tokenizer_file())
     return counted.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+# --- 11: lines -------------------------------------------------------------------
+
+
+@query
+def op11_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    kept = line_dedup.line_dedup(docs, least_chars=10, documents=2)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op11_line_dedup"] = r"""
+with given as (
+  select row_number() over () as row_id, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), placed as (
+  select row_id, doc_id, unnest(lines) as line, unnest(range(len(lines))) as pos from given
+), keyed as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from placed
+), held as (
+  select key, min(doc_id) as first from keyed where length(key) >= 10
+  group by key having count(distinct doc_id) >= 2
+), kept as (
+  select k.*, h.key is not null and k.doc_id <> h.first as dropped from keyed k left join held h on h.key = k.key
+)
+select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (dropped) as bigint) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '')) as kept_sha256
+from kept group by row_id, doc_id"""
