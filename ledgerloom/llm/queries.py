@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     chat,
+    divergence,
     exact_dedup,
     fair_mix,
     line_dedup,
@@ -284,3 +285,51 @@ with given as (
 select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (dropped) as bigint) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '')) as kept_sha256
 from kept group by row_id, doc_id"""
+
+
+# --- 12: divergence of sources ------------------------------------------------------
+
+
+@query
+def op12_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.divergence(table(spark, d, "documents"), least_docs=30, top=50)
+
+
+SQL["op12_source_divergence"] = r"""
+with given as (
+  select row_number() over () as row_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+), found as (
+  select row_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from given
+), kept as (
+  select lang, term, count(*) as lang_count from found group by lang, term having count(distinct row_id) >= 30
+), counted as (
+  select lang, source, term, count(*) as n from found group by all
+), langs as (
+  select lang, count(*) as v, sum(lang_count) as lang_total from kept group by lang
+), groups as (
+  select g.lang, g.source, coalesce(l.v, 0) as v, coalesce(l.lang_total, 0) as lang_total, coalesce(t.total, 0) as total
+  from (select distinct lang, source from given) g
+  left join langs l on l.lang = g.lang
+  left join (select c.lang, c.source, sum(c.n) as total from counted c join kept k on k.lang = c.lang and k.term = c.term
+             group by all) t on t.lang = g.lang and t.source = g.source
+), shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+         1 + cast(1000000000 as hugeint) * (coalesce(c.n, 0) + 5) // (cast(g.total as hugeint) + 5 * g.v) as p,
+         1 + cast(1000000000 as hugeint) * (k.lang_count + 5) // (cast(g.lang_total as hugeint) + 5 * g.v) as q
+  from groups g join kept k on k.lang = g.lang
+  left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(sum(abs(a.p - b.p)) as bigint) as value
+  from shares a join shares b on b.lang = a.lang and b.term = a.term and b.source <> a.source group by all
+  union all
+  select a.lang, a.source, 'pair', b.source, 0 from groups a join groups b
+    on b.lang = a.lang and b.source <> a.source and a.v = 0
+), terms as (
+  select lang, source, 'term' as part, term as item, cast(p - q as bigint) as value from shares where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+  from (select * from pairs union all select * from terms)
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50"""
