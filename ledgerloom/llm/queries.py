@@ -15,6 +15,7 @@ from ledgerloom.llm import (
     line_dedup,
     packing,
     pseudo_lm,
+    repair,
     rules,
     simhash,
     suffix_dedup,
@@ -333,3 +334,85 @@ with given as (
   from (select * from pairs union all select * from terms)
 )
 select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50"""
+
+
+# --- 13: conversations ------------------------------------------------------------
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    given = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.digests(repair.repair(repair.damaged(given), ids=given))
+
+
+SQL["op13_conversation_repair"] = r"""
+with named as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as name
+  from conversations
+), summed as (
+  select *, xor(4294967295, list_reduce(list_transform(range(1, length(name) + 1), lambda i: cast(unicode(name[i]) as bigint)),
+    lambda crc, byte: list_reduce(range(8), lambda c, b: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte)), 4294967295)) % 20 as fault
+  from named
+), damaged as (
+  select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+         case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(range(case fault when 0 then 0 when 3 then 2 else 1 end)) as copy
+  from summed
+), numbered as (
+  select *, cast(row_number() over o as bigint) as n, row_number() over (partition by conv_id, role, text order by turn nulls first) as again,
+         substr(role, 1, 1) as initial, lag(substr(role, 1, 1)) over o as before,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') as shown
+  from damaged window o as (partition by conv_id order by turn nulls first, role, md5(text), copy)
+), judged as (
+  select *, case when shown = '' then 'b' when again > 1 then 'd'
+                 when right(shown, 1) not in ('.', '!', '?') then 't' else '' end as fault
+  from numbered
+), steps as (
+  with recursive walk(conv_id, n, state, cost, audit, turns) as (
+    select distinct conv_id, cast(0 as bigint), 0, cast(0 as bigint), '', cast([] as varchar[]) from conversations
+    union all
+    select conv_id, n, state, min(best).cost, min(best).audit, min(best).turns from (
+      select conv_id, n, state, struct_pack(cost := cost, audit := audit, turns := turns) as best from (
+        with entered as (
+          select w.conv_id, w.n + 1 as n, w.state, w.cost, w.audit, w.turns from walk w
+          union all
+          select w.conv_id, w.n + 1, case when w.state = 2 then 3 else 2 end, w.cost + 3, w.audit || 'I',
+                 list_append(w.turns, case when w.state = 2 then 'assistant:' else 'user:' end) from walk w
+        ), matched as (
+          select e.*, j.role, j.text, j.initial, j.fault, case when j.fault = 't' then 3 else 0 end as extra
+          from entered e join judged j on j.conv_id is not distinct from e.conv_id and j.n = e.n
+        )
+        select conv_id, n, state, cost + 4 as cost, audit || 'D' as audit, turns from matched
+        union all
+        select conv_id, n, case when state = 2 then 3 else 2 end, cost + 3 + extra, audit || 'R',
+               list_append(turns, case when state = 2 then 'assistant:' else 'user:' end || text)
+        from matched where fault not in ('b', 'd')
+        union all
+        select conv_id, n, case initial when 's' then 1 when 'u' then 2 else 3 end, cost + extra, audit || 'K',
+               list_append(turns, role || ':' || text)
+        from matched where fault not in ('b', 'd') and (
+          (initial = 's' and state = 0) or (initial = 'u' and state <> 2) or (initial = 'a' and state = 2))
+      )
+    ) group by conv_id, n, state
+  )
+  select * from walk
+), lengths as (
+  select c.conv_id, count(j.n) as n,
+         cast(coalesce(max(j.turn) - min(j.turn) + 1 - count(distinct j.turn), 0) as bigint) as gaps,
+         count(j.n) filter (fault = 'b') as blank, count(j.n) filter (fault = 'd') as duplicate,
+         count(j.n) filter (fault = 't') as truncated,
+         count(j.n) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from (select distinct conv_id from conversations) c
+  left join judged j on j.conv_id is not distinct from c.conv_id group by c.conv_id
+), ended as (
+  select l.conv_id, min(struct_pack(
+           cost := s.cost + case s.state when 1 then 6 when 2 then 3 else 0 end,
+           audit := s.audit || case s.state when 1 then 'II' when 2 then 'I' else '' end,
+           turns := case s.state when 1 then list_concat(s.turns, ['user:', 'assistant:'])
+                                 when 2 then list_append(s.turns, 'assistant:') else s.turns end)) as best
+  from lengths l join steps s on s.conv_id is not distinct from l.conv_id and s.n = l.n group by l.conv_id
+)
+select l.conv_id, l.gaps, l.blank, l.duplicate, l.truncated, l.illegal, e.best.cost as cost, e.best.audit as audit,
+       sha256(array_to_string(e.best.turns, chr(10))) as repaired_sha256
+from lengths l join ended e on e.conv_id is not distinct from l.conv_id"""
