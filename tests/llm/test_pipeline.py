@@ -54,3 +54,32 @@ def test_each_stage_on_its_own_input(spark):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
     assert test_packing  # its brute force holds the last stage
+
+
+NULLS = [
+    (None, None, None, None, None), (None, "", "a", "en", 1), (1, None, "a", None, 2), (2, " \n", None, "en", None),
+    (3, "the same words stand here twice", "a", "en", 3), (3, "the same words stand here twice", "a", "en", 3),
+    (4, "long words " * 20_000, "b", "de", 4), (5, "short", "b", "de", 5),
+]
+
+
+@pytest.mark.parametrize("name", ["quality", "exact_dedup", "near_dedup", "mixing"])
+def test_nulls_repeats_and_clashing_columns(spark, name):
+    schema = "doc_id long, text string, source string, size string, n_chars int, kept string, finish string, predicted int, Score int"
+    docs = spark.createDataFrame([(i, t, s, x, n, "k", "f", -1, n) for i, t, s, x, n in NULLS], schema)
+    out = STAGES[name](spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    given = {tuple(r) for r in docs.collect()}
+    kept = [tuple(r) for r in out.collect()]
+    assert set(kept) <= given
+    if name == "exact_dedup":
+        assert sorted(r[0] for r in kept) == [2, 3, 4, 5]
+    empty = STAGES[name](spark, docs.limit(0), SF_DIR)
+    assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_packing_of_nulls_and_of_nothing(spark):
+    docs = spark.createDataFrame(NULLS, "doc_id long, text string, source string, lang string, bin int")
+    packed = STAGES["packing"](spark, docs, SF_DIR).collect()
+    assert sum(r.size for r in packed) == sum(len((r[1] or "").split()) for r in NULLS)
+    assert STAGES["packing"](spark, docs.limit(0), SF_DIR).count() == 0
