@@ -197,5 +197,5 @@ def in_mix_order(mixed: DataFrame) -> DataFrame:
     """A row for each copy, in order of virtual finish time over all partitions."""
     (epoch,) = fresh(mixed, "epoch")
     rows = mixed.filter("copies > 0").withColumn(epoch, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    time = F.col("finish") + F.coalesce(F.col(epoch) * F.col("source_size") / F.col("target"), F.lit(0.0))
+    time = F.col("finish") + F.coalesce(F.try_divide(F.col(epoch) * F.col("source_size"), F.col("target")), F.lit(0.0))
     return rows.withColumn("finish", time).repartitionByRange("finish").sortWithinPartitions("finish")
