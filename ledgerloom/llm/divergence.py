@@ -28,6 +28,7 @@ from ledgerloom.llm.common import ship, text_of
 from ledgerloom.operators.tables import stored
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what stands between terms
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCS = 30
 TOP_TERMS = 50
@@ -60,11 +61,12 @@ def collapsed(docs: DataFrame) -> DataFrame:
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, docs, count): weighted document frequencies and counts."""
-    terms = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    found = collapsed(docs).select("lang", "h1", "h2", "copies", F.explode(terms).alias("term"))
-    # one row for each term of a text; the rows of a text are in one task already
-    once = found.groupBy("lang", "h1", "h2", "term").agg(
-        F.count(F.lit(1)).alias("times"), F.any_value("copies").alias("copies"))
+    # a text that begins or ends between terms gives an empty string there
+    terms = F.split(F.translate("text", UPPER, LOWER), BETWEEN, -1)
+    found = collapsed(docs).select("lang", "h1", "h2", "copies", F.explode(terms).alias("term")).where("term <> ''")
+    # one row for each term of a text; the rows of a text are in one task already,
+    # and as a part of the key the copies leave the hash table its fixed-size values
+    once = found.groupBy("lang", "h1", "h2", "copies", "term").agg(F.count(F.lit(1)).alias("times"))
     weighed = once.select("lang", "term", "times", F.explode("copies").alias("copy"))
     return weighed.groupBy("lang", F.col("copy.source").alias("source"), "term").agg(
         F.sum("copy.n").alias("docs"), F.sum(F.col("copy.n") * F.col("times")).alias("count"))
