@@ -18,7 +18,7 @@ from ledgerloom.functions import measures
 from ledgerloom.operators import quality, tables
 from ledgerloom.operators.tables import stored
 from ledgerloom.plans import daily, dims, facts, fraud, monitor, views
-from ledgerloom.session import scratch_path, use_utc
+from ledgerloom.session import scratch_path, use_defaults
 from ledgerloom.sources import bindings as b
 from ledgerloom.sources import files, seeds
 from ledgerloom.sources.readers import file_events
@@ -50,7 +50,7 @@ def plain(df: DataFrame) -> DataFrame:
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, d: str) -> DataFrame:
-        use_utc(spark)
+        use_defaults(spark)
         return plain(fn(spark, d))
 
     QUERIES[fn.__name__] = run
@@ -214,13 +214,13 @@ def daily_run_quarantine(spark: SparkSession, d: str) -> DataFrame:
 def daily_run_two_days(spark: SparkSession, d: str) -> DataFrame:
     """Natural ids of all facts after a second day, before which most of the bank arrived.
 
-    On the first day every landed event loads, each with a customer that the
-    wallets give; the bank customers that join them later must not move a key.
+    On the first day every landed event loads, with the customers known by then;
+    the bank customers that join them later must not move a key.
     """
     w = daily.Warehouse(spark, scratch_path(spark, "warehouse"))
     bank, loans = b.bank_customer(spark, d), b.mortgage_loan(spark, d)
     early = F.substring("cif", -1, 1).isin("0", "3", "6")
-    w.reload("public.realtime_transactions", b.wallet_events(spark, d))
+    w.reload("public.realtime_transactions", b.realtime_transactions(spark, d))
     w.reload("ewallet.account", b.wallet_account(spark, d))
     w.reload("corebank.customer", bank.where(early))
     w.reload("corebank.mortgage_loan", loans.where(early))
@@ -238,13 +238,12 @@ def daily_run_two_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _after_late_events(spark: SparkSession, d: str) -> daily.Warehouse:
-    """Raw wallet events in two batches, the second after its days were loaded; some without a timestamp."""
+    """Raw events in two batches, the second after its days were loaded; some without a timestamp."""
     w = daily.Warehouse(spark, scratch_path(spark, "warehouse"))
     w.reload("corebank.customer", b.bank_customer(spark, d))
-    w.reload("corebank.mortgage_loan", b.mortgage_loan(spark, d).where(F.lit(False)))
+    w.reload("corebank.mortgage_loan", b.mortgage_loan(spark, d))
     w.reload("ewallet.account", b.wallet_account(spark, d))
-    raw = b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"'))
-    rows = landing_rows(parse.parse_events(raw))
+    rows = landing_rows(parse.parse_events(b.raw_events(spark, d)))
     late = F.coalesce(F.substring("event_id", -1, 1).isin("1", "4", "7"), F.lit(False))
     sink = folder_sink(w.path("public.realtime_transactions"))
     sink(rows.where(~late), "query-0")
@@ -267,6 +266,24 @@ def daily_run_late_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return log.select("source_system", named, "error_type", "log_date")
 
 
+@query
+def daily_run_reloaded(spark: SparkSession, d: str) -> DataFrame:
+    """The landing table loaded twice, with a daily run after each load.
+
+    The first load lacks a part of the events; the second one has them, and has
+    lost all events of one day.
+    """
+    w = _warehouse(spark, d)
+    events = b.realtime_transactions(spark, d)
+    late = F.substring("event_id", -1, 1).isin("1", "4", "7")
+    w.reload("public.realtime_transactions", events.where(~late))
+    daily.run_daily(w, EVENT_DAY)
+    w.reload("public.realtime_transactions", facts.without_day(events, "timestamp", PAYMENT_DAY))
+    daily.run_daily(w, "2024-01-16")
+    return w.stored("mdm.fact_enterprise_transaction").select(
+        "customer_sk", "source_system", "source_trans_id", "base_amount", "trans_timestamp", "trans_date")
+
+
 @query
 def star_day_run(spark: SparkSession, d: str) -> DataFrame:
     """The older daily loads over stored dimensions, one day loaded twice."""
@@ -317,20 +334,23 @@ def fact_minus_day(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def fact_delete_using(spark: SparkSession, d: str) -> DataFrame:
+    """A stored fact without one day; only the files that hold the day's key are written anew."""
+    path = scratch_path(spark, "delete-using")
+    tables.overwrite(b.debt_fact(spark, d).repartitionByRange("time_key").sortWithinPartitions("time_key"), path)
     day = _calendar(spark, d).where(F.col("full_date") == F.lit(LOAN_DAY).cast("date"))
-    kept = tables.delete_matching(b.debt_fact(spark, d), day, "time_key")
-    return kept.select("customer_key", "product_key", "time_key", "principal_amount")
+    tables.delete_using(spark, path, day, "time_key")
+    return tables.read(spark, path).select("customer_key", "product_key", "time_key", "principal_amount")
 
 
 @query
 def replace_day(spark: SparkSession, d: str) -> DataFrame:
-    """Wallet events by day, then one day replaced by the same rows at twice the amount."""
+    """All events by day, then one day replaced by the same rows at twice the amount, as read from the table."""
     path = scratch_path(spark, "replace-day")
-    rows = b.wallet_events(spark, d).select(
+    rows = b.realtime_transactions(spark, d).select(
         "event_id", "base_amount", F.to_date("timestamp").alias("trans_date")
     )
     tables.overwrite(rows, path, "trans_date")
-    day = rows.where(F.col("trans_date") == F.lit(EVENT_DAY).cast("date"))
+    day = tables.read(spark, path).where(F.col("trans_date") == F.lit(EVENT_DAY).cast("date"))
     doubled = day.withColumn("base_amount", (F.col("base_amount") * 2).cast("decimal(18,2)"))
     tables.replace_partition(doubled, path, "trans_date", EVENT_DAY)
     return tables.read(spark, path)
@@ -340,7 +360,7 @@ def replace_day(spark: SparkSession, d: str) -> DataFrame:
 def clear_day(spark: SparkSession, d: str) -> DataFrame:
     """The same table with the day deleted."""
     path = scratch_path(spark, "clear-day")
-    rows = b.wallet_events(spark, d).select(
+    rows = b.realtime_transactions(spark, d).select(
         "event_id", "base_amount", F.to_date("timestamp").alias("trans_date")
     )
     tables.overwrite(rows, path, "trans_date")
@@ -471,8 +491,8 @@ def dim_time(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dim_time_missing(spark: SparkSession, d: str) -> DataFrame:
-    """Days that a calendar of the wallet events' days lacks."""
-    seen = b.wallet_events(spark, d).select(F.to_date("timestamp").alias("full_date")).distinct()
+    """Days that a calendar of the events' days lacks."""
+    seen = b.realtime_transactions(spark, d).select(F.to_date("timestamp").alias("full_date")).distinct()
     return dims.missing_days(seeds.calendar(spark, *b.date_bounds(d)), seen, first_day=b.EPOCH)
 
 
@@ -700,9 +720,9 @@ def _streamed(spark: SparkSession, base: str, checkpoint: str) -> None:
 
 @query
 def stream_restart(spark: SparkSession, d: str) -> DataFrame:
-    """Half of the wallet events, a restart, the other half, a restart, then all again under a new checkpoint."""
+    """Half of the raw events, a restart, the other half, a restart, then all again under a new checkpoint."""
     base = scratch_path(spark, "stream")
-    raw = b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"'))
+    raw = b.raw_events(spark, d)
     odd = F.pmod(F.crc32("value"), F.lit(2)) == 1
     raw.where(odd).write.mode("append").text(f"{base}/in")
     _streamed(spark, base, "one")
@@ -718,7 +738,7 @@ def stream_restart(spark: SparkSession, d: str) -> DataFrame:
 def stream_two_sinks(spark: SparkSession, d: str) -> DataFrame:
     """Every batch reaches two tables; rows and amounts of both."""
     base = scratch_path(spark, "stream")
-    b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"')).write.text(f"{base}/in")
+    b.raw_events(spark, d).write.text(f"{base}/in")
     start_landing(
         file_events(spark, f"{base}/in"), f"{base}/checkpoint", folder_sink(f"{base}/one"), folder_sink(f"{base}/two"),
         available_now=True,
@@ -730,14 +750,35 @@ def stream_two_sinks(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_after_load(spark: SparkSession, d: str) -> DataFrame:
-    """Wallet events loaded as a table, then the same events streamed into it."""
+    """All events loaded as a table, then the raw events streamed into it."""
     base = scratch_path(spark, "stream")
-    reload_landed(schemas.conform(b.wallet_events(spark, d), "public.realtime_transactions"), f"{base}/out")
-    b.raw_events(spark, d).where(F.col("value").contains('"EWALLET"')).write.text(f"{base}/in")
+    reload_landed(schemas.conform(b.realtime_transactions(spark, d), "public.realtime_transactions"), f"{base}/out")
+    b.raw_events(spark, d).write.text(f"{base}/in")
     _streamed(spark, base, "one")
     return landed(spark, f"{base}/out").select("event_id", "wallet_id", "base_amount", "timestamp")
 
 
+@query
+def stream_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The raw events in many small batches; what a daily run took up is packed, then all batches land once more."""
+    base = scratch_path(spark, "compact")
+    w = daily.Warehouse(spark, base)
+    b.raw_events(spark, d).repartition(6, F.crc32("value")).write.text(f"{base}/in")
+    landing = w.path("public.realtime_transactions")
+
+    def stream(files_at_once: int | None) -> None:
+        start_landing(
+            file_events(spark, f"{base}/in", files_at_once), f"{base}/checkpoint", folder_sink(landing), available_now=True,
+        ).awaitTermination()
+
+    stream(1)
+    daily.Arrivals(w).record(w)
+    daily.compact_landing(w)
+    b.raw_events(spark, d).where(F.col("value").startswith("{broken")).write.mode("append").text(f"{base}/in")
+    stream(None)
+    return landed(spark, landing)
+
+
 # --- fraud -----------------------------------------------------------------
 
 

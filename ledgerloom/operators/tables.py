@@ -1,34 +1,48 @@
 """Table maintenance over Parquet folders.
 
 A table is a folder; a daily table is partitioned by one column. Spark has no
-row-level delete on Parquet, so each operation replaces whole folders and no
-plan overwrites a path that it reads.
+row-level delete on Parquet, so each operation exchanges folders, or the files
+that hold a matching row. New files are complete before old ones go, see
+:mod:`ledgerloom.operators.swap`: a plan may read what it replaces, and a write
+that fails leaves the table as it was.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators import swap
 from ledgerloom.session import scratch_path
 
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a day
 
 
-def _writer(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
+def _dealt(df: DataFrame, partition_by: str | None) -> DataFrame:
     """One partition column gets rebalanced first: few files per folder, and a
     folder with many rows is split over several tasks by adaptive execution."""
-    if partition_by is None:
-        return df.write
-    return df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+    return df if partition_by is None else df.hint("rebalance", partition_by)
+
+
+def _writer(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
+    writer = _dealt(df, partition_by).write
+    return writer if partition_by is None else writer.partitionBy(partition_by)
+
 
+def overwrite(df: DataFrame, path: str, partition_by: str | tuple[str, ...] | None = None) -> None:
+    """Truncate and full reload; the plan may read the table itself.
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Truncate and full reload."""
-    writer = _writer(df, partition_by).mode("overwrite")
-    writer.option("partitionOverwriteMode", "static").parquet(path)
+    Of several partition columns the first one deals the rows to the tasks.
+    """
+    columns = (partition_by,) if isinstance(partition_by, str) else partition_by or ()
+    exchange, name = swap.of_table(df.sparkSession, path)
+    rows = _dealt(df, columns[0] if columns else None)
+    swap.write_counted(rows, f"{exchange.new}/{name}", columns)
+    exchange.commit(put=[name])
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -36,15 +50,13 @@ def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    swap.settle(spark, path)
+    return swap.Files(spark, path).exists(path)
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    return [e.getPath().getName() for e in entries]
+    return swap.Files(spark, path).names(path)
 
 
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
@@ -60,6 +72,7 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bo
 
 def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """With a schema, columns that older files lack read as null."""
+    swap.settle(spark, path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
@@ -88,33 +101,40 @@ def insert_ignore(spark: SparkSession, path: str, incoming: DataFrame, key: str)
     append(without_conflicts(target, incoming, key).select(*target.columns), path)
 
 
+def _folder(column: str, value: object) -> str:
+    return f"{column}={NO_VALUE if value is None else value}"
+
+
 def replace_partition(df: DataFrame, path: str, column: str, value: object) -> None:
-    """Delete-then-insert of one day as one overwrite of that day's folder.
+    """Delete-then-insert of one day as one exchange of that day's folder.
 
-    The folder is written even when ``df`` is empty, which a dynamic partition
-    overwrite would leave untouched, so yesterday's rows cannot survive.
+    The folder is written even when ``df`` is empty, so that the table keeps its
+    columns when all its days are cleared.
     """
-    day = df.drop(column)
-    day.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-        f"{path}/{column}={value}"
-    )
+    exchange, name = swap.of_entries(df.sparkSession, path), _folder(column, value)
+    swap.write_counted(df.drop(column), f"{exchange.new}/{name}")
+    exchange.commit(put=[name])
 
 
 def replace_partitions(df: DataFrame, path: str, column: str, values: list | None = None) -> None:
-    """Delete-then-insert of several days in one write.
+    """Delete-then-insert of several days as one exchange.
 
-    The rows are stored beside the table first, so a failure leaves the table as
-    it was. Days of ``values`` without rows are cleared; None stands for all days.
+    Days of ``values`` without rows are cleared, None among them being the rows
+    without a day; without ``values`` all days are. The plan may read the table.
     """
-    rows = stored(df, "days")
-    held = {str(r[0]) for r in rows.select(column).distinct().collect()}
-    before = set()
-    if exists(df.sparkSession, path):
-        before = {n.partition("=")[2] for n in children(df.sparkSession, path) if n.startswith(f"{column}=")}
-    writer = _writer(rows, column).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-    for value in before & (before if values is None else {str(v) for v in values}) - held - {NO_VALUE}:
-        clear_partition(df.sparkSession, path, column, value)
+    spark = df.sparkSession
+    exchange = swap.of_entries(spark, path)
+    swap.write_counted(_dealt(df, column), exchange.new, (column,))
+    written = [n for n in children(spark, exchange.new) if n.startswith(f"{column}=")]
+    held = [n for n in children(spark, path) if n.startswith(f"{column}=")]
+    named = held if values is None else [_folder(column, v) for v in values]
+    cleared = sorted(set(held) & set(named) - set(written))
+    if cleared and not written and set(held) <= set(cleared):
+        # the last day stays as a folder without rows, which keeps the columns
+        empty = spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != column]))
+        swap.write_counted(empty, f"{exchange.new}/{cleared[0]}")
+        written = [cleared.pop(0)]
+    exchange.commit(put=written, drop=cleared)
 
 
 def clear_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
@@ -136,14 +156,35 @@ def stored(df: DataFrame, label: str = "step") -> DataFrame:
 
 
 def rewrite(kept: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Overwrite a table with a plan that reads the same table.
-
-    The rows are written to the shared folder first and copied from there, so
-    the overwrite never reads what it replaces.
-    """
-    overwrite(stored(kept, "rewrite"), path, partition_by)
+    """Overwrite a table with a plan that reads the same table: its files go when the new ones are there."""
+    overwrite(kept, path, partition_by)
 
 
 def delete_matching(facts: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Facts without the rows whose key is among ``keys`` (a delete through a join)."""
     return facts.join(keys.select(on).distinct(), on, "left_anti").select(*facts.columns)
+
+
+def delete_using(spark: SparkSession, path: str, keys: DataFrame, on: str, partition_by: str | None = None) -> int:
+    """Delete the stored rows whose key is among ``keys``; the number of files that were written anew.
+
+    A first join reads the keys and the names of the files alone. Only files
+    that hold a matching row are read whole and replaced, the others stay as
+    they are, byte for byte.
+    """
+    table = read(spark, path)
+    wanted = stored(keys.select(on).distinct(), "keys")
+    place = table.select(on, F.col("_metadata.file_path").alias("file")).join(wanted, on, "left_semi")
+    # as many names as there are files with a match; the scan's own list of files is longer
+    touched = [unquote(r[0]) for r in place.select("file").distinct().collect()]
+    if not touched:
+        return 0
+    exchange = swap.of_entries(spark, path)
+    columns = () if partition_by is None else (partition_by,)
+    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*touched)
+    swap.write_counted(_dealt(delete_matching(rows, wanted, on), partition_by), exchange.new, columns)
+    folders = [f"{n}/" for n in children(spark, exchange.new) if "=" in n] if columns else [""]
+    put = [f"{folder}{n}" for folder in folders for n in children(spark, f"{exchange.new}/{folder}") if n.endswith(".parquet")]
+    depth = len(columns) + 1  # a file's name, and the folder it is in
+    exchange.commit(put=put, drop=["/".join(f.split("/")[-depth:]) for f in touched])
+    return len(touched)

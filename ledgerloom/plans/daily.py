@@ -17,11 +17,21 @@ from ledgerloom.operators.keys import serial_ids
 from ledgerloom.plans import dims, facts
 from ledgerloom.sources.readers import declared_table
 from ledgerloom.sources.seeds import CALENDAR_END, CALENDAR_START, calendar
-from ledgerloom.streaming.landing import BATCH_COLUMN, in_months, landed, reload_landed, with_batches
+from ledgerloom.streaming.landing import (
+    BATCH_COLUMN,
+    MONTH_COLUMN,
+    batch_folders,
+    compact,
+    in_months,
+    landed,
+    month_of,
+    reload_landed,
+    with_batches,
+)
 
 LANDING = "public.realtime_transactions"
 FACTS = "mdm.fact_enterprise_transaction"
-LOADED = "mdm.loaded_batches"  # batches of the landing table that a daily run has taken up
+LEDGER = "mdm.loaded_batches"  # the batches of the landing table that daily runs have taken up, and their days
 TASKS = 1 << 15  # of one write: a task owns 2**33 row ids, and a day 2**48
 FACT_DAY = "trans_date"
 LOG_DAY = "log_date"
@@ -53,7 +63,14 @@ class Warehouse:
 
     def stored(self, table: str) -> DataFrame:
         """A table with all stored columns, row ids and partition columns included."""
-        return self.spark.read.parquet(self.path(table))
+        return tables.read(self.spark, self.path(table))
+
+    def ledger(self) -> DataFrame:
+        """(batch_id, day): what daily runs have taken up of the landing table."""
+        schema = f"{BATCH_COLUMN} string, day date"
+        if tables.exists(self.spark, self.path(LEDGER)):
+            return tables.read(self.spark, self.path(LEDGER), schema)
+        return self.spark.createDataFrame([], schema)
 
     def existing(self, table: str) -> DataFrame | None:
         return self.table(table) if tables.exists(self.spark, self.path(table)) else None
@@ -94,9 +111,11 @@ def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
             running.result()
 
 
-def load_dimensions(w: Warehouse, renumber: bool = False) -> None:
+def load_dimensions(w: Warehouse, renumber: bool = False, events: DataFrame | None = None) -> None:
     """Customers with their match log beside merchants, then product accounts.
 
+    New merchants are looked for in ``events``, without it in all landed ones.
+
     Members that the tables hold keep their keys, because facts of earlier days
     point at them. ``renumber`` numbers everything anew; all facts have to be
     loaded again after that.
@@ -118,7 +137,11 @@ def load_dimensions(w: Warehouse, renumber: bool = False) -> None:
 
     def merchants() -> None:
         known = held("mdm.dim_merchant")
-        w.revise("mdm.dim_merchant", dims.merchant_dimension(w.table(LANDING), tables.stored, known))
+        named = w.table(LANDING)
+        if known is not None and events is not None:
+            members = known.where(F.col("merchant_sk") != schemas.UNKNOWN_SK)
+            named = events.select("merchant_name").unionByName(members.select("merchant_name"))
+        w.revise("mdm.dim_merchant", dims.merchant_dimension(named, tables.stored, known))
 
     together(w.spark, customers, merchants)
     products = dims.product_dimension(
@@ -145,12 +168,33 @@ def monitor_quality(w: Warehouse, ds: str) -> None:
     w.replace_day("mdm.dq_quarantine_log", quality.invalid_amounts(row), LOG_DAY, ds, "log_id")
 
 
-def new_batches(w: Warehouse) -> list[str]:
-    """Batches that have landed since the last daily run; their names are folder names."""
-    landing = with_batches(w.spark, w.path(LANDING)).select(BATCH_COLUMN).distinct()
-    if tables.exists(w.spark, w.path(LOADED)):
-        landing = landing.join(w.spark.read.parquet(w.path(LOADED)), BATCH_COLUMN, "left_anti")
-    return [r[0] for r in landing.collect()]
+class Arrivals:
+    """What the landing table holds and the ledger does not, and the other way round.
+
+    A batch is known by its name and the month of its events. Batches that a
+    reload took away count too: their days have to be loaded again without them.
+    Names and days are joined as tables; only the days, a row for each day of
+    the calendar at most, come to the driver.
+    """
+
+    def __init__(self, w: Warehouse) -> None:
+        landing, folders = w.path(LANDING), batch_folders(w.spark, w.path(LANDING))
+        folders = folders.select(F.col(MONTH_COLUMN).alias("month"), F.col(BATCH_COLUMN).alias("batch"))
+        ledger = tables.stored(w.ledger().withColumn("known_month", month_of(F.col("day"))), "ledger")
+        same = F.col("month").eqNullSafe(F.col("known_month")) & (F.col("batch") == F.col(BATCH_COLUMN))
+        new = tables.stored(folders.join(ledger, same, "left_anti"), "new")
+        self.kept = ledger.join(folders, same, "left_semi").select(BATCH_COLUMN, "day")
+        gone = ledger.join(folders, same, "left_anti").select(BATCH_COLUMN, "day")
+        rows = with_batches(w.spark, landing)
+        here = F.col("month").eqNullSafe(F.col(MONTH_COLUMN)) & (F.col("batch") == F.col(BATCH_COLUMN))
+        self.events = rows.join(new, here, "left_semi")
+        found = self.events.select(BATCH_COLUMN, F.to_date("timestamp").alias("day")).distinct()
+        self.found = tables.stored(found, "found")
+        self.days = [r[0] for r in self.found.select("day").union(gone.select("day")).distinct().collect()]
+
+    def record(self, w: Warehouse) -> None:
+        """Their facts are loaded: the ledger is as the landing table was."""
+        tables.overwrite(self.kept.unionByName(self.found), w.path(LEDGER))
 
 
 def _on_days(day: str | Column, days: list) -> Column:
@@ -166,19 +210,17 @@ def _with_day_ids(rows: DataFrame, key: str, day: str) -> DataFrame:
     return serial_ids(rows, key, start=F.shiftleft(number, 48), tasks=TASKS)
 
 
-def catch_up(w: Warehouse, ds: str) -> None:
-    """Load the days of all events that have landed since the last run, ``ds`` aside.
+def catch_up(w: Warehouse, ds: str, arrived: Arrivals) -> None:
+    """Load the days of all events that have come or gone since the last run, ``ds`` aside.
 
     An event counts by its arrival: a late one has its day loaded again, and one
     without a readable timestamp goes to the partition without a day and to the
-    quarantine. So after a run every landed event is a fact. Disbursements of
+    quarantine. A day that a reload of the landing table emptied is emptied too.
+    So after a run the facts are those of the landed events. Disbursements of
     those days come along.
     """
-    arrived = new_batches(w)
     landing = with_batches(w.spark, w.path(LANDING))
-    found = landing.where(F.col(BATCH_COLUMN).isin(arrived)).select(F.to_date("timestamp").alias("day"))
-    # a row for each day of the calendar at most
-    touched = [r[0] for r in found.distinct().collect() if str(r[0]) != ds]
+    touched = [d for d in arrived.days if str(d) != ds]
     if touched:
         events = landing.where(in_months(touched)).where(_on_days(F.to_date("timestamp"), touched))
         customers = w.table("mdm.dim_customer")
@@ -198,9 +240,25 @@ def catch_up(w: Warehouse, ds: str) -> None:
         log = broken.withColumnRenamed(FACT_DAY, LOG_DAY).withColumn("created_at", F.current_timestamp())
         log = _with_day_ids(log, "log_id", LOG_DAY)
         tables.replace_partitions(log, w.path("mdm.dq_quarantine_log"), LOG_DAY, touched)
-    if arrived:
-        loaded = w.spark.createDataFrame([(b,) for b in arrived], f"{BATCH_COLUMN} string")
-        tables.append(loaded, w.path(LOADED))
+
+
+def compact_landing(w: Warehouse, **sizes: int) -> bool:
+    """Pack the small batches that daily runs have taken up, and rename them in the ledger; False if there are none.
+
+    Stopped between the two, the next run takes the packed batch for a new one
+    and loads its days once more.
+    """
+    ledger = tables.stored(w.ledger().withColumn(MONTH_COLUMN, month_of(F.col("day"))), "ledger")
+    packed = compact(w.spark, w.path(LANDING), ledger, **sizes)
+    if packed is None:
+        return False
+    name, gone = packed
+    gone = gone.select(F.col(MONTH_COLUMN).alias("month"), F.col(BATCH_COLUMN).alias("batch"))
+    same = F.col("month").eqNullSafe(F.col(MONTH_COLUMN)) & (F.col("batch") == F.col(BATCH_COLUMN))
+    batch = F.when(F.col("batch").isNull(), F.col(BATCH_COLUMN)).otherwise(F.lit(name))
+    renamed = ledger.join(gone, same, "left").select(batch.alias(BATCH_COLUMN), "day").distinct()
+    tables.overwrite(renamed, w.path(LEDGER))
+    return True
 
 
 def constraint_report(w: Warehouse) -> DataFrame:
@@ -214,11 +272,16 @@ def constraint_report(w: Warehouse) -> DataFrame:
 
 
 def run_daily(w: Warehouse, ds: str) -> None:
-    """Dimensions, facts and quality checks of the day and of late events, in that order."""
-    load_dimensions(w)
-    catch_up(w, ds)
+    """Dimensions, facts and quality checks of the day and of late events, in that order.
+
+    The ledger is written last, so a run that stops is made up for by the next.
+    """
+    arrived = Arrivals(w)
+    load_dimensions(w, events=arrived.events)
+    catch_up(w, ds, arrived)
     load_enterprise_facts(w, ds)
     monitor_quality(w, ds)
+    arrived.record(w)
 
 
 def load_calendar(w: Warehouse, start: str | None = None, end: str | None = None) -> None:

@@ -12,11 +12,13 @@ from pyspark.sql import SparkSession
 # the size of the small side has been measured, coalesces small shuffle
 # partitions and splits skewed ones. Nothing in this package hints a broadcast
 # for a side whose size depends on the data.
+SMALLEST_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    SMALLEST_PARTITION: "16k",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # call-site capture costs several driver round trips per column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -28,12 +30,23 @@ def build_session(app: str = "ledgerloom", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    use_defaults(session)
+    return session
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Source timestamps carry no zone; UTC keeps ``Z`` strings and dates aligned."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def use_defaults(spark: SparkSession) -> None:
+    """What a session made elsewhere needs of the defaults.
+
+    Source timestamps carry no zone; UTC keeps ``Z`` strings and dates aligned.
+    Tables by day have thousands of small folders: they are listed by as many
+    tasks as run at once instead of one task for each folder, and small
+    shuffles before a write keep their partitions.
+    """
+    spark.conf.set("spark.sql.session.timeZone", DEFAULTS["spark.sql.session.timeZone"])
+    slots = max(8, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(slots))
+    spark.conf.set(SMALLEST_PARTITION, DEFAULTS[SMALLEST_PARTITION])
 
 
 @cache

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom import schemas
+from ledgerloom.operators.swap import settle
 
 # Fixed values of the event feed.
 TOPIC = "realtime_transactions"
@@ -79,5 +80,7 @@ def declared_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     columns that only name sub-folders are left out.
     """
     declared = schemas.struct_of(table)
-    rows = spark.read.schema(declared).parquet(f"{root.rstrip('/')}/{table}")
+    path = f"{root.rstrip('/')}/{table}"
+    settle(spark, path)
+    rows = spark.read.schema(declared).parquet(path)
     return rows.select(*declared.names)

@@ -3,29 +3,38 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from ledgerloom import schemas
 from ledgerloom.functions.dates import on_day
-from ledgerloom.operators.tables import children
+from ledgerloom.operators import swap, tables
 from ledgerloom.sources.readers import jdbc_append
 from ledgerloom.streaming.parse import landing_rows, parse_events
 
 Sink = Callable[[DataFrame, object], None]
 MONTH_COLUMN = "event_month"
 BATCH_COLUMN = "batch_id"
-LOADED = "load"  # the batch of rows that a file load puts into the table
+LOADED = "load-"  # begins the name of a batch that a file load puts into the table
+PACKED = "packed-"  # begins the name of a batch that compaction has made
+SMALL_BYTES = 32 << 20  # folders below it are packed
+TARGET_BYTES = 128 << 20  # of a packed file
+
+
+def month_of(day: Column) -> Column:
+    return F.to_date(F.trunc(day, "month"))
 
 
 def _dated(rows: DataFrame, batch: object) -> DataFrame:
     """The one layout of the table: folders by month of the event, and in each by batch."""
-    rows = rows.withColumn(MONTH_COLUMN, F.to_date(F.trunc(F.to_date("timestamp"), "month")))
-    return rows.withColumn(BATCH_COLUMN, F.lit(str(batch))).hint("rebalance", MONTH_COLUMN)
+    rows = rows.withColumn(MONTH_COLUMN, month_of(F.to_date("timestamp")))
+    return rows.withColumn(BATCH_COLUMN, F.lit(str(batch)))
 
 
 def folder_sink(path: str) -> Sink:
@@ -38,16 +47,19 @@ def folder_sink(path: str) -> Sink:
     """
 
     def write(batch: DataFrame, batch_id: object) -> None:
-        writer = _dated(batch, batch_id).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows = _dated(batch, batch_id).hint("rebalance", MONTH_COLUMN)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(MONTH_COLUMN, BATCH_COLUMN).parquet(path)
 
     return write
 
 
 def reload_landed(rows: DataFrame, path: str) -> None:
-    """Truncate and full reload of the landing table, in its layout."""
-    writer = _dated(rows, LOADED).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(MONTH_COLUMN, BATCH_COLUMN).parquet(path)
+    """Truncate and full reload of the landing table, in its layout.
+
+    Every load is a batch of its own name, so a daily run sees that it is new.
+    """
+    tables.overwrite(_dated(rows, f"{LOADED}{uuid.uuid4().hex}"), path, (MONTH_COLUMN, BATCH_COLUMN))
 
 
 def jdbc_sink(url: str, table: str, **options) -> Sink:
@@ -136,12 +148,71 @@ def in_months(days: list) -> Column:
 def with_batches(spark: SparkSession, path: str) -> DataFrame:
     """The landing table with the month and the batch of each event."""
     declared = schemas.struct_of("public.realtime_transactions")
-    names = [n for n in children(spark, path) if not n.startswith(("_", "."))]
+    swap.settle(spark, path)
+    names = [n for n in tables.children(spark, path) if not n.startswith(("_", "."))]
     odd = [n for n in names if not n.startswith(f"{MONTH_COLUMN}=")]
     if odd:
         raise ValueError(f"{path} is not in folders by month: {odd[0]}")
     if not names:
         return spark.createDataFrame([], declared).withColumns(
             {MONTH_COLUMN: F.lit(None).cast("date"), BATCH_COLUMN: F.lit(None).cast("string")})
-    schema = T.StructType([*declared, T.StructField(MONTH_COLUMN, T.DateType()), T.StructField(BATCH_COLUMN, T.StringType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(_layout()).parquet(path)
+
+
+def _layout() -> T.StructType:
+    declared = schemas.struct_of("public.realtime_transactions")
+    return T.StructType([*declared, T.StructField(MONTH_COLUMN, T.DateType()), T.StructField(BATCH_COLUMN, T.StringType())])
+
+
+def batch_folders(spark: SparkSession, path: str) -> DataFrame:
+    """(event_month, batch_id, bytes) of the landing table's folders, from their listing; no file is opened."""
+    swap.settle(spark, path)
+    if not any(n.startswith(f"{MONTH_COLUMN}=") for n in tables.children(spark, path)):
+        return spark.createDataFrame([], f"{MONTH_COLUMN} date, {BATCH_COLUMN} string, bytes long")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.groupBy(F.col(MONTH_COLUMN).cast("date"), F.col(BATCH_COLUMN).cast("string")).agg(
+        F.sum("length").alias("bytes"))
+
+
+def replayable(folders: DataFrame) -> DataFrame:
+    """(batch_id) of the newest landed batch of each streaming query: the only one it may write again."""
+    own = folders.where(~F.col(BATCH_COLUMN).startswith(LOADED) & ~F.col(BATCH_COLUMN).startswith(PACKED))
+    number = F.regexp_extract(BATCH_COLUMN, r"(\d+)$", 1).try_cast("long")
+    query = F.regexp_replace(BATCH_COLUMN, r"\d+$", "")
+    return own.groupBy(query.alias("query")).agg(F.max_by(BATCH_COLUMN, number).alias(BATCH_COLUMN)).select(BATCH_COLUMN)
+
+
+def compact(
+    spark: SparkSession, path: str, settled: DataFrame, small: int = SMALL_BYTES, target: int = TARGET_BYTES
+) -> tuple[str, DataFrame] | None:
+    """Pack small folders of a month into files of about ``target`` bytes; the new batch and the folders it replaces.
+
+    ``settled`` names the (event_month, batch_id) that may go; of these the newest
+    batch of a query stays, which a restart may replay: were it packed, its rows
+    would be there twice. Folders are dealt into bins by a running sum of their
+    sizes. One exchange puts the packed folders in the place of the others.
+    """
+    folders = tables.stored(batch_folders(spark, path), "folders")
+    same = F.col("s.month").eqNullSafe(F.col(f"f.{MONTH_COLUMN}")) & (F.col("s.batch") == F.col(f"f.{BATCH_COLUMN}"))
+    known = settled.select(F.col(MONTH_COLUMN).alias("month"), F.col(BATCH_COLUMN).alias("batch")).distinct()
+    little = folders.alias("f").where(F.col("bytes") < small).join(known.alias("s"), same, "left_semi")
+    little = little.join(replayable(folders), BATCH_COLUMN, "left_anti")
+    by_batch = Window.partitionBy(MONTH_COLUMN).orderBy(BATCH_COLUMN)
+    before = F.sum("bytes").over(by_batch) - F.col("bytes")
+    bins = little.withColumn("bin", F.floor(before / target))
+    bins = bins.withColumn("folders", F.count(F.lit(1)).over(Window.partitionBy(MONTH_COLUMN, "bin")))
+    bins = tables.stored(bins.where("folders > 1").select(MONTH_COLUMN, BATCH_COLUMN, "bin"), "bins")
+    members = [f"{MONTH_COLUMN}={r[0] or tables.NO_VALUE}/{BATCH_COLUMN}={r[1]}" for r in bins.collect()]
+    if not members:
+        return None
+    name = f"{PACKED}{uuid.uuid4().hex}"
+    rows = spark.read.schema(_layout()).option("basePath", path).parquet(*[f"{path}/{m}" for m in members])
+    bin_of = bins.select(F.col(MONTH_COLUMN).alias("month"), F.col(BATCH_COLUMN).alias("batch"), "bin")
+    same = F.col("month").eqNullSafe(F.col(MONTH_COLUMN)) & (F.col("batch") == F.col(BATCH_COLUMN))
+    rows = rows.join(bin_of, same).repartition(MONTH_COLUMN, "bin").sortWithinPartitions(MONTH_COLUMN, "bin", "timestamp")
+    exchange = swap.of_entries(spark, path)
+    packed = rows.withColumn(BATCH_COLUMN, F.lit(name)).select(_layout().names)
+    swap.write_counted(packed, exchange.new, (MONTH_COLUMN, BATCH_COLUMN))
+    months = [n for n in tables.children(spark, exchange.new) if n.startswith(f"{MONTH_COLUMN}=")]
+    exchange.commit(put=[f"{m}/{BATCH_COLUMN}={name}" for m in months], drop=members)
+    return name, bins.select(MONTH_COLUMN, BATCH_COLUMN)

@@ -70,21 +70,36 @@ select source_system, 'INVALID_AMOUNT' as error_type, cast(trans_timestamp as da
 from t_enterprise
 where base_amount <= 0 and cast(trans_timestamp as date) in (date '1997-08-23', date '1996-11-01')"""
 CHECKS["daily_run_two_days"] = """
+, dated as (
+  select *, cast(ts as date) as day from t_event
+), early as (
+  select * from t_party where right(cif, 1) in ('0', '3', '6')
+)
 select e.source_system, e.event_id as source_trans_id, cast(e.amount as double) as base_amount,
-       cast(e.ts as date) as trans_date, p.cif as bank_cif, p.user_id as wallet_user_id,
-       'N/A' as source_account_id, 'NA' as source_merchant_id
-from t_click e left join t_party p on e.source_system = 'EWALLET' and p.user_id = e.wallet_id
+       e.day as trans_date, coalesce(p.cif, w.cif) as bank_cif, coalesce(p.user_id, w.user_id) as wallet_user_id,
+       'N/A' as source_account_id, coalesce(e.merchant_name, 'NA') as source_merchant_id
+from dated e
+left join (select *, false as whole from early union all select *, true from t_party) p
+  on e.source_system = 'PAYMENT' and p.cif = e.cif and p.whole = (e.day = date '1996-11-01')
+left join t_party w on e.source_system = 'EWALLET' and w.user_id = e.wallet_id
 union all
 select 'COREBANK', 'LND_' || l.branch_code, cast(l.principal as double), l.paid_out, p.cif, p.user_id,
        l.branch_code || '_' || l.cif, 'NA'
 from t_loan l join t_party p on p.cif = l.cif
 where l.paid_out = date '1996-11-01'
-   or l.paid_out = date '1997-08-23' and right(l.cif, 1) in ('0', '3', '6')"""
+   or right(l.cif, 1) in ('0', '3', '6') and (l.paid_out = date '1997-08-23' or l.paid_out in (select day from dated))"""
 LATE_EVENTS = """
 , late_facts as (
-  select e.source_system, e.event_id as source_trans_id, cast(e.base_amount as double) as base_amount,
+  select e.source_system, e.event_id as source_trans_id,
+         cast(cast(e.base_amount as decimal(18,2)) as double) as base_amount,
          e.timestamp as trans_timestamp, cast(e.timestamp as date) as trans_date
-  from t_parsed e left join t_party p on p.user_id = e.wallet_id where e.source_system = 'EWALLET'
+  from t_parsed e
+  left join t_party p on e.source_system = 'PAYMENT' and p.cif = e.cif
+  left join t_party w on e.source_system = 'EWALLET' and w.user_id = e.wallet_id
+  union all
+  select 'COREBANK', 'LND_' || l.branch_code, cast(l.principal as double), cast(l.paid_out as timestamp), l.paid_out
+  from t_loan l join t_party p on p.cif = l.cif
+  where l.paid_out in (select cast(timestamp as date) from t_parsed)
 )"""
 CHECKS["daily_run_late_events"] = LATE_EVENTS + """
 select * from late_facts"""
@@ -93,6 +108,17 @@ select source_system, source_trans_id, 'INVALID_AMOUNT' as error_type, trans_dat
 from late_facts where base_amount <= 0
 union all
 select source_system, source_trans_id, 'MISSING_TIMESTAMP', null from late_facts where trans_timestamp is null"""
+CHECKS["daily_run_reloaded"] = """
+select customer_sk, source_system, source_trans_id, cast(base_amount as double) as base_amount, trans_timestamp,
+       cast(trans_timestamp as date) as trans_date
+from t_realtime where cast(trans_timestamp as date) <> date '1996-11-01'
+union all
+select customer_sk, source_system, source_trans_id, cast(base_amount as double), trans_timestamp,
+       cast(trans_timestamp as date)
+from t_lending
+where cast(trans_timestamp as date) in (
+  select cast(ts as date) from t_event
+  where cast(ts as date) <> date '1996-11-01' or right(event_id, 1) not in ('1', '4', '7'))"""
 CHECKS["star_day_run"] = """
 , every_fact as (
   select paid_out as full_date, 'debt' as fact, customer_key, outstanding as amount
@@ -121,10 +147,10 @@ CHECKS["replace_day"] = """
 select event_id, cast(ts as date) as trans_date,
        cast(case when cast(ts as date) = date '2024-01-15' then 2 * amount else amount end as double)
          as base_amount
-from t_click"""
+from t_event"""
 CHECKS["clear_day"] = """
 select event_id, cast(ts as date) as trans_date, cast(amount as double) as base_amount
-from t_click where cast(ts as date) <> date '2024-01-15'"""
+from t_event where cast(ts as date) <> date '2024-01-15'"""
 CHECKS["insert_ignore"] = """
 select distinct national_id from t_wallet
 where national_id not in (select national_id from t_bank where national_id is not null)
@@ -221,7 +247,7 @@ where bank_cif is not null group by bank_cif having count(*) > 1"""
 
 CHECKS["dim_time"] = "select * from t_time"
 CHECKS["dim_time_missing"] = """
-select * from t_time where full_date not in (select cast(ts as date) from t_click)"""
+select * from t_time where full_date not in (select cast(ts as date) from t_event)"""
 CHECKS["new_merchants"] = """
 select distinct merchant as merchant_name, 'General' as merchant_category
 from (select merchant from t_pay union all select null from t_click) s
@@ -383,14 +409,18 @@ from t_parsed"""
 
 CHECKS["stream_restart"] = """
 select event_id, wallet_id, cast(base_amount as double) as base_amount, timestamp, 2 * count(*) as copies
-from t_parsed where source_system = 'EWALLET' group by all"""
+from t_parsed group by all"""
 CHECKS["stream_two_sinks"] = """
 select s.sink, e.wallet_id, count(*) as events, cast(sum(cast(e.base_amount as decimal(18,2))) as double) as base_amount
-from t_parsed e, (values ('one'), ('two')) s(sink) where e.source_system = 'EWALLET' group by all"""
+from t_parsed e, (values ('one'), ('two')) s(sink) group by all"""
 CHECKS["stream_after_load"] = """
-select event_id, wallet_id, cast(amount as double) as base_amount, ts as timestamp from t_click
+select event_id, wallet_id, cast(amount as double) as base_amount, ts as timestamp from t_event
+union all
+select event_id, wallet_id, cast(base_amount as double), timestamp from t_parsed"""
+CHECKS["stream_compacted"] = CHECKS["stream_landing"] + """
 union all
-select event_id, wallet_id, cast(base_amount as double), timestamp from t_parsed where source_system = 'EWALLET'"""
+select event_id, null, null, null, currency, timestamp, null, null, source_system, cif, wallet_id, merchant_name, base_amount
+from t_parsed where source_system is null"""
 
 # --- fraud ------------------------------------------------------------------------------------------
 
