@@ -165,6 +165,11 @@ def delete_matching(facts: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return facts.join(keys.select(on).distinct(), on, "left_anti").select(*facts.columns)
 
 
+def matched_files(table: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """(file) of a stored table that holds a key of ``keys``."""
+    return table.select(on, F.col("_metadata.file_path").alias("file")).join(keys, on, "left_semi").select("file").distinct()
+
+
 def delete_using(spark: SparkSession, path: str, keys: DataFrame, on: str, partition_by: str | None = None) -> int:
     """Delete the stored rows whose key is among ``keys``; the number of files that were written anew.
 
@@ -174,9 +179,8 @@ def delete_using(spark: SparkSession, path: str, keys: DataFrame, on: str, parti
     """
     table = read(spark, path)
     wanted = stored(keys.select(on).distinct(), "keys")
-    place = table.select(on, F.col("_metadata.file_path").alias("file")).join(wanted, on, "left_semi")
     # as many names as there are files with a match; the scan's own list of files is longer
-    touched = [unquote(r[0]) for r in place.select("file").distinct().collect()]
+    touched = [unquote(r[0]) for r in matched_files(table, wanted, on).collect()]
     if not touched:
         return 0
     exchange = swap.of_entries(spark, path)
