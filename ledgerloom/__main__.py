@@ -11,7 +11,11 @@ from ledgerloom.plans import daily, fraud, monitor
 from ledgerloom.session import build_session
 from ledgerloom.sources.files import load_folder
 from ledgerloom.sources.readers import TOPIC, file_events, kafka_events
-from ledgerloom.streaming.landing import folder_sink, start_landing
+from ledgerloom.streaming import feed
+from ledgerloom.streaming.landing import dead_letter_sink, folder_sink, start_landing
+
+FEED = "serving.latest_events"
+DEAD_LETTERS = "public.dead_letters"
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -25,6 +29,7 @@ def _parser() -> argparse.ArgumentParser:
 
     load = job("load", "load delimited files into source tables")
     load.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    load.add_argument("--single-line", action="store_true", help="no cell holds a line break, so tasks may share a file")
     load.add_argument("tables", nargs="+", metavar="TABLE=PATH")
     stream = job("stream", "land events until stopped")
     source = stream.add_mutually_exclusive_group(required=True)
@@ -43,15 +48,16 @@ def _parser() -> argparse.ArgumentParser:
         job(name, text).add_argument("--day", required=True)
     job("checks", "fact count, customers by flag, newest facts")
     job("monitor", "live feed and its figures")
+    job("compact", "pack the small batches of the landing table that daily runs have taken up")
     job("train", "train the fraud model").add_argument("--model", required=True)
     return parser
 
 
 def _stream(spark: SparkSession, w: daily.Warehouse, args: argparse.Namespace) -> None:
     raw = kafka_events(spark, args.servers, args.topic) if args.servers else file_events(spark, args.folder)
-    sink = folder_sink(w.path("public.realtime_transactions"))
     query = start_landing(
-        raw, f"{w.root}/_checkpoints/landing", sink, available_now=args.available_now
+        raw, f"{w.root}/_checkpoints/landing", folder_sink(w.path(daily.LANDING)), feed.feed_sink(w.path(FEED)),
+        available_now=args.available_now, dead=dead_letter_sink(w.path(DEAD_LETTERS)),
     )
     query.awaitTermination()
 
@@ -67,7 +73,7 @@ def main(argv: list[str]) -> None:
     w = daily.Warehouse(spark, args.root)
     if args.job == "load":
         paths = dict(pair.split("=", 1) for pair in args.tables)
-        print("loaded:", *load_folder(spark, paths, w.root, args.format))
+        print("loaded:", *load_folder(spark, paths, w.root, args.format, not args.single_line))
     elif args.job == "stream":
         _stream(spark, w, args)
     elif args.job == "calendar":
@@ -87,8 +93,11 @@ def main(argv: list[str]) -> None:
         facts = w.table("mdm.fact_enterprise_transaction")
         customers = w.table("mdm.dim_customer")
         _show(monitor.fact_count(facts), monitor.customers_by_flag(customers), monitor.newest_facts(facts))
+    elif args.job == "compact":
+        print("packed" if daily.compact_landing(w) else "nothing to pack")
     elif args.job == "monitor":
-        events = w.table("public.realtime_transactions")
+        # the feed that the stream keeps, or else the newest of all landed events
+        events = feed.latest(spark, w.path(FEED)) if w.existing_path(FEED) else w.table(daily.LANDING)
         _show(monitor.live_feed(events), monitor.live_metrics(events))
     elif args.job == "train":
         print(f"accuracy: {fraud.train(w.table('ewallet.transaction'), args.model):.4f}")

@@ -22,7 +22,7 @@ from ledgerloom.session import scratch_path, use_defaults
 from ledgerloom.sources import bindings as b
 from ledgerloom.sources import files, seeds
 from ledgerloom.sources.readers import file_events
-from ledgerloom.streaming import parse
+from ledgerloom.streaming import feed, landing, parse
 from ledgerloom.streaming.landing import folder_sink, landed, reload_landed, start_landing
 from ledgerloom.streaming.parse import landing_rows
 
@@ -694,6 +694,33 @@ def load_files_by_position(spark: SparkSession, d: str) -> DataFrame:
     return _loaded(spark, d, "ewallet.balance")
 
 
+def _loaded_with_rejects(spark: SparkSession, d: str) -> str:
+    """Balances with some amounts and times that are none, and notes over two lines, loaded from files."""
+    base = scratch_path(spark, "rejects")
+    key = F.col("c_custkey")
+    balances = b.given(spark, d, "customer").select(
+        key.alias("col a"),
+        F.when(key % 20 == 3, F.lit('n/a, "later"')).otherwise(F.expr(b.money("c_acctbal")).cast("string")).alias("col b"),
+        F.expr(b.money("c_acctbal")).alias("col c"), F.lit(0).alias("col d"),
+        F.when(key % 30 == 3, F.lit("line one\nline two")).otherwise(F.lit("2024-01-01 00:00:00")).alias("col e"))
+    writer = balances.write.option("header", True).option("escape", '"')
+    writer.csv(f"{base}/in")
+    files.load_folder(spark, {"ewallet.balance": f"{base}/in"}, f"{base}/out")
+    return f"{base}/out"
+
+
+@query
+def load_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """The accounts that load, and the cells for which the others do not."""
+    out = _loaded_with_rejects(spark, d)
+    none = F.lit(None).cast("string")
+    held = spark.read.parquet(f"{out}/ewallet.balance").select(
+        F.col("account_id"), none.alias("reason"), none.alias("column_name"), none.alias("cell"))
+    rejects = tables.read(spark, f"{out}/{files.REJECTS}")
+    return held.unionByName(rejects.select(
+        F.lit(None).cast(held.schema["account_id"].dataType).alias("account_id"), "reason", "column_name", "cell"))
+
+
 @query
 def parse_events(spark: SparkSession, d: str) -> DataFrame:
     return parse.parse_events(b.raw_events(spark, d))
@@ -764,11 +791,11 @@ def stream_compacted(spark: SparkSession, d: str) -> DataFrame:
     base = scratch_path(spark, "compact")
     w = daily.Warehouse(spark, base)
     b.raw_events(spark, d).repartition(6, F.crc32("value")).write.text(f"{base}/in")
-    landing = w.path("public.realtime_transactions")
+    held = w.path("public.realtime_transactions")
 
     def stream(files_at_once: int | None) -> None:
         start_landing(
-            file_events(spark, f"{base}/in", files_at_once), f"{base}/checkpoint", folder_sink(landing), available_now=True,
+            file_events(spark, f"{base}/in", files_at_once), f"{base}/checkpoint", folder_sink(held), available_now=True,
         ).awaitTermination()
 
     stream(1)
@@ -776,7 +803,41 @@ def stream_compacted(spark: SparkSession, d: str) -> DataFrame:
     daily.compact_landing(w)
     b.raw_events(spark, d).where(F.col("value").startswith("{broken")).write.mode("append").text(f"{base}/in")
     stream(None)
-    return landed(spark, landing)
+    return landed(spark, held)
+
+
+@query
+def stream_live_feed(spark: SparkSession, d: str) -> DataFrame:
+    """The newest events as a stream keeps them, over three starts of it."""
+    base = scratch_path(spark, "feed")
+    part = F.pmod(F.crc32("value"), F.lit(3))
+    for n in range(3):
+        b.raw_events(spark, d).where(part == n).write.mode("append").text(f"{base}/in")
+        start_landing(
+            file_events(spark, f"{base}/in"), f"{base}/checkpoint", feed.feed_sink(f"{base}/feed"), available_now=True,
+        ).awaitTermination()
+    return feed.latest(spark, f"{base}/feed").select("event_id", "source_system", "base_amount", "timestamp")
+
+
+@query
+def dead_letters(spark: SparkSession, d: str) -> DataFrame:
+    """Every raw event once: as it landed, or with the text of its dead letter."""
+    base = scratch_path(spark, "dead")
+    b.raw_events(spark, d).write.text(f"{base}/in")
+    start_landing(
+        file_events(spark, f"{base}/in"), f"{base}/checkpoint", folder_sink(f"{base}/out"),
+        dead=landing.dead_letter_sink(f"{base}/dead"), available_now=True,
+    ).awaitTermination()
+    letters = landing.dead_letters(spark, f"{base}/dead")
+    letters = letters.select(
+        F.get_json_object("value", "$.event_id").alias("event_id"), "reason",
+        F.when(F.col("reason") == parse.NOT_JSON, F.col("value")).alias("text"),
+        F.nullif(F.regexp_extract("value", r'"base_amount":"?([^",]*)', 1), F.lit("")).alias("amount_text"),
+        F.get_json_object("value", "$.timestamp").alias("timestamp_text"))
+    whole = landed(spark, f"{base}/out").where("event_id IS NOT NULL").join(letters, "event_id", "left_anti")
+    none = F.lit(None).cast("string")
+    return letters.unionByName(whole.select(
+        "event_id", none.alias("reason"), none.alias("text"), none.alias("amount_text"), none.alias("timestamp_text")))
 
 
 # --- fraud -----------------------------------------------------------------

@@ -41,7 +41,7 @@ def overwrite(df: DataFrame, path: str, partition_by: str | tuple[str, ...] | No
     columns = (partition_by,) if isinstance(partition_by, str) else partition_by or ()
     exchange, name = swap.of_table(df.sparkSession, path)
     rows = _dealt(df, columns[0] if columns else None)
-    swap.write_counted(rows, f"{exchange.new}/{name}", columns)
+    swap.write_checked(rows, f"{exchange.new}/{name}", columns)
     exchange.commit(put=[name])
 
 
@@ -112,7 +112,7 @@ def replace_partition(df: DataFrame, path: str, column: str, value: object) -> N
     columns when all its days are cleared.
     """
     exchange, name = swap.of_entries(df.sparkSession, path), _folder(column, value)
-    swap.write_counted(df.drop(column), f"{exchange.new}/{name}")
+    swap.write_checked(df.drop(column), f"{exchange.new}/{name}")
     exchange.commit(put=[name])
 
 
@@ -124,7 +124,7 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: list | Non
     """
     spark = df.sparkSession
     exchange = swap.of_entries(spark, path)
-    swap.write_counted(_dealt(df, column), exchange.new, (column,))
+    swap.write_checked(_dealt(df, column), exchange.new, (column,))
     written = [n for n in children(spark, exchange.new) if n.startswith(f"{column}=")]
     held = [n for n in children(spark, path) if n.startswith(f"{column}=")]
     named = held if values is None else [_folder(column, v) for v in values]
@@ -132,7 +132,7 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: list | Non
     if cleared and not written and set(held) <= set(cleared):
         # the last day stays as a folder without rows, which keeps the columns
         empty = spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != column]))
-        swap.write_counted(empty, f"{exchange.new}/{cleared[0]}")
+        swap.write_checked(empty, f"{exchange.new}/{cleared[0]}")
         written = [cleared.pop(0)]
     exchange.commit(put=written, drop=cleared)
 
@@ -186,7 +186,7 @@ def delete_using(spark: SparkSession, path: str, keys: DataFrame, on: str, parti
     exchange = swap.of_entries(spark, path)
     columns = () if partition_by is None else (partition_by,)
     rows = spark.read.schema(table.schema).option("basePath", path).parquet(*touched)
-    swap.write_counted(_dealt(delete_matching(rows, wanted, on), partition_by), exchange.new, columns)
+    swap.write_checked(_dealt(delete_matching(rows, wanted, on), partition_by), exchange.new, columns)
     folders = [f"{n}/" for n in children(spark, exchange.new) if "=" in n] if columns else [""]
     put = [f"{folder}{n}" for folder in folders for n in children(spark, f"{exchange.new}/{folder}") if n.endswith(".parquet")]
     depth = len(columns) + 1  # a file's name, and the folder it is in

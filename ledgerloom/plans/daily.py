@@ -72,8 +72,11 @@ class Warehouse:
             return tables.read(self.spark, self.path(LEDGER), schema)
         return self.spark.createDataFrame([], schema)
 
+    def existing_path(self, table: str) -> bool:
+        return tables.exists(self.spark, self.path(table))
+
     def existing(self, table: str) -> DataFrame | None:
-        return self.table(table) if tables.exists(self.spark, self.path(table)) else None
+        return self.table(table) if self.existing_path(table) else None
 
     def reload(self, table: str, rows: DataFrame) -> None:
         rows = schemas.conform(rows, table)

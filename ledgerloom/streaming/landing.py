@@ -16,7 +16,7 @@ from ledgerloom import schemas
 from ledgerloom.functions.dates import on_day
 from ledgerloom.operators import swap, tables
 from ledgerloom.sources.readers import jdbc_append
-from ledgerloom.streaming.parse import landing_rows, parse_events
+from ledgerloom.streaming.parse import judged_events, landing_rows, parse_events
 
 Sink = Callable[[DataFrame, object], None]
 MONTH_COLUMN = "event_month"
@@ -71,6 +71,25 @@ def jdbc_sink(url: str, table: str, **options) -> Sink:
     return write
 
 
+def dead_letter_sink(path: str) -> Sink:
+    """The texts of events that lost something on landing; a replayed batch replaces its own."""
+
+    def write(batch: DataFrame, batch_id: object) -> None:
+        rows = batch.where("reason IS NOT NULL").select("value", "reason", F.lit(str(batch_id)).alias(BATCH_COLUMN))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(BATCH_COLUMN).parquet(path)
+
+    return write
+
+
+def dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """(value, reason, batch_id) of all dead letters; none where none was written."""
+    schema = f"value string, reason string, {BATCH_COLUMN} string"
+    if not tables.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a streaming query keeps with its checkpoint over restarts."""
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
@@ -104,15 +123,24 @@ def to_sinks(*sinks: Sink, checkpoint: str | None = None) -> Sink:
     return write
 
 
+def _landing_part(sink: Sink) -> Sink:
+    return lambda batch, name: sink(landing_rows(batch.drop("value", "reason")), name)
+
+
 def start_landing(
-    raw: DataFrame, checkpoint: str, *sinks: Sink, available_now: bool = False
+    raw: DataFrame, checkpoint: str, *sinks: Sink, available_now: bool = False, dead: Sink | None = None
 ) -> StreamingQuery:
     """Parse and land a raw stream. Runs until stopped, or over what is there now.
 
     The checkpoint holds the offsets: a restarted query goes on where it ended.
+    All events land, also those that cannot be read, as rows of nulls. With
+    ``dead`` the texts of these are kept, from the same batch and the same parse.
     """
-    writer = landing_rows(parse_events(raw)).writeStream.foreachBatch(
-        to_sinks(*sinks, checkpoint=checkpoint))
+    if dead is None:
+        rows = landing_rows(parse_events(raw))
+    else:
+        rows, sinks = judged_events(raw), (*[_landing_part(s) for s in sinks], dead)
+    writer = rows.writeStream.foreachBatch(to_sinks(*sinks, checkpoint=checkpoint))
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -212,7 +240,7 @@ def compact(
     rows = rows.join(bin_of, same).repartition(MONTH_COLUMN, "bin").sortWithinPartitions(MONTH_COLUMN, "bin", "timestamp")
     exchange = swap.of_entries(spark, path)
     packed = rows.withColumn(BATCH_COLUMN, F.lit(name)).select(_layout().names)
-    swap.write_counted(packed, exchange.new, (MONTH_COLUMN, BATCH_COLUMN))
+    swap.write_checked(packed, exchange.new, (MONTH_COLUMN, BATCH_COLUMN))
     months = [n for n in tables.children(spark, exchange.new) if n.startswith(f"{MONTH_COLUMN}=")]
     exchange.commit(put=[f"{m}/{BATCH_COLUMN}={name}" for m in months], drop=members)
     return name, bins.select(MONTH_COLUMN, BATCH_COLUMN)

@@ -422,6 +422,30 @@ union all
 select event_id, null, null, null, currency, timestamp, null, null, source_system, cif, wallet_id, merchant_name, base_amount
 from t_parsed where source_system is null"""
 
+CHECKS["stream_live_feed"] = """
+select event_id, source_system, cast(cast(base_amount as decimal(18,2)) as double) as base_amount, timestamp
+from t_parsed order by timestamp desc nulls first, event_id desc nulls first limit 50"""
+CHECKS["dead_letters"] = """
+, reasons as (
+  select *, case when n % 97 = 1 then 'NOT_JSON' when n % 89 = 1 then 'BAD_FIELD' when n % 83 = 1 then 'BAD_TIMESTAMP' end
+           as reason
+  from t_raw
+)
+select case when n % 97 <> 1 then event_id end as event_id, reason,
+       case when n % 97 = 1 then '{broken' end as text,
+       case when reason = 'BAD_FIELD' then 'many'
+            when reason = 'BAD_TIMESTAMP' then cast(cast(amount as decimal(18,2)) as varchar) end as amount_text,
+       case when n % 97 = 1 or reason is null then null when n % 83 = 1 then 'soon'
+            else strftime(happened, '%Y-%m-%dT%H:%M:%S.%fZ') end as timestamp_text
+from reasons"""
+CHECKS["load_rejects"] = """
+select c_custkey as account_id, null as reason, null as column_name, null as cell from customer
+where c_custkey % 20 <> 3 and c_custkey % 30 <> 3
+union all
+select null, 'BAD_CELL', 'current_balance', 'n/a, "later"' from customer where c_custkey % 20 = 3
+union all
+select null, 'BAD_CELL', 'last_updated', 'line one' || chr(10) || 'line two' from customer where c_custkey % 30 = 3"""
+
 # --- fraud ------------------------------------------------------------------------------------------
 
 CHECKS["fraud_training_set"] = f"""

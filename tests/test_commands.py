@@ -31,11 +31,17 @@ def test_jobs_from_files_to_checks(spark, tmp_path, capsys):
     main(["daily", "--root", root, "--day", "2024-01-02"])
     main(["calendar", "--root", root, "--start", "2024-01-01", "--end", "2024-01-03"])
     main(["checks", "--root", root])
+    (events / "2.json").write_text("{broken\n")
+    main(["stream", "--root", root, "--folder", str(events), "--available-now"])
+    main(["compact", "--root", root])
     main(["monitor", "--root", root])
     main(["train", "--root", root, "--model", f"{root}/model"])
     out = capsys.readouterr().out
     assert "loaded: corebank.customer ewallet.account corebank.mortgage_loan ewallet.transaction" in out
     assert "2024-01-02 03:00:00" in out and "accuracy:" in out
+    assert "nothing to pack" in out
+    letters = spark.read.parquet(f"{root}/public.dead_letters").collect()
+    assert [(r.value, r.reason) for r in letters] == [("{broken", "NOT_JSON")]
     facts = spark.read.parquet(f"{root}/mdm.fact_enterprise_transaction")
     assert sorted(r.source_trans_id for r in facts.collect()) == ["LND_B1", "e1"]
     assert spark.read.parquet(f"{root}/mdm.dq_quarantine_log").count() == 1

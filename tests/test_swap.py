@@ -78,11 +78,22 @@ def test_an_exchange_that_stops_is_finished_by_the_next_reader(spark, table, kin
         assert no_remains(table)
 
 
-def test_rows_are_counted_before_the_exchange(spark, table, monkeypatch):
-    monkeypatch.setattr(swap.Observation, "get", {"n": 7})
-    with pytest.raises(OSError, match="1 rows of 7"):
+def test_new_files_are_read_before_the_exchange(spark, table, monkeypatch):
+    before, check = held(spark, table), swap.check
+
+    def damaged(session, path):
+        name = next(os.path.join(folder, n) for folder, _, names in os.walk(path) for n in names if n.endswith(".parquet"))
+        with open(name, "r+b") as file:
+            file.truncate(20)
+        for crc in [os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc")]:
+            os.remove(crc)
+        return check(session, path)
+
+    monkeypatch.setattr(swap, "check", damaged)
+    with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
         tables.replace_partition(days(spark, [(9, D2)]), table, "day", D2)
-    assert (2, D2) in held(spark, table)
+    monkeypatch.undo()
+    assert held(spark, table) == before
 
 
 def test_days_without_rows_and_rows_without_a_day(spark, table):
