@@ -46,6 +46,13 @@ def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE)
         F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("vec"))
 
 
+def of_one_length(vectors: DataFrame) -> DataFrame:
+    """The vectors that have as many components as most have, the longer ones of two lengths as common; none without one."""
+    lengths = vectors.groupBy(F.size("vec").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    most = lengths.agg(F.max(F.struct("n", "length")).alias("most")).first()["most"]
+    return vectors.filter((F.size("vec") == F.lit(most["length"] if most else 0)) & (F.size("vec") > 0))
+
+
 def bounds(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest value of each dimension; as many rows as there are dimensions."""
     rows = vectors.select(F.posexplode("vec").alias("dim", "v")).groupBy("dim").agg(
@@ -160,13 +167,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     """(query_id, rank, vec_id, score): the k largest inner products of each query with other rows.
 
     ``is_query`` is a condition on ``id``. Vectors with a null or non-finite
-    component take no part, nor do rows without an id; all vectors have the
-    same number of components. Of equal scores the smaller id is first; rows
+    component take no part, nor do rows without an id, empty vectors, and vectors
+    that have not as many components as most. Columns besides these two are not
+    read. An empty table gives an empty result. Of equal scores the smaller id is first; rows
     that repeat an id are separate candidates but one query, that of the smallest
     vector, and no query finds rows with its own id. A query with fewer than k candidates gives fewer rows, a table
     without queries none.
     """
-    ints = stored(scaled(vectors, id_col, vector_col), "vectors")
+    ints = of_one_length(stored(scaled(vectors, id_col, vector_col), "vectors"))
     schema = "query_id long, vec_id long, score long"
     spark = vectors.sparkSession
     n_queries = ints.filter(is_query).count()

@@ -42,6 +42,13 @@ def test_few_candidates_and_none(spark):
     assert run(spark, [(0, [0.5])]) == []
 
 
+def test_empty_vectors_and_those_of_another_length_take_no_part(spark):
+    rows = sample()
+    odd = [(0, []), (700, []), (701, [9.0]), (750, [9.0] * 16), (702, [9.0] * 9)]
+    assert run(spark, rows + odd) == brute(rows)
+    assert run(spark, [(0, []), (1, [])]) == []
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     x, q = rng.integers(-300, 300, (50, 6)), rng.integers(-300, 300, (9, 6))
