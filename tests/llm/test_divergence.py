@@ -60,6 +60,7 @@ def corpus(seed, sources=6, docs=150):
 @pytest.mark.parametrize("seed", range(2))
 def test_against_brute_force(spark, seed):
     rows = corpus(seed) + [("en", "none", None), ("en", "none too", "12 34"), ("xx", "p", "lone"), ("xx", "q", ""), ("yy", "p", "")]
+    rows += [(lang, source, "Alpha beta") for lang in ("2:zz", ":", "1:") for source in ("a:b", ":", "", "2") for _ in range(2)]
     assert run(spark, rows) == brute(rows, 3, 4)
 
 
