@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions import measures
 from ledgerloom.operators import quality, tables
+from ledgerloom.operators.joins import as_of_lookup
 from ledgerloom.operators.tables import stored
-from ledgerloom.plans import daily, dims, facts, fraud, monitor, views
+from ledgerloom.plans import daily, dims, facts, fraud, increments, monitor, views
 from ledgerloom.session import scratch_path, use_defaults
 from ledgerloom.sources import bindings as b
 from ledgerloom.sources import files, seeds
@@ -116,6 +117,25 @@ def dim_customer_keeping_keys(spark: SparkSession, d: str) -> DataFrame:
     return members
 
 
+@query
+def fact_survivors(spark: SparkSession, d: str) -> DataFrame:
+    """All events as facts before the wallets had an id to be matched by, read when they have.
+
+    Customers of the bank that turn out to own wallets lose their key to the
+    wallet's; their facts come back under the ids of the member that stays.
+    """
+    bank, wallet = b.bank_customer(spark, d), b.wallet_account(spark, d)
+    no_id = F.lit(None).cast("string")
+    apart = wallet.withColumn("national_id", no_id).withColumn("phone_number", no_id)
+    before = stored(dims.customer_dimension(bank, apart, stored))
+    held = stored(_realtime(spark, d, before), "facts")
+    after = stored(dims.customer_dimension_keeping_keys(bank, wallet, before, stored))
+    retired = stored(dims.retired_customers(before, after), "retired")
+    ids = after.select("customer_sk", "bank_cif", "wallet_user_id")
+    return dims.under_survivors(held, retired).join(ids, "customer_sk").select(
+        "source_system", "source_trans_id", "base_amount", "bank_cif", "wallet_user_id")
+
+
 @query
 def mdm_dedup_log(spark: SparkSession, d: str) -> DataFrame:
     return dims.deduplication_log(_customers(spark, d))
@@ -562,6 +582,39 @@ def npl_by_branch_month(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _incremental(spark: SparkSession, d: str, rows: DataFrame, sums: increments.Sums, day: str, column: str) -> DataFrame:
+    """Stored sums by day that were made before a day arrived and while another one's amounts were wrong.
+
+    Then the sums of the two days are made again from the facts as they are.
+    """
+    path = scratch_path(spark, "sums")
+    late = _calendar(spark, d).where(F.col("full_date") == F.lit(day).cast("date")).first()["time_key"]
+    wrong = F.when(F.col("time_key") == late + 1, F.col(column) * 2).otherwise(F.col(column))
+    before = rows.where(F.col("time_key") != late).withColumn(column, wrong.cast("decimal(18,2)"))
+    increments.build(before, sums, path)
+    increments.refresh(rows, sums, path, [late, late + 1])
+    return increments.read(spark, path)
+
+
+@query
+def npl_incremental(spark: SparkSession, d: str) -> DataFrame:
+    days = _incremental(spark, d, b.debt_fact(spark, d), views.debt_days, LOAN_DAY, "total_outstanding")
+    return views.npl_of_days(days, _calendar(spark, d), b.star_branch(spark, d))
+
+
+@query
+def ewallet_monthly_incremental(spark: SparkSession, d: str) -> DataFrame:
+    days = _incremental(spark, d, b.wallet_fact(spark, d), views.wallet_days, EVENT_DAY, "txn_amount")
+    return views.ewallet_of_days(days, _calendar(spark, d), b.star_branch(spark, d))
+
+
+@query
+def payment_revenue_incremental(spark: SparkSession, d: str) -> DataFrame:
+    days = _incremental(spark, d, b.payment_fact(spark, d), views.payment_days, PAYMENT_DAY, "txn_amount")
+    return views.payment_of_days(
+        days, _calendar(spark, d), b.star_merchant(spark, d), b.star_channel(spark, d), b.star_branch(spark, d))
+
+
 @query
 def customer_debt_summary(spark: SparkSession, d: str) -> DataFrame:
     return views.customer_debt_summary(
@@ -934,6 +987,37 @@ def scd2_customer(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def fact_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """Loans, payments and wallet transactions with the name and validity their customer had then."""
+    holders = b.star_customer(spark, d)
+    kept = ["customer_key", "cif_number", "full_name", "effective_date", "expiry_date", "is_current"]
+    small = b.given(spark, d, "customer").select((F.col("c_custkey") + 2).alias("customer_key"), "c_acctbal")
+    name = F.when(F.col("c_acctbal") < 1000, F.upper("full_name")).otherwise(F.col("full_name"))
+    arrived = holders.join(small, "customer_key").select("cif_number", name.alias("full_name"))
+    versions = stored(dims.scd2_merge(
+        holders.select(*kept), arrived, "customer_key", "cif_number", ["full_name"], PAYMENT_DAY, stored))
+    users = b.wallet_account(spark, d).select("account_id", F.col("user_id").alias("cif_number"))
+
+    def moved(kind: str, rows: DataFrame, id_: str, at: str, amount: str) -> DataFrame:
+        return rows.select(
+            F.lit(kind).alias("fact"), F.col(id_).cast("string").alias("id"), "cif_number",
+            F.col(at).cast("timestamp").alias("at"), F.col(amount).alias("amount"))
+
+    movements = moved(
+        "debt", b.mortgage_loan(spark, d).withColumnRenamed("cif", "cif_number"), "contract_no", "disbursement_date",
+        "principal_amount",
+    ).unionByName(moved(
+        "payment", b.payment_events(spark, d).withColumn("cif_number", F.col("account_id").cast("string")), "event_id",
+        "timestamp", "amount",
+    )).unionByName(moved(
+        "wallet", b.wallet_transaction(spark, d).join(users, "account_id", "left"), "txn_id", "txn_date", "txn_amount"))
+    return as_of_lookup(
+        movements, versions.select("cif_number", "full_name", "effective_date", "expiry_date", "customer_key"),
+        "cif_number", "at", "effective_date", "expiry_date", ["customer_key"], ["id"],
+    ).drop("expiry_date", "customer_key")
+
+
 @query
 def settlement(spark: SparkSession, d: str) -> DataFrame:
     return facts.settlements(b.payment_transaction(spark, d))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -110,3 +110,56 @@ def with_constant_match(
     several = F.raise_error(F.lit(f"several rows give a {key} for every fact"))
     one = F.when(F.count(F.lit(1)) > 1, several.cast(dim.schema[key].dataType)).otherwise(F.max(key))
     return facts.withColumn(key, dim.where(condition).agg(one).scalar())
+
+
+def as_of_lookup(
+    facts: DataFrame, versions: DataFrame, key: str, at: str, since: str, until: str, order: list[str],
+    spread_by: list[str],
+) -> DataFrame:
+    """Left join of each fact to the version of its member that was in force at the time ``at``.
+
+    A version holds from ``since`` until ``until`` or the next version of the
+    member begins; of versions that begin together the last one in ``order``
+    counts. Facts without key or time, and those at a time without a version,
+    get nulls. All columns of ``versions`` but the key are added.
+
+    Time is cut into months. Per member and month with facts, one row stands
+    among the member's versions in order of time and takes the last one along:
+    that one and those that begin inside the month are all that facts of the
+    month can meet. Facts are then joined by member and month, whose rows
+    adaptive skew handling may split, so neither a hot member nor one with a
+    long history meets in one task; only versions and months are sorted.
+    """
+    begins, ends = F.col(since).cast("timestamp"), F.col(until).cast("timestamp")
+    line = Window.partitionBy(key).orderBy("_since", *[F.col(c).asc_nulls_first() for c in order])
+    names = [c for c in versions.columns if c != key]
+    spans = versions.where(F.col(key).isNotNull() & F.col(since).isNotNull()).select(
+        key, begins.alias("_since"), ends.alias("_until"), *order, F.struct(*names).alias("_version")
+    )
+    spans = spans.withColumn("_until", F.least("_until", F.lead("_since").over(line)))
+    spans = spans.where(F.col("_until").isNull() | (F.col("_since") < F.col("_until")))
+    spans = spans.select(key, F.struct("_since", "_until", "_version").alias("_span"))
+
+    def month(column: str | Column) -> Column:
+        return F.date_trunc("month", column).alias("_month")
+
+    dated = facts.withColumn("_at", F.col(at).cast("timestamp"))
+    months = dated.where(F.col(key).isNotNull() & F.col("_at").isNotNull()).select(key, month("_at")).distinct()
+    marks = months.select(key, F.col("_month").alias("_time"), "_month")
+    starts = spans.select(key, F.col("_span._since").alias("_time"), "_span")
+    # a version that begins with the month comes before the month's row
+    course = Window.partitionBy(key).orderBy("_time", F.col("_month").isNotNull())
+    carried = starts.unionByName(marks, allowMissingColumns=True)
+    carried = carried.withColumn("_span", F.last("_span", ignorenulls=True).over(course)).where("_month is not null")
+    carried = carried.where("_span._until is null or _span._until > _month").select(key, "_month", "_span")
+    inside = spans.select(key, month("_span._since"), "_span").where("_span._since > _month")
+    inside = inside.join(months, [key, "_month"], "left_semi")
+
+    met = carried.where("_span is not null").unionByName(inside).select(
+        F.concat(F.lit("="), F.col(key).cast("string")).alias("_held_key"), F.col("_month").alias("_held_month"), "_span"
+    )
+    left = dated.withColumn("_month", month("_at")).withColumn("_join_key", _spread(facts, key, spread_by))
+    same = (F.col("_join_key") == F.col("_held_key")) & (F.col("_month") == F.col("_held_month"))
+    then = (F.col("_at") >= F.col("_span._since")) & (
+        F.col("_span._until").isNull() | (F.col("_at") < F.col("_span._until")))
+    return left.join(met, same & then, "left").select(*facts.columns, *[f"_span._version.{c}" for c in names])

@@ -59,6 +59,7 @@ def keys_after(dim: DataFrame, rows: DataFrame, key: str, natural: list[str]) ->
 def extend_keys(
     dim: DataFrame, rows: DataFrame, key: str, natural: list[str], tie: list[str] | None = None,
     looser: list[list[str]] | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    used: DataFrame | None = None,
 ) -> DataFrame:
     """Keys kept for the members ``dim`` already has; only new members are numbered.
 
@@ -68,7 +69,8 @@ def extend_keys(
     ``dim`` and of ``tie`` in ``rows``, so a repeated member never multiplies.
     Rows that are left are compared by each list of ``looser`` columns, where
     these are not null, with the members that are left. ``keep`` stores each
-    step, which the next ones read.
+    step, which the next ones read. ``used`` holds keys of members that are gone, which
+    are not given again.
     """
     tie = tie or []
     todo, known, kept = rows, dim, []
@@ -90,7 +92,8 @@ def extend_keys(
         if apart is not None:
             todo = todo.unionByName(apart)
         known = known.join(kept[-1].select(key), key, "left_anti")
-    return reduce(DataFrame.unionByName, [*kept, keys_after(dim, todo, key, [*natural, *tie])])
+    taken = dim.select(key) if used is None else dim.select(key).unionByName(used.select(key))
+    return reduce(DataFrame.unionByName, [*kept, keys_after(taken, todo, key, [*natural, *tie])])
 
 
 def serial_ids(df: DataFrame, key: str, start: int | Column = 1, tasks: int | None = None) -> DataFrame:

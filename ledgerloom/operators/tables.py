@@ -183,12 +183,38 @@ def delete_using(spark: SparkSession, path: str, keys: DataFrame, on: str, parti
     touched = [unquote(r[0]) for r in matched_files(table, wanted, on).collect()]
     if not touched:
         return 0
+    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*touched)
+    _exchange_files(delete_matching(rows, wanted, on), path, touched, partition_by)
+    return len(touched)
+
+
+def update_using(
+    spark: SparkSession, path: str, changes: DataFrame, on: str, value: str, partition_by: str | None = None
+) -> int:
+    """Where ``on`` is a key of ``changes`` it becomes that row's ``value``; the number of files that were written anew.
+
+    Keys of ``changes`` are unique. As in ``delete_using`` only files with a
+    matching row are read whole and replaced.
+    """
+    table = read(spark, path)
+    wanted = stored(changes.select(on, value), "changes")
+    touched = [unquote(r[0]) for r in matched_files(table, wanted, on).collect()]
+    if not touched:
+        return 0
+    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*touched)
+    new = F.coalesce(value, on).cast(table.schema[on].dataType).alias(on)
+    moved = rows.join(wanted, on, "left").select(*[new if c == on else F.col(c) for c in table.columns])
+    _exchange_files(moved, path, touched, partition_by)
+    return len(touched)
+
+
+def _exchange_files(rows: DataFrame, path: str, touched: list[str], partition_by: str | None) -> None:
+    """Put ``rows`` in the place of the files ``touched``."""
+    spark = rows.sparkSession
     exchange = swap.of_entries(spark, path)
     columns = () if partition_by is None else (partition_by,)
-    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*touched)
-    swap.write_checked(_dealt(delete_matching(rows, wanted, on), partition_by), exchange.new, columns)
+    swap.write_checked(_dealt(rows, partition_by), exchange.new, columns)
     folders = [f"{n}/" for n in children(spark, exchange.new) if "=" in n] if columns else [""]
     put = [f"{folder}{n}" for folder in folders for n in children(spark, f"{exchange.new}/{folder}") if n.endswith(".parquet")]
     depth = len(columns) + 1  # a file's name, and the folder it is in
     exchange.commit(put=put, drop=["/".join(f.split("/")[-depth:]) for f in touched])
-    return len(touched)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.operators import quality, tables
 from ledgerloom.operators.keys import serial_ids
-from ledgerloom.plans import dims, facts
+from ledgerloom.plans import dims, facts, increments, views
 from ledgerloom.sources.readers import declared_table
 from ledgerloom.sources.seeds import CALENDAR_END, CALENDAR_START, calendar
 from ledgerloom.streaming.landing import (
@@ -31,11 +31,19 @@ from ledgerloom.streaming.landing import (
 
 LANDING = "public.realtime_transactions"
 FACTS = "mdm.fact_enterprise_transaction"
+RETIRED = "mdm.retired_customer"  # customers that facts may point at and the dimension lacks, and their survivors
 LEDGER = "mdm.loaded_batches"  # the batches of the landing table that daily runs have taken up, and their days
 TASKS = 1 << 15  # of one write: a task owns 2**33 row ids, and a day 2**48
 FACT_DAY = "trans_date"
 LOG_DAY = "log_date"
 STAR_DAY = "time_key"
+CHANGED = "serving.changed_days"
+# The stored sums of a view, of which fact, and how they are made.
+SUMS = {
+    "serving.debt_days": ("star.fact_debt_status", views.debt_days),
+    "serving.ewallet_days": ("star.fact_ewallet_transaction", views.wallet_days),
+    "serving.payment_days": ("star.fact_payment_transaction", views.payment_days),
+}
 
 
 class Warehouse:
@@ -72,6 +80,17 @@ class Warehouse:
             return tables.read(self.spark, self.path(LEDGER), schema)
         return self.spark.createDataFrame([], schema)
 
+    def retired(self) -> DataFrame:
+        """(customer_sk, bank_cif, wallet_user_id, surviving_customer_sk) of members that are gone."""
+        schema = "customer_sk bigint, bank_cif string, wallet_user_id string, surviving_customer_sk bigint"
+        if tables.exists(self.spark, self.path(RETIRED)):
+            return tables.read(self.spark, self.path(RETIRED), schema)
+        return self.spark.createDataFrame([], schema)
+
+    def facts(self) -> DataFrame:
+        """The enterprise facts under the keys of the customers that the dimension has now."""
+        return dims.under_survivors(self.stored(FACTS), self.retired())
+
     def existing_path(self, table: str) -> bool:
         return tables.exists(self.spark, self.path(table))
 
@@ -120,8 +139,10 @@ def load_dimensions(w: Warehouse, renumber: bool = False, events: DataFrame | No
     New merchants are looked for in ``events``, without it in all landed ones.
 
     Members that the tables hold keep their keys, because facts of earlier days
-    point at them. ``renumber`` numbers everything anew; all facts have to be
-    loaded again after that.
+    point at them. Customers that are gone, most of them because two turned out
+    to be one person, are kept with the key that took their place, see
+    ``Warehouse.facts``; their accounts keep their product key. ``renumber``
+    numbers everything anew; all facts have to be loaded again after that.
     """
     wallet = w.table("ewallet.account")
 
@@ -131,9 +152,14 @@ def load_dimensions(w: Warehouse, renumber: bool = False, events: DataFrame | No
     def customers() -> None:
         bank, known = w.table("corebank.customer"), held("mdm.dim_customer")
         if known is None:
+            if w.existing_path(RETIRED):
+                tables.rewrite(w.retired().limit(0), w.path(RETIRED))
             w.reload("mdm.dim_customer", dims.customer_dimension(bank, wallet, tables.stored))
         else:
-            rows = dims.customer_dimension_keeping_keys(bank, wallet, known, tables.stored)
+            rows = tables.stored(
+                dims.customer_dimension_keeping_keys(bank, wallet, known, tables.stored, w.retired()), "customers")
+            # first the ways of the keys that go, then the dimension without them
+            tables.rewrite(dims.retired_customers(known, rows, w.retired()), w.path(RETIRED))
             w.revise("mdm.dim_customer", rows)
         log = dims.deduplication_log(w.table("mdm.dim_customer"))
         w.reload("mdm.mdm_deduplication_log", log)
@@ -147,9 +173,11 @@ def load_dimensions(w: Warehouse, renumber: bool = False, events: DataFrame | No
         w.revise("mdm.dim_merchant", dims.merchant_dimension(named, tables.stored, known))
 
     together(w.spark, customers, merchants)
+    accounts = held("mdm.dim_product_account")
+    if accounts is not None:
+        accounts = dims.under_survivors(accounts, w.retired())
     products = dims.product_dimension(
-        wallet, w.table("corebank.mortgage_loan"), w.table("mdm.dim_customer"), tables.stored,
-        held("mdm.dim_product_account"),
+        wallet, w.table("corebank.mortgage_loan"), w.table("mdm.dim_customer"), tables.stored, accounts
     )
     w.revise("mdm.dim_product_account", products)
 
@@ -245,6 +273,12 @@ def catch_up(w: Warehouse, ds: str, arrived: Arrivals) -> None:
         tables.replace_partitions(log, w.path("mdm.dq_quarantine_log"), LOG_DAY, touched)
 
 
+def move_facts(w: Warehouse) -> int:
+    """Write the facts of retired customers under their survivors; the number of files that were written anew."""
+    moved = w.retired().where(F.col("surviving_customer_sk").isNotNull())
+    return tables.update_using(w.spark, w.path(FACTS), moved, "customer_sk", "surviving_customer_sk", FACT_DAY)
+
+
 def compact_landing(w: Warehouse, **sizes: int) -> bool:
     """Pack the small batches that daily runs have taken up, and rename them in the ledger; False if there are none.
 
@@ -321,7 +355,37 @@ def run_star_day(w: Warehouse, ds: str) -> None:
             w.events(ds), customers, w.table("star.dim_merchant"), branches, time
         ),
     }
+    changed = increments.ChangedDays(w.spark, w.path(CHANGED))
+    for name in SUMS:
+        changed.add(name, [time_key])
     together(
         w.spark,
         *[partial(w.replace_day, table, rows, STAR_DAY, time_key) for table, rows in loads.items()],
     )
+    refresh_sums(w)
+
+
+def refresh_sums(w: Warehouse) -> None:
+    """Make the stored sums of the views again for the days whose star facts have changed; all of them the first time."""
+    changed = increments.ChangedDays(w.spark, w.path(CHANGED))
+    for name, (fact, sums) in SUMS.items():
+        if not w.existing_path(fact):
+            continue
+        rows = w.stored(fact)
+        if w.existing_path(name):
+            increments.refresh(rows, sums, w.path(name), changed.of(name))
+        else:
+            increments.build(rows, sums, w.path(name))
+        changed.strike(name)
+
+
+def serve_views(w: Warehouse) -> dict[str, DataFrame]:
+    """The lending, wallet and payment views, from the stored sums."""
+    time, branches = w.table("star.dim_time"), w.table("star.dim_branch")
+    debt, wallet, payment = [increments.read(w.spark, w.path(name)) for name in SUMS]
+    return {
+        "npl_by_branch_month": views.npl_of_days(debt, time, branches),
+        "ewallet_monthly": views.ewallet_of_days(wallet, time, branches),
+        "payment_revenue": views.payment_of_days(
+            payment, time, w.table("star.dim_merchant"), w.table("star.dim_channel"), branches),
+    }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions.dates import padded_day_name, padded_month_name, weekend_text
 from ledgerloom.functions.text import clean_name, digits_only
-from ledgerloom.operators.joins import full_outer_on_key
+from ledgerloom.operators.joins import full_outer_on_key, left_lookup
 from ledgerloom.operators.keys import assign_keys, extend_keys, keys_after
 
 # Fixed values of the identity match.
@@ -84,7 +84,7 @@ def customer_dimension(bank: DataFrame, wallet: DataFrame, keep: Keep = lazily)
 
 
 def customer_dimension_keeping_keys(
-    bank: DataFrame, wallet: DataFrame, existing: DataFrame, keep: Keep = lazily
+    bank: DataFrame, wallet: DataFrame, existing: DataFrame, keep: Keep = lazily, retired: DataFrame | None = None
 ) -> DataFrame:
     """Reload in which known customers keep their key.
 
@@ -92,19 +92,55 @@ def customer_dimension_keeping_keys(
     written with. Here only new members are numbered. A member is known by its
     pair of bank and wallet id; where one of the two has arrived since, by the
     wallet id or else by the bank id alone. Where two members turn out to be one
-    person, the row keeps the key of its wallet.
+    person, the row keeps the key of its wallet. Keys of ``retired`` members are
+    not given again.
     """
     rows = keep(resolve_customers(bank, wallet))
     known = existing.where(F.col("customer_sk") != schemas.UNKNOWN_SK)
     members = extend_keys(
         known, rows, "customer_sk", ["bank_cif", "wallet_user_id"], ["account_id"],
-        looser=[["wallet_user_id"], ["bank_cif"]], keep=keep,
+        looser=[["wallet_user_id"], ["bank_cif"]], keep=keep, used=retired,
     )
     return schemas.unknown_member(bank.sparkSession, "mdm.dim_customer").unionByName(
         schemas.conform(members, "mdm.dim_customer")
     )
 
 
+def retired_customers(before: DataFrame, after: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Members that facts may point at and ``after`` lacks, each with the key that took its place.
+
+    ``before`` is the dimension as it was, ``earlier`` what this function gave at
+    the last reload. A member survives in the row with its wallet id, or else
+    with its bank id; of several rows in the one with the lowest key. One whose
+    ids are both gone goes where it went before, and on from there if that
+    member is gone by now, so every way has one step. It is null for a member
+    that nothing took the place of.
+    """
+    ids = ["bank_cif", "wallet_user_id"]
+    held = after.select("customer_sk", *ids)
+    rows = before.select("customer_sk", *ids, F.lit(None).cast("bigint").alias("surviving_customer_sk"))
+    if earlier is not None:
+        rows = earlier.unionByName(rows.join(earlier.select("customer_sk"), "customer_sk", "left_anti"))
+    rows = rows.join(held.select("customer_sk"), "customer_sk", "left_anti")
+    for column in ids:
+        lowest = held.where(F.col(column).isNotNull()).groupBy(column).agg(F.min("customer_sk").alias(f"_by_{column}"))
+        rows = left_lookup(rows, lowest, column, ["customer_sk"])
+    rows = rows.withColumn("_found", F.coalesce("_by_wallet_user_id", "_by_bank_cif"))
+    onward = rows.select(
+        F.col("customer_sk").alias("surviving_customer_sk"), F.col("_found").alias("_next"), F.lit(True).alias("_gone"))
+    rows = left_lookup(rows, onward, "surviving_customer_sk", ["customer_sk"])
+    before_that = F.when(F.col("_gone"), F.col("_next")).otherwise(F.col("surviving_customer_sk"))
+    return rows.select("customer_sk", *ids, F.coalesce("_found", before_that).alias("surviving_customer_sk"))
+
+
+def under_survivors(rows: DataFrame, retired: DataFrame) -> DataFrame:
+    """``rows`` with the keys of retired customers replaced by those of their survivors."""
+    moved = retired.where(F.col("surviving_customer_sk").isNotNull()).select("customer_sk", "surviving_customer_sk")
+    found = rows.join(moved, "customer_sk", "left")
+    key = F.coalesce("surviving_customer_sk", "customer_sk").alias("customer_sk")
+    return found.select(*[key if c == "customer_sk" else F.col(c) for c in rows.columns])
+
+
 def deduplication_log(dim_customer: DataFrame) -> DataFrame:
     """Customers known to both businesses, with the confidence of the match."""
     both = F.col("bank_cif").isNotNull() & F.col("wallet_user_id").isNotNull()

@@ -21,14 +21,23 @@ def _total(column: str) -> Column:
     return F.sum(column).alias(column)
 
 
-def npl_by_branch_month(debt: DataFrame, dim_time: DataFrame, dim_branch: DataFrame) -> DataFrame:
-    """Outstanding and non-performing amounts by branch and month."""
+def debt_days(debt: DataFrame) -> DataFrame:
+    """Loans by day and branch."""
     bad = F.when(F.col("risk_bucket") == "NPL", F.col("total_outstanding")).otherwise(F.lit(0))
-    daily = debt.groupBy("time_key", "branch_key").agg(
+    return debt.groupBy("time_key", "branch_key").agg(
         _rows().alias("total_loans"), _total("total_outstanding"),
         F.sum(bad).alias("npl_amount"),
     )
-    named = daily.join(dim_time.select("time_key", "year", "month", "month_name"), "time_key").join(
+
+
+def npl_by_branch_month(debt: DataFrame, dim_time: DataFrame, dim_branch: DataFrame) -> DataFrame:
+    """Outstanding and non-performing amounts by branch and month."""
+    return npl_of_days(debt_days(debt), dim_time, dim_branch)
+
+
+def npl_of_days(days: DataFrame, dim_time: DataFrame, dim_branch: DataFrame) -> DataFrame:
+    """The same from the sums by day."""
+    named = days.join(dim_time.select("time_key", "year", "month", "month_name"), "time_key").join(
         dim_branch.select("branch_key", "branch_name", "region_name"), "branch_key"
     )
     return (
@@ -82,15 +91,24 @@ def risk_distribution(debt: DataFrame, dim_time: DataFrame, dim_product: DataFra
     )
 
 
+def wallet_days(wallet: DataFrame) -> DataFrame:
+    """E-wallet volume by day, branch, type and status."""
+    return wallet.groupBy("time_key", "branch_key", "txn_type", "txn_status").agg(
+        _rows().alias("txn_count"), F.sum("txn_amount").alias("total_amount"),
+        F.sum("fee_amount").alias("total_fee"), F.count("txn_amount").alias("_amounts"),
+    )
+
+
 def ewallet_monthly_summary(
     wallet: DataFrame, dim_time: DataFrame, dim_branch: DataFrame
 ) -> DataFrame:
     """E-wallet volume by month, branch, type and status."""
-    daily = wallet.groupBy("time_key", "branch_key", "txn_type", "txn_status").agg(
-        _rows().alias("txn_count"), F.sum("txn_amount").alias("total_amount"),
-        F.sum("fee_amount").alias("total_fee"), F.count("txn_amount").alias("_amounts"),
-    )
-    named = daily.join(dim_time.select("time_key", "year", "month", "month_name"), "time_key").join(
+    return ewallet_of_days(wallet_days(wallet), dim_time, dim_branch)
+
+
+def ewallet_of_days(days: DataFrame, dim_time: DataFrame, dim_branch: DataFrame) -> DataFrame:
+    """The same from the sums by day."""
+    named = days.join(dim_time.select("time_key", "year", "month", "month_name"), "time_key").join(
         dim_branch.select("branch_key", "branch_name", "region_name"), "branch_key"
     )
     return (
@@ -105,22 +123,36 @@ def ewallet_monthly_summary(
     )
 
 
+def payment_days(payments: DataFrame) -> DataFrame:
+    """Payment volume, fees and refunds by day, branch, channel and merchant."""
+    return payments.groupBy("time_key", "branch_key", "channel_key", "merchant_key").agg(
+        _rows().alias("txn_count"), F.sum("txn_amount").alias("gross_amount"),
+        F.sum("fee_amount").alias("total_fee"), F.sum("refund_amount").alias("total_refund"),
+        F.sum("net_amount").alias("net_revenue"),
+    )
+
+
 def payment_revenue_summary(
     payments: DataFrame, dim_time: DataFrame, dim_merchant: DataFrame, dim_channel: DataFrame,
     dim_branch: DataFrame,
 ) -> DataFrame:
     """Payment volume, fees and refunds by month, merchant category and channel."""
+    return payment_of_days(payment_days(payments), dim_time, dim_merchant, dim_channel, dim_branch)
+
+
+def payment_of_days(
+    days: DataFrame, dim_time: DataFrame, dim_merchant: DataFrame, dim_channel: DataFrame, dim_branch: DataFrame
+) -> DataFrame:
+    """The same from the sums by day."""
     named = (
-        payments.join(dim_time.select("time_key", "year", "quarter", "month"), "time_key")
+        days.join(dim_time.select("time_key", "year", "quarter", "month"), "time_key")
         .join(dim_branch.select("branch_key", "region_name"), "branch_key")
         .join(dim_channel.select("channel_key", "channel_name"), "channel_key")
     )
     per_merchant = named.groupBy(
         "year", "quarter", "month", "channel_name", "region_name", "merchant_key"
     ).agg(
-        _rows().alias("txn_count"), F.sum("txn_amount").alias("gross_amount"),
-        F.sum("fee_amount").alias("total_fee"), F.sum("refund_amount").alias("total_refund"),
-        F.sum("net_amount").alias("net_revenue"),
+        _total("txn_count"), _total("gross_amount"), _total("total_fee"), _total("total_refund"), _total("net_revenue"),
     )
     return (
         per_merchant.join(dim_merchant.select("merchant_key", "merchant_category"), "merchant_key")

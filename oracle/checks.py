@@ -36,6 +36,23 @@ select customer_sk as surviving_customer_sk, wallet_user_id as merged_source_id,
        cast(0.95 as double) as confidence_score
 from t_customer where is_wallet_user and is_borrower"""
 
+CHECKS["fact_survivors"] = f"""
+, day_one as (
+  select 1 + {numbered('cif', 'account_id')} as sk, user_id
+  from (select cif, cast(null as bigint) as account_id, cast(null as varchar) as user_id from t_bank
+        union all select null, account_id, user_id from t_wallet)
+), owner as (
+  -- of a customer's wallets the one with the lowest key holds the facts
+  select p.cif, arg_min(p.user_id, d.sk) as user_id
+  from t_party p left join day_one d on d.user_id = p.user_id
+  where p.cif is not null group by p.cif
+)
+select e.source_system, e.event_id as source_trans_id, cast(e.amount as double) as base_amount,
+       coalesce(o.cif, w.cif) as bank_cif, coalesce(o.user_id, w.user_id) as wallet_user_id
+from t_event e
+left join owner o on e.source_system = 'PAYMENT' and o.cif = e.cif
+left join t_party w on e.source_system = 'EWALLET' and w.user_id = e.wallet_id"""
+
 CHECKS["dim_merchant"] = "select * from t_merchant"
 CHECKS["dim_product_account"] = "select * from t_product"
 
@@ -119,6 +136,27 @@ from t_lending
 where cast(trans_timestamp as date) in (
   select cast(ts as date) from t_event
   where cast(ts as date) <> date '1996-11-01' or right(event_id, 1) not in ('1', '4', '7'))"""
+CHECKS["fact_as_of"] = """
+, version as (
+  select cif_number, c_name, cast(effective_date as timestamp) as since,
+         cast(if(is_current and c_acctbal < 1000, date '1996-11-01', expiry_date) as timestamp) as until
+  from (select *, full_name as c_name from t_holder)
+  union all
+  select cif_number, if(c_acctbal < 1000, upper(full_name), full_name), timestamp '1996-11-01', null
+  from t_holder where not is_current or c_acctbal < 1000
+), movement as (
+  select 'debt' as fact, contract_no as id, cif as cif_number, cast(paid_out as timestamp) as at, principal as amount
+  from t_loan
+  union all
+  select 'payment', event_id, cast(account_id as varchar), cast(ts as timestamp), amount from t_pay
+  union all
+  select 'wallet', cast(t.txn_id as varchar), w.user_id, cast(t.ts as timestamp), t.amount
+  from t_wallet_txn t left join t_wallet w using (account_id)
+)
+select m.fact, m.id, m.cif_number, m.at, cast(m.amount as double) as amount,
+       case when v.until is null or m.at < v.until then v.c_name end as full_name,
+       case when v.until is null or m.at < v.until then cast(v.since as date) end as effective_date
+from movement m asof left join version v on m.cif_number = v.cif_number and m.at >= v.since"""
 CHECKS["star_day_run"] = """
 , every_fact as (
   select paid_out as full_date, 'debt' as fact, customer_key, outstanding as amount
@@ -503,3 +541,9 @@ select p.txn_id, p.merchant_id, cast(p.amount as double) as txn_amount, cast(p.f
        cast(cast(p.amount * 100 as bigint) - cast(round(p.fee * 100) as bigint)
             - 100 * coalesce(b.refunded, 0) as double) / 100 as net_amount
 from t_payment p left join back b using (txn_id)"""
+
+# --- views from stored sums: the same as from the facts ------------------------------
+
+CHECKS["npl_incremental"] = CHECKS["npl_by_branch_month"]
+CHECKS["ewallet_monthly_incremental"] = CHECKS["ewallet_monthly"]
+CHECKS["payment_revenue_incremental"] = CHECKS["payment_revenue"]
