@@ -238,7 +238,7 @@ def op8_pseudo_likelihood(spark: SparkSession, d: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return suffix_dedup.suffix_dedup(docs, length=400).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeats"))
 
 
 # --- 10: token counts -------------------------------------------------------------
