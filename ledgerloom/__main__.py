@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     job("checks", "fact count, customers by flag, newest facts")
     job("monitor", "live feed and its figures")
     job("compact", "pack the small batches of the landing table that daily runs have taken up")
+    job("refresh-views", "make the stored sums of changed days again and show the views")
     job("move-facts", "write the facts of merged customers under the key that survived")
     job("train", "train the fraud model").add_argument("--model", required=True)
     return parser
@@ -96,6 +97,9 @@ def main(argv: list[str]) -> None:
         _show(monitor.fact_count(facts), monitor.customers_by_flag(customers), monitor.newest_facts(facts))
     elif args.job == "compact":
         print("packed" if daily.compact_landing(w) else "nothing to pack")
+    elif args.job == "refresh-views":
+        daily.refresh_sums(w)
+        _show(*daily.serve_views(w).values())
     elif args.job == "move-facts":
         print("files written anew:", daily.move_facts(w))
     elif args.job == "monitor":

@@ -121,7 +121,7 @@ with bank_keys as (
     on ifnull(b.national_id, 'P_' || b.digits) = ifnull(w.national_id, 'P_' || w.digits)
 )
 select cif, account_id, user_id, ifnull(national_id, 'PH_' || digits) as national_id,
-       if(cif is null, digits, bank_digits) as phone, if(cif is null, shown, bank_shown) as full_name,
+       ifnull(bank_digits, digits) as phone, ifnull(bank_shown, shown) as full_name,
        if(cif is null, kyc_level, 'TIER_2') as kyc
 from looked_up
 union all
