@@ -30,8 +30,14 @@ def _with_period(sums: DataFrame) -> DataFrame:
 
 
 def build(facts: DataFrame, sums: Sums, path: str) -> None:
-    """The sums of all days."""
-    tables.overwrite(_with_period(sums(facts)), path, _FOLDER)
+    """The sums of all days; without any, a folder without rows keeps the columns."""
+    rows = tables.stored(_with_period(sums(facts)), "sums")
+    if not rows.isEmpty():
+        tables.overwrite(rows, path, _FOLDER)
+    elif tables.exists(facts.sparkSession, path):
+        tables.replace_partitions(rows, path, _FOLDER)
+    else:
+        tables.replace_partition(rows, path, _FOLDER, 0)
 
 
 def refresh(facts: DataFrame, sums: Sums, path: str, days: Iterable[int]) -> None:

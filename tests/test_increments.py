@@ -52,6 +52,18 @@ def test_only_the_folders_of_changed_days_are_written(spark, tmp_path):
     assert files() == after
 
 
+def test_facts_without_rows(spark, rows, tmp_path):
+    path, none, one = f"{tmp_path}/sums", loans(spark, [(1, 1, 1.0, "NPL")]).limit(0), loans(spark, [(70, 1, 1.0, "NPL")])
+    for _ in range(2):
+        increments.build(none, views.debt_days, path)
+        increments.refresh(none, views.debt_days, path, [70])
+        assert rows(increments.read(spark, path)) == []
+        increments.refresh(one, views.debt_days, path, [70])
+        assert rows(increments.read(spark, path)) == rows(views.debt_days(one))
+    increments.refresh(none, views.debt_days, path, [70])
+    assert rows(increments.read(spark, path)) == []
+
+
 def test_days_wait_until_their_sums_are_made(spark, tmp_path):
     changed = increments.ChangedDays(spark, f"{tmp_path}/changed")
     assert changed.of("a") == []
