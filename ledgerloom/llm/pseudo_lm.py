@@ -1,10 +1,14 @@
 """Masked pseudo-likelihood of texts under a bidirectional window network.
 
 Every word is predicted from the two words on its left and the two on its
-right; the sum of the log-probabilities scores a text. Words are hashed to
-``BUCKETS`` buckets, whose counts come from all texts. A bucket's probability is
-that of its frequency class, which the network predicts, times its share of the
-class.
+right; the sum of the log-probabilities scores a text. The probability of a word
+is that of its class, given the context, times that of its unit in the class,
+given the context, times its share of the unit. The ``HEADS`` most frequent
+words are units of their own. Each of the other units holds the words of one
+hash value, whose shares are their exact counts: all distinct words are counted
+over all texts, in a stored table that grows with the input and is joined back
+by the word. So no two words are merged, and over the words of the corpus the
+probabilities add up to 1.
 
 The network is trained in numpy on all texts, in rounds. In a round each task
 goes through its texts of the round, beginning with the parameters that all
@@ -15,12 +19,12 @@ nothing grows with the number of tasks but the number of groups.
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -30,11 +34,11 @@ from ledgerloom.llm.common import fresh, ship, text_of, without
 from ledgerloom.operators.tables import stored
 
 RESULT = ("n_tokens", "log_likelihood", "mean_log_likelihood")
-BUCKETS = 1 << 16
-INPUTS = 4096  # ids of words as context: frequent ones have their own
-FREQUENT = 4000
-PAD = INPUTS
 CLASSES = 64
+MEMBERS = 64  # units of a class
+HEADS = 3072  # units that are one word; these are the most frequent ones
+UNITS = CLASSES * MEMBERS
+PAD = UNITS
 WIDTH = 16
 SIDE = 2
 ROUNDS = 3
@@ -42,107 +46,159 @@ RATE = 0.1
 BATCH = 8192  # words
 FAN_IN = 64
 BLOCKS = 64
+KEPT = 200_000  # distinct words that a task counts before it passes them on
+NANO = 1_000_000_000  # shares are whole billionths of a nat, so that their sums do not depend on an order
+NEVER = -1e9  # log-probability of a unit without words
+
+
+class Units(dict):
+    """From a word to its unit; words that are not listed share the units from ``heads`` on."""
+
+    def __init__(self, words: list[bytes], heads: int):
+        super().__init__(zip(words, range(heads)))
+        self.heads = heads
+
+    def __missing__(self, word: bytes) -> int:
+        return self.heads + crc32(word) % (UNITS - self.heads)
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    input_of: np.ndarray  # bucket to context id
-    class_of: np.ndarray  # bucket to class
-    log_share: np.ndarray  # bucket to the log of its share of its class
+    units: Units  # of the heads
+    totals: np.ndarray  # words of the corpus in each unit
+
+
+def tokens(text: str) -> list[bytes]:
+    return text.encode("utf-8").split()
 
 
-def tokens(text: str) -> np.ndarray:
-    words = text.encode("utf-8").split()
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % BUCKETS
+def in_units(words: list[bytes], known: Vocabulary) -> np.ndarray:
+    return np.fromiter(map(known.units.__getitem__, words), np.int32, len(words))
 
 
-def vocabulary(counts: np.ndarray) -> Vocabulary:
-    """Classes of about equal weight, by frequency; each holds whole buckets."""
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(BUCKETS, np.int64)
-    rank[order] = np.arange(BUCKETS)
-    input_of = np.where(rank < FREQUENT, rank, FREQUENT + np.arange(BUCKETS) % (INPUTS - FREQUENT))
-    weight = np.cumsum(np.sqrt(counts[order] + 1.0))
-    class_of = np.empty(BUCKETS, np.int64)
-    class_of[order] = np.minimum((weight * CLASSES / weight[-1]).astype(np.int64), CLASSES - 1)
-    smoothed = counts + 1.0
-    share = smoothed / np.bincount(class_of, smoothed, CLASSES)[class_of]
-    return Vocabulary(input_of.astype(np.int32), class_of.astype(np.int32), np.log(share))
+def _log_totals(totals: np.ndarray) -> np.ndarray:
+    logs = np.full(len(totals), NEVER)
+    np.log(totals, out=logs, where=totals > 0)
+    return logs
 
 
-def initial() -> np.ndarray:
-    """All parameters in one vector: context embeddings, output weights, output bias."""
+def initial(totals: np.ndarray) -> np.ndarray:
+    """All parameters in one vector; without a context they give the frequencies of the units."""
     draw = np.random.default_rng(11)
     return np.concatenate([
-        draw.normal(0, 0.1, 2 * SIDE * (INPUTS + 1) * WIDTH), draw.normal(0, 0.1, WIDTH * CLASSES), np.zeros(CLASSES),
+        draw.normal(0, 0.1, 2 * SIDE * (UNITS + 1) * WIDTH),
+        draw.normal(0, 0.1, WIDTH * CLASSES), _log_totals(totals.reshape(CLASSES, MEMBERS).sum(axis=1)),
+        draw.normal(0, 0.1, CLASSES * WIDTH * MEMBERS), _log_totals(totals),
     ]).astype(np.float32)
 
 
+def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
+
+
+def _segments(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts ``ids``, and where in it each value begins."""
+    order = np.argsort(ids, kind="stable")
+    return order, np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+
+
 class Network:
+    """Two context words on each side, a hidden layer, a class and a unit of it."""
+
     def __init__(self, parameters: np.ndarray):
         self.all = parameters.copy()
-        n, m = 2 * SIDE * (INPUTS + 1) * WIDTH, WIDTH * CLASSES
-        self.embed = self.all[:n].reshape(2 * SIDE, INPUTS + 1, WIDTH)
-        self.out = self.all[n:n + m].reshape(WIDTH, CLASSES)
-        self.bias = self.all[n + m:]
-        self.embed_seen = np.full((2 * SIDE, INPUTS + 1, 1), 1e-6, np.float32)
-        self.out_seen, self.bias_seen = np.full_like(self.out, 1e-6), np.full_like(self.bias, 1e-6)
-
-    def forward(self, contexts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and log-probabilities of the classes."""
+        sizes = [2 * SIDE * (UNITS + 1) * WIDTH, WIDTH * CLASSES, CLASSES, CLASSES * WIDTH * MEMBERS]
+        embed, out, bias, unit_out, unit_bias = np.split(self.all, np.cumsum(sizes))
+        self.embed = embed.reshape(2 * SIDE, UNITS + 1, WIDTH)
+        self.out, self.bias = out.reshape(WIDTH, CLASSES), bias
+        self.unit_out, self.unit_bias = unit_out.reshape(CLASSES, WIDTH, MEMBERS), unit_bias.reshape(CLASSES, MEMBERS)
+        self.embed_seen = np.full((2 * SIDE, UNITS + 1, 1), 1e-6, np.float32)
+        self.seen = [np.full_like(p, 1e-6) for p in (self.out, self.bias, self.unit_out, self.unit_bias)]
+
+    def hidden(self, contexts: list[np.ndarray]) -> np.ndarray:
         total = self.embed[0][contexts[0]]
         for side, ids in zip(self.embed[1:], contexts[1:], strict=True):
             total += side[ids]
-        hidden = np.tanh(total)
-        logits = hidden @ self.out + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return hidden, logits
-
-    def train(self, contexts: list[np.ndarray], targets: np.ndarray) -> None:
+        return np.tanh(total)
+
+    def classes(self, hidden: np.ndarray) -> np.ndarray:
+        """Log-probabilities of all classes."""
+        return _log_softmax(hidden @ self.out + self.bias)
+
+    def members(self, hidden: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Log-probabilities of the units in the class of each row; ``classes`` is sorted."""
+        logits = self.unit_bias[classes]
+        _, first = _segments(classes)
+        for a, b in zip(first, [*first[1:], len(classes)], strict=True):
+            logits[a:b] += hidden[a:b] @ self.unit_out[classes[a]]
+        return _log_softmax(logits)
+
+    def log_probabilities(self, contexts: list[np.ndarray], units: np.ndarray) -> np.ndarray:
+        """Of ``units``, each in its context."""
+        order, _ = _segments(units)
+        hidden, wanted, at = self.hidden([c[order] for c in contexts]), units[order], np.arange(len(units))
+        out = np.empty(len(units))
+        out[order] = (self.classes(hidden)[at, wanted // MEMBERS]
+                      + self.members(hidden, wanted // MEMBERS)[at, wanted % MEMBERS])
+        return out
+
+    def train(self, contexts: list[np.ndarray], units: np.ndarray) -> None:
         """One step, with step sizes that shrink where gradients have been seen."""
-        hidden, logits = self.forward(contexts)
-        error = np.exp(logits)
-        error[np.arange(len(targets)), targets] -= 1
-        back = (error @ self.out.T) * (1 - hidden * hidden)
-        out, bias = hidden.T @ error, error.sum(axis=0)
-        for value, seen, gradient in ((self.out, self.out_seen, out), (self.bias, self.bias_seen, bias)):
-            seen += gradient * gradient
-            value -= RATE * gradient / np.sqrt(seen)
+        order, _ = _segments(units)
+        contexts, units, at = [c[order] for c in contexts], units[order], np.arange(len(units))
+        targets = units // MEMBERS
+        hidden = self.hidden(contexts)
+        error = np.exp(self.classes(hidden))
+        error[at, targets] -= 1
+        inner = np.exp(self.members(hidden, targets))
+        inner[at, units % MEMBERS] -= 1
+        back = error @ self.out.T
+        _, first = _segments(targets)
+        found, unit_out = targets[first], np.empty((len(first), WIDTH, MEMBERS), np.float32)
+        for k, (a, b) in enumerate(zip(first, [*first[1:], len(units)], strict=True)):
+            back[a:b] += inner[a:b] @ self.unit_out[found[k]].T
+            unit_out[k] = hidden[a:b].T @ inner[a:b]
+        back *= 1 - hidden * hidden
+        every = slice(None)
+        for value, seen, rows, gradient in zip(
+            (self.out, self.bias, self.unit_out, self.unit_bias), self.seen, (every, every, found, found),
+            (hidden.T @ error, error.sum(axis=0), unit_out, np.add.reduceat(inner, first, axis=0)), strict=True,
+        ):
+            seen[rows] += gradient * gradient
+            value[rows] -= RATE * gradient / np.sqrt(seen[rows])
         for side, seen, ids in zip(self.embed, self.embed_seen, contexts, strict=True):
-            order = np.argsort(ids, kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+            order, first = _segments(ids)
             rows = ids[order][first]
             gradient = np.add.reduceat(back[order], first, axis=0)
             seen[rows] += (gradient * gradient).mean(axis=1, keepdims=True)
             side[rows] -= RATE * gradient / np.sqrt(seen[rows])
 
 
-def examples(words: list[np.ndarray], known: Vocabulary) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
-    """Contexts, buckets and text numbers, ``BATCH`` words at a time; contexts end with their text."""
+def examples(texts: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Contexts, units and text numbers, ``BATCH`` words at a time; contexts end with their text."""
     gap = np.full(SIDE, PAD, np.int32)
-    pieces, places, numbers, buckets, at = [gap], [], [], [], SIDE
-    for n, ids in enumerate(words):
+    pieces, places, numbers, at = [gap], [], [], SIDE
+    for n, ids in enumerate(texts):
         if len(ids):
-            pieces += [known.input_of[ids], gap]
+            pieces += [ids, gap]
             places.append(np.arange(at, at + len(ids)))
             numbers.append(np.full(len(ids), n))
-            buckets.append(ids)
             at += len(ids) + SIDE
     if not places:
         return
-    line, places, numbers, buckets = (np.concatenate(x) for x in (pieces, places, numbers, buckets))
+    line, places, numbers = (np.concatenate(x) for x in (pieces, places, numbers))
     for a in range(0, len(places), BATCH):
         p = places[a:a + BATCH]
         contexts = [line[p + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))]
-        yield contexts, buckets[a:a + BATCH], numbers[a:a + BATCH]
+        yield contexts, line[p], numbers[a:a + BATCH]
 
 
-def _grouped(texts, limit: int = 1 << 20) -> Iterator[list[np.ndarray]]:
-    """Words of the texts, in groups of bounded size (or a single longer text)."""
+def _grouped(texts: list[np.ndarray], limit: int = 1 << 20) -> Iterator[list[np.ndarray]]:
+    """The texts in groups of bounded size (or a single longer text)."""
     group, size = [], 0
-    for text in texts:
-        ids = tokens(text)
+    for ids in texts:
         if group and size + len(ids) > limit:
             yield group
             group, size = [], 0
@@ -152,31 +208,58 @@ def _grouped(texts, limit: int = 1 << 20) -> Iterator[list[np.ndarray]]:
         yield group
 
 
-def bucket_counts(texts: DataFrame) -> np.ndarray:
-    """Words of all ``texts`` (text) in each bucket; what reaches the driver has ``BUCKETS`` rows at most."""
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, n) of every distinct word of all ``texts`` (text), stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
+
+        total = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                np.add.at(total, tokens(text), 1)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["bucket", "n"])
+                total.update(tokens(text))
+                if len(total) > KEPT:
+                    yield counted()
+                    total = Counter()
+        yield counted()
+
+    return stored(texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+
 
-    found = texts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    return counts
+def vocabulary(words: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The units, and (word, share) of each word that shares its unit with others, stored.
+
+    ``share`` is the log of the word's part of its unit. ``HEADS`` words and as
+    many sums as there are other units reach the driver, whatever the data.
+    """
+    spark = words.sparkSession
+    heads = words.orderBy(F.col("n").desc(), "word").limit(HEADS).collect()
+    totals = np.zeros(UNITS)
+    totals[:len(heads)] = [r["n"] for r in heads]
+    listed = spark.createDataFrame([(bytes(r["word"]),) for r in heads], "word binary")
+    # at most HEADS rows, so the words stay where they are
+    rest = words.join(F.broadcast(listed), "word", "left_anti").withColumn(
+        "unit", (HEADS + F.crc32("word") % (UNITS - HEADS)).cast("int"))
+    sums = rest.groupBy("unit").agg(F.sum("n").alias("total")).collect()
+    for r in sums:
+        totals[r["unit"]] = r["total"]
+    of_unit = spark.createDataFrame([(r["unit"], r["total"]) for r in sums], "unit int, total long")
+    share = F.round(F.log(F.col("n") / F.col("total")) * NANO).cast("long")
+    shares = stored(rest.join(F.broadcast(of_unit), "unit").select("word", share.alias("share")), "shares")
+    return Vocabulary(Units([bytes(r["word"]) for r in heads], HEADS), totals), shares
 
 
 def _trained(parameters: np.ndarray, known: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, n = Network(parameters), 0
         for batch in batches:
-            for words in _grouped(batch.column(0).to_pylist()):
-                for contexts, buckets, _ in examples(words, known):
-                    network.train(contexts, known.class_of[buckets])
-                    n += len(buckets)
+            texts = [in_units(tokens(t), known) for t in batch.column(0).to_pylist()]
+            for group in _grouped(texts):
+                for contexts, units, _ in examples(group):
+                    network.train(contexts, units)
+                    n += len(units)
         if n:
             blocks = [b.tobytes() for b in np.array_split(network.all, BLOCKS)]
             yield pa.RecordBatch.from_arrays([
@@ -203,11 +286,11 @@ def _average(table: pa.Table) -> pa.Table:
     })
 
 
-def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
-    """The vocabulary and the parameters, trained once on every one of ``texts`` (text)."""
+def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, DataFrame, np.ndarray]:
+    """Units, shares and the parameters, trained once on every one of ``texts`` (text)."""
     ship(texts.sparkSession)
-    known = vocabulary(bucket_counts(texts))
-    parameters = initial()
+    known, shares = vocabulary(word_counts(texts))
+    parameters = initial(known.totals)
     for n in range(rounds):
         share = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == n)
         parts = stored(share.mapInArrow(_trained(parameters, known), AVERAGED), "parts")
@@ -218,21 +301,37 @@ def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]
                 rows = sorted(parts.collect(), key=lambda r: r["block"])  # one for each block
                 parameters = np.concatenate([np.frombuffer(r["part"], np.float32) for r in rows])
                 break
-    return known, parameters
-
-
-def score_texts(texts: list[str], known: Vocabulary, network: Network) -> tuple[np.ndarray, np.ndarray]:
-    """Words and summed log-probability of each text."""
-    lengths, sums = [], []
-    for words in _grouped(texts):
-        total = np.zeros(len(words))
-        for contexts, buckets, numbers in examples(words, known):
-            _, logits = network.forward(contexts)
-            each = logits[np.arange(len(buckets)), known.class_of[buckets]] + known.log_share[buckets]
-            total += np.bincount(numbers, each, len(words))
-        lengths += [len(w) for w in words]
+    return known, shares, parameters
+
+
+def score_units(texts: list[np.ndarray], network: Network) -> np.ndarray:
+    """Summed log-probability of the units of each text."""
+    sums = [np.zeros(0)]
+    for group in _grouped(texts):
+        total = np.zeros(len(group))
+        for contexts, units, numbers in examples(group):
+            total += np.bincount(numbers, network.log_probabilities(contexts, units), len(group))
         sums.append(total)
-    return np.array(lengths, np.int64), np.concatenate(sums) if sums else np.zeros(0)
+    return np.concatenate(sums)
+
+
+SCORED = "n long, units double, rare array<struct<word: binary, times: long>>"
+
+
+def _scored(texts: list[str], known: Vocabulary, network: Network) -> pa.StructArray:
+    """For each text its length, the sum over its units, and its words that share a unit."""
+    words = [tokens(t) for t in texts]
+    sums = score_units([in_units(w, known) for w in words], network)
+    starts, rare, times = [0], [], []
+    for each in words:
+        counted = {w: n for w, n in Counter(each).items() if w not in known.units}
+        rare += counted
+        times += counted.values()
+        starts.append(len(rare))
+    pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], names=["word", "times"])
+    return pa.StructArray.from_arrays(
+        [pa.array([len(w) for w in words], pa.int64()), pa.array(sums), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs)],
+        names=["n", "units", "rare"])
 
 
 def pseudo_likelihood(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -240,22 +339,29 @@ def pseudo_likelihood(docs: DataFrame, text_col: str = "text", rounds: int = ROU
 
     Words are what white space separates. The model is trained on all texts of
     ``docs`` itself. Null counts as empty; an empty text has no token, a sum of
-    0 and no mean. Rows that repeat are scored alike. An empty table gives an
-    empty result. Input columns named like a result are replaced.
+    0 and no mean. A long text is scored as a whole. Rows that repeat are scored
+    alike. An empty table gives an empty result. Input columns named like a
+    result are replaced.
     """
     docs = without(docs, *RESULT)
-    (found,) = fresh(docs, "found")
-    known, parameters = fit(docs.select(text_of(text_col).alias("text")), rounds)
+    found, row, total = fresh(docs, "found", "row", "total")
+    known, shares, parameters = fit(docs.select(text_of(text_col).alias("text")), rounds)
 
-    @F.pandas_udf("n_tokens long, log_likelihood double")
-    def score(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(SCORED)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         network = Network(parameters)
-        for texts in series:
-            lengths, sums = score_texts(texts.tolist(), known, network)
-            yield pd.DataFrame({"n_tokens": lengths, "log_likelihood": sums})
-
-    done = docs.withColumn(found, score(text_of(text_col)))
-    return done.select(
-        *[F.col(f"`{c}`") for c in docs.columns], f"{found}.n_tokens", f"{found}.log_likelihood",
-        F.when(F.col(f"{found}.n_tokens") > 0, F.col(f"{found}.log_likelihood") / F.col(f"{found}.n_tokens"))
-        .alias("mean_log_likelihood"))
+        for batch in batches:
+            yield _scored(batch.to_pylist(), known, network)
+
+    # stored, so that the numbers of the rows hold for both reads
+    done = stored(docs.withColumn(found, score(text_of(text_col))).withColumn(row, F.monotonically_increasing_id()), "scored")
+    shared = (
+        done.select(F.col(row).alias("row"), F.inline(f"{found}.rare")).join(shares, "word")
+        .groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("total"))
+        .select(F.col("row").alias(row), F.col("total").alias(total))
+    )
+    likelihood = F.col(f"{found}.units") + F.coalesce(F.col(total), F.lit(0)) / NANO
+    return done.join(shared, row, "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.col(f"{found}.n").alias("n_tokens"),
+        likelihood.alias("log_likelihood"),
+        F.when(F.col(f"{found}.n") > 0, likelihood / F.col(f"{found}.n")).alias("mean_log_likelihood"))

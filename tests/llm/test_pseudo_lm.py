@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -22,45 +24,109 @@ def frame(spark, texts):
         [(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens string").repartition(3, "doc_id")
 
 
+def unigrams(texts, counts):
+    n = sum(counts.values())
+    return [sum(math.log(counts[w] / n) for w in t.encode().split()) for t in texts]
+
+
 def test_learns_from_both_sides(spark):
     texts = sentences(400)
-    known, parameters = lm.fit(frame(spark, texts).select("text"))
+    known, _, parameters = lm.fit(frame(spark, texts).select("text"))
     fresh = sentences(40, seed=9)
     mixed = [" ".join(random.sample(t.split(), len(t.split()))) for t in fresh]
-    network, blank = lm.Network(parameters), lm.Network(np.zeros_like(parameters))
-    n, good = lm.score_texts(fresh, known, network)
-    _, shuffled = lm.score_texts(mixed, known, network)
-    _, untrained = lm.score_texts(fresh, known, blank)
-    assert n.tolist() == [len(t.split()) for t in fresh]
-    # a tenth of a nat for each word
-    assert good.sum() > max(shuffled.sum(), untrained.sum()) + 0.1 * n.sum()
+
+    def score(some):
+        return lm.score_units([lm.in_units(lm.tokens(t), known) for t in some], lm.Network(parameters))
+
+    n = sum(len(t.split()) for t in fresh)
+    plain = unigrams(fresh, Counter(w for t in texts for w in t.encode().split()))
+    good, shuffled = score(fresh), score(mixed)
+    # every word is a unit: half a nat a word better than the frequencies of whole words
+    assert good.sum() > sum(plain) + 0.5 * n
     assert (good > shuffled).mean() > 0.9
 
 
-def test_probabilities_add_up():
-    counts = np.random.default_rng(0).integers(0, 50, lm.BUCKETS)
-    known = lm.vocabulary(counts)
-    network = lm.Network(lm.initial())
-    ids = lm.tokens("one two three four five six")
-    for contexts, _, _ in lm.examples([ids], known):
-        _, logits = network.forward(contexts)
-        word = np.exp(logits[:, known.class_of] + known.log_share[None, :])
-        assert np.allclose(word.sum(axis=1), 1, atol=1e-4)
+def some_vocabulary(texts, monkeypatch, heads=2):
+    """By plain loops: the units of the words, and each word's share of its unit."""
+    monkeypatch.setattr(lm, "HEADS", heads)
+    counts = Counter(w for t in texts for w in t.encode().split())
+    first = sorted(counts, key=lambda w: (-counts[w], w))[:heads]
+    units, totals = lm.Units(first, heads), np.zeros(lm.UNITS)
+    for w, n in counts.items():
+        totals[units[w]] += n
+    return lm.Vocabulary(units, totals), {w: counts[w] / totals[units[w]] for w in counts}
+
+
+def test_probabilities_of_all_words_add_up(monkeypatch):
+    known, share = some_vocabulary(sentences(20), monkeypatch, 20)
+    network = lm.Network(lm.initial(known.totals))
+    context = [np.array([known.units[w]], np.int32) for w in (b"a1", b"b2", b"c3", b"nowhere")]
+    total = sum(
+        math.exp(network.log_probabilities(context, np.array([known.units[w]]))[0]) * part for w, part in share.items())
+    assert abs(total - 1) < 1e-4
+
+
+def brute(texts, known, share, parameters):
+    """The pseudo-likelihood of each text, word by word."""
+    net, out = lm.Network(parameters), []
+    for text in texts:
+        words, total = text.encode().split(), 0.0
+        for i, word in enumerate(words):
+            h = np.zeros(lm.WIDTH)
+            for k, d in enumerate((-2, -1, 1, 2)):
+                h += net.embed[k][known.units[words[i + d]] if 0 <= i + d < len(words) else lm.PAD]
+            h, (c, m) = np.tanh(h), divmod(known.units[word], lm.MEMBERS)
+            for logits, wanted in ((h @ net.out + net.bias, c), (h @ net.unit_out[c] + net.unit_bias[c], m)):
+                total += logits[wanted] - logits.max() - math.log(np.exp(logits - logits.max()).sum())
+            total += math.log(share[word])
+        out.append(total)
+    return out
+
+
+def test_brute_force(spark, monkeypatch):
+    texts = ["a b a c", "", "c d e f g a a", "a b", "a b", "\u00e9\t\u00fc\n a", "h " * 9000]
+    known, share = some_vocabulary(texts, monkeypatch)
+    df = frame(spark, texts)
+    fitted = lm.fit(df.select("text"))
+    assert (fitted[0].units, fitted[0].totals.tolist()) == (known.units, known.totals.tolist())
+    assert {bytes(r.word): r.share for r in fitted[1].collect()} == {
+        w: round(math.log(p) * lm.NANO) for w, p in share.items() if w not in known.units}
+    monkeypatch.setattr(lm, "fit", lambda *_: fitted)
+    rows = lm.pseudo_likelihood(df).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in rows] == [len(t.split()) for t in texts]
+    assert np.allclose([r.log_likelihood for r in rows], brute(texts, known, share, fitted[2]), rtol=1e-4)
+
+
+def test_counts_are_passed_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "KEPT", 3)
+    texts = sentences(50)
+    found = {bytes(r.word): r.n for r in lm.word_counts(frame(spark, texts).select("text")).collect()}
+    assert found == Counter(w for t in texts for w in t.encode().split())
+
+
+def test_a_step_lowers_the_loss(monkeypatch):
+    known, _ = some_vocabulary(sentences(20), monkeypatch, 20)
+    network = lm.Network(lm.initial(known.totals))
+    (contexts, units, _), = lm.examples([lm.in_units(lm.tokens(t), known) for t in sentences(20)])
+    before = network.log_probabilities(contexts, units).sum()
+    for _ in range(20):
+        network.train(contexts, units)
+    assert network.log_probabilities(contexts, units).sum() > before + 0.5 * len(units)
 
 
-def test_contexts_end_with_their_text():
-    known = lm.vocabulary(np.zeros(lm.BUCKETS, np.int64))
-    network = lm.Network(lm.initial())
+def test_contexts_end_with_their_text(monkeypatch):
     texts = ["a b c", "", "d e f g", "h"]
-    _, together = lm.score_texts(texts, known, network)
-    alone = [lm.score_texts([t], known, network)[1][0] for t in texts]
-    assert np.allclose(together, alone)
+    known, _ = some_vocabulary(texts, monkeypatch)
+    network = lm.Network(lm.initial(known.totals))
+    ids = [lm.in_units(lm.tokens(t), known) for t in texts]
+    alone = [lm.score_units([i], network)[0] for i in ids]
+    assert np.allclose(lm.score_units(ids, network), alone)
 
 
 def test_reruns_agree_in_levels(spark, monkeypatch):
     monkeypatch.setattr(lm, "FAN_IN", 2)
     df = frame(spark, sentences(60)).select("text")
-    assert np.array_equal(lm.fit(df)[1], lm.fit(df)[1])
+    assert np.array_equal(lm.fit(df)[2], lm.fit(df)[2])
 
 
 def test_odd_rows(spark):
