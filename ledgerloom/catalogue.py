@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import measures
-from ledgerloom.operators import quality, tables
+from ledgerloom.operators import keyed, quality, tables
 from ledgerloom.operators.joins import as_of_lookup
 from ledgerloom.operators.tables import stored
 from ledgerloom.plans import daily, dims, facts, fraud, increments, monitor, views
@@ -411,6 +411,25 @@ def insert_ignore(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def keyed_insert(spark: SparkSession, d: str) -> DataFrame:
+    """National ids of a keyed table of bank customers after wallets went in, those with an id twice."""
+    wallets = b.wallet_account(spark, d).select("national_id")
+    held = keyed.create(
+        b.bank_customer(spark, d).select("national_id"), scratch_path(spark, "keyed"), "national_id")
+    for rows in (wallets, wallets.where("national_id IS NOT NULL")):
+        keyed.insert_ignore(held, rows)
+    return keyed.pack(spark, held, scratch_path(spark, "keyed")).rows(spark)
+
+
+@query
+def keyed_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """National ids that several wallets share, counted in a keyed table without a shuffle."""
+    held = keyed.create(
+        b.wallet_account(spark, d).select("national_id"), scratch_path(spark, "keyed"), "national_id")
+    return quality.duplicates(held.rows(spark), "national_id")
+
+
 @query
 def schema_evolution(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the older event shape beside rows of the extended one."""

@@ -194,6 +194,10 @@ select distinct national_id from t_wallet
 where national_id not in (select national_id from t_bank where national_id is not null)
 union all
 select null from t_wallet where national_id is null"""
+CHECKS["keyed_insert"] = "select national_id from t_bank union all" + CHECKS["insert_ignore"]
+CHECKS["keyed_duplicates"] = """
+select national_id as key_value, count(*) as copies
+from t_wallet where national_id is not null group by national_id having count(*) > 1"""
 CHECKS["schema_evolution"] = """
 select event_id, account_id, cast(amount as double) as amount, txn_type, 'USD' as currency,
        ts as timestamp, merchant, cast(flag as integer) as is_fraud_flag,
