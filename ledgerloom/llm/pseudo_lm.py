@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 from zlib import crc32
 
 import numpy as np
@@ -43,7 +44,7 @@ WIDTH = 16
 SIDE = 2
 ROUNDS = 3
 RATE = 0.1
-BATCH = 8192  # words
+BATCH = 1 << 14  # words
 FAN_IN = 64
 BLOCKS = 64
 KEPT = 200_000  # distinct words that a task counts before it passes them on
@@ -73,7 +74,7 @@ def tokens(text: str) -> list[bytes]:
 
 
 def in_units(words: list[bytes], known: Vocabulary) -> np.ndarray:
-    return np.fromiter(map(known.units.__getitem__, words), np.int32, len(words))
+    return np.fromiter(map(known.units.__getitem__, words), np.uint16, len(words))
 
 
 def _log_totals(totals: np.ndarray) -> np.ndarray:
@@ -92,12 +93,20 @@ def initial(totals: np.ndarray) -> np.ndarray:
     ]).astype(np.float32)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
+def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
+def _log_part(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The log-probability of one column of each row."""
+    logits -= logits.max(axis=1, keepdims=True)
+    chosen = logits[np.arange(len(wanted)), wanted]
+    return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
 def _segments(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that sorts ``ids``, and where in it each value begins."""
     order = np.argsort(ids, kind="stable")
@@ -124,24 +133,24 @@ class Network:
         return np.tanh(total)
 
     def classes(self, hidden: np.ndarray) -> np.ndarray:
-        """Log-probabilities of all classes."""
-        return _log_softmax(hidden @ self.out + self.bias)
+        """Logits of all classes."""
+        return hidden @ self.out + self.bias
 
     def members(self, hidden: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Log-probabilities of the units in the class of each row; ``classes`` is sorted."""
+        """Logits of the units in the class of each row; ``classes`` is sorted."""
         logits = self.unit_bias[classes]
         _, first = _segments(classes)
         for a, b in zip(first, [*first[1:], len(classes)], strict=True):
             logits[a:b] += hidden[a:b] @ self.unit_out[classes[a]]
-        return _log_softmax(logits)
+        return logits
 
     def log_probabilities(self, contexts: list[np.ndarray], units: np.ndarray) -> np.ndarray:
         """Of ``units``, each in its context."""
         order, _ = _segments(units)
-        hidden, wanted, at = self.hidden([c[order] for c in contexts]), units[order], np.arange(len(units))
+        hidden, wanted = self.hidden([c[order] for c in contexts]), units[order]
+        classes = wanted // MEMBERS
         out = np.empty(len(units))
-        out[order] = (self.classes(hidden)[at, wanted // MEMBERS]
-                      + self.members(hidden, wanted // MEMBERS)[at, wanted % MEMBERS])
+        out[order] = _log_part(self.classes(hidden), classes) + _log_part(self.members(hidden, classes), wanted % MEMBERS)
         return out
 
     def train(self, contexts: list[np.ndarray], units: np.ndarray) -> None:
@@ -150,9 +159,9 @@ class Network:
         contexts, units, at = [c[order] for c in contexts], units[order], np.arange(len(units))
         targets = units // MEMBERS
         hidden = self.hidden(contexts)
-        error = np.exp(self.classes(hidden))
+        error = _softmax(self.classes(hidden))
         error[at, targets] -= 1
-        inner = np.exp(self.members(hidden, targets))
+        inner = _softmax(self.members(hidden, targets))
         inner[at, units % MEMBERS] -= 1
         back = error @ self.out.T
         _, first = _segments(targets)
@@ -178,7 +187,7 @@ class Network:
 
 def examples(texts: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
     """Contexts, units and text numbers, ``BATCH`` words at a time; contexts end with their text."""
-    gap = np.full(SIDE, PAD, np.int32)
+    gap = np.full(SIDE, PAD, np.uint16)
     pieces, places, numbers, at = [gap], [], [], SIDE
     for n, ids in enumerate(texts):
         if len(ids):
@@ -321,10 +330,11 @@ SCORED = "n long, units double, rare array<struct<word: binary, times: long>>"
 def _scored(texts: list[str], known: Vocabulary, network: Network) -> pa.StructArray:
     """For each text its length, the sum over its units, and its words that share a unit."""
     words = [tokens(t) for t in texts]
-    sums = score_units([in_units(w, known) for w in words], network)
+    units = [in_units(w, known) for w in words]
+    sums = np.round(score_units(units, network), 3)  # single precision depends on the place in a batch
     starts, rare, times = [0], [], []
-    for each in words:
-        counted = {w: n for w, n in Counter(each).items() if w not in known.units}
+    for each, ids in zip(words, units, strict=True):
+        counted = Counter(compress(each, (ids >= known.units.heads).tolist()))
         rare += counted
         times += counted.values()
         starts.append(len(rare))
@@ -334,16 +344,22 @@ def _scored(texts: list[str], known: Vocabulary, network: Network) -> pa.StructA
         names=["n", "units", "rare"])
 
 
-def pseudo_likelihood(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def pseudo_likelihood(
+    docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, kept: tuple[str, ...] | None = None
+) -> DataFrame:
     """The rows of ``docs`` with ``n_tokens``, ``log_likelihood`` and ``mean_log_likelihood``.
 
+    ``kept`` names the columns of ``docs`` that the result has, all of them by
+    default; the others, such as the text, need not be written to the scratch.
+
     Words are what white space separates. The model is trained on all texts of
     ``docs`` itself. Null counts as empty; an empty text has no token, a sum of
     0 and no mean. A long text is scored as a whole. Rows that repeat are scored
-    alike. An empty table gives an empty result. Input columns named like a
+    alike, to a thousandth of a nat. An empty table gives an empty result. Input columns named like a
     result are replaced.
     """
     docs = without(docs, *RESULT)
+    columns = docs.columns if kept is None else list(kept)
     found, row, total = fresh(docs, "found", "row", "total")
     known, shares, parameters = fit(docs.select(text_of(text_col).alias("text")), rounds)
 
@@ -354,7 +370,9 @@ def pseudo_likelihood(docs: DataFrame, text_col: str = "text", rounds: int = ROU
             yield _scored(batch.to_pylist(), known, network)
 
     # stored, so that the numbers of the rows hold for both reads
-    done = stored(docs.withColumn(found, score(text_of(text_col))).withColumn(row, F.monotonically_increasing_id()), "scored")
+    done = stored(docs.select(
+        *[F.col(f"`{c}`") for c in columns], score(text_of(text_col)).alias(found),
+        F.monotonically_increasing_id().alias(row)), "scored")
     shared = (
         done.select(F.col(row).alias("row"), F.inline(f"{found}.rare")).join(shares, "word")
         .groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("total"))
@@ -362,6 +380,6 @@ def pseudo_likelihood(docs: DataFrame, text_col: str = "text", rounds: int = ROU
     )
     likelihood = F.col(f"{found}.units") + F.coalesce(F.col(total), F.lit(0)) / NANO
     return done.join(shared, row, "left").select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col(f"{found}.n").alias("n_tokens"),
+        *[F.col(f"`{c}`") for c in columns], F.col(f"{found}.n").alias("n_tokens"),
         likelihood.alias("log_likelihood"),
         F.when(F.col(f"{found}.n") > 0, likelihood / F.col(f"{found}.n")).alias("mean_log_likelihood"))

@@ -227,7 +227,7 @@ def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op8_pseudo_likelihood(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return pseudo_lm.pseudo_likelihood(docs).select(
+    return pseudo_lm.pseudo_likelihood(docs, kept=("doc_id",)).select(
         "doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
 
 

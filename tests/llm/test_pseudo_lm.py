@@ -60,7 +60,7 @@ def some_vocabulary(texts, monkeypatch, heads=2):
 def test_probabilities_of_all_words_add_up(monkeypatch):
     known, share = some_vocabulary(sentences(20), monkeypatch, 20)
     network = lm.Network(lm.initial(known.totals))
-    context = [np.array([known.units[w]], np.int32) for w in (b"a1", b"b2", b"c3", b"nowhere")]
+    context = [np.array([known.units[w]], np.uint16) for w in (b"a1", b"b2", b"c3", b"nowhere")]
     total = sum(
         math.exp(network.log_probabilities(context, np.array([known.units[w]]))[0]) * part for w, part in share.items())
     assert abs(total - 1) < 1e-4
@@ -134,6 +134,9 @@ def test_odd_rows(spark):
     assert found.columns == ["doc_id", "text", "n_tokens", "log_likelihood", "mean_log_likelihood"]
     rows = {r.doc_id: r for r in found.collect()}
     assert [rows[i].n_tokens for i in range(5)] == [0, 0, 2, 2, 60000]
+    found = lm.pseudo_likelihood(frame(spark, ["a", None]), kept=("doc_id",))
+    assert found.columns == ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"]
+    assert sorted(r.n_tokens for r in found.collect()) == [0, 1]
     assert rows[0].log_likelihood == 0 and rows[0].mean_log_likelihood is None
     assert rows[2].log_likelihood == rows[3].log_likelihood < 0
     assert lm.pseudo_likelihood(frame(spark, [None]).limit(0)).collect() == []
