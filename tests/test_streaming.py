@@ -158,6 +158,13 @@ def test_empty_batches_reach_no_sink(spark):
     assert calls == [1]
 
 
+def test_a_batch_of_several_sinks_is_kept_on_disk_and_let_go(spark):
+    levels, batch = [], spark.range(3)
+    to_sinks(*[lambda rows, i: levels.append(rows.storageLevel)] * 2)(batch, 0)
+    assert [(x.useDisk, x.useMemory) for x in levels] == [(True, False)] * 2
+    assert not batch.storageLevel.useDisk
+
+
 def test_two_sinks_get_the_same_batch(spark, tmp_path):
     base = str(tmp_path)
     write(f"{base}/in", "1.json", EDGE)
