@@ -132,6 +132,12 @@ def payment_days(payments: DataFrame) -> DataFrame:
     )
 
 
+def _payment_sums(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        _total("txn_count"), _total("gross_amount"), _total("total_fee"), _total("total_refund"), _total("net_revenue"),
+    )
+
+
 def payment_revenue_summary(
     payments: DataFrame, dim_time: DataFrame, dim_merchant: DataFrame, dim_channel: DataFrame,
     dim_branch: DataFrame,
@@ -143,24 +149,23 @@ def payment_revenue_summary(
 def payment_of_days(
     days: DataFrame, dim_time: DataFrame, dim_merchant: DataFrame, dim_channel: DataFrame, dim_branch: DataFrame
 ) -> DataFrame:
-    """The same from the sums by day."""
-    named = (
-        days.join(dim_time.select("time_key", "year", "quarter", "month"), "time_key")
-        .join(dim_branch.select("branch_key", "region_name"), "branch_key")
-        .join(dim_channel.select("channel_key", "channel_name"), "channel_key")
-    )
-    per_merchant = named.groupBy(
-        "year", "quarter", "month", "channel_name", "region_name", "merchant_key"
-    ).agg(
-        _total("txn_count"), _total("gross_amount"), _total("total_fee"), _total("total_refund"), _total("net_revenue"),
+    """The same from the sums by day.
+
+    Channels and branches are few, so a shuffle by their keys puts most rows into
+    a few tasks. They are joined last, to sums by month and merchant category.
+    """
+    months = days.join(dim_time.select("time_key", "year", "quarter", "month"), "time_key")
+    per_merchant = _payment_sums(months, "year", "quarter", "month", "branch_key", "channel_key", "merchant_key")
+    merchants = dim_merchant.select("merchant_key", "merchant_category")
+    per_category = _payment_sums(
+        per_merchant.join(merchants, "merchant_key"),
+        "year", "quarter", "month", "merchant_category", "branch_key", "channel_key",
+    )
+    named = per_category.join(dim_branch.select("branch_key", "region_name"), "branch_key").join(
+        dim_channel.select("channel_key", "channel_name"), "channel_key"
     )
     return (
-        per_merchant.join(dim_merchant.select("merchant_key", "merchant_category"), "merchant_key")
-        .groupBy("year", "quarter", "month", "merchant_category", "channel_name", "region_name")
-        .agg(
-            _total("txn_count"), _total("gross_amount"), _total("total_fee"),
-            _total("total_refund"), _total("net_revenue"),
-        )
+        _payment_sums(named, "year", "quarter", "month", "merchant_category", "channel_name", "region_name")
         .withColumn("fee_rate_pct", safe_ratio_pct(F.col("total_fee"), F.col("gross_amount"), 3))
         .orderBy("year", "month")
     )

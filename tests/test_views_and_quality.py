@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +60,25 @@ def test_wallet_volume(spark, dims_of):
     ]
 
 
+def test_payments_meet_channels_and_branches_as_sums(spark, rows):
+    """Few keys, few tasks: joined before the sums, channels would put all days into as many tasks."""
+    day = [(t, b, c, m, 1, *map(Decimal, (10, 1, 0, 9))) for t in (1, 2) for b in (1, 2) for c in (1, 2, None) for m in (1, 2, 9)]
+    days = spark.createDataFrame(
+        day, "time_key bigint, branch_key bigint, channel_key bigint, merchant_key bigint, txn_count bigint, "
+        "gross_amount decimal(28,2), total_fee decimal(28,2), total_refund decimal(28,2), net_revenue decimal(28,2)")
+    time = spark.createDataFrame([(1, 2024, 1, 1), (2, 2024, 1, 1)], "time_key bigint, year int, quarter int, month int")
+    merchants = spark.createDataFrame([(1, "A"), (2, None)], "merchant_key bigint, merchant_category string")
+    channels = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x")], "channel_key bigint, channel_name string")
+    branches = spark.createDataFrame([(1, "N"), (2, "N")], "branch_key bigint, region_name string")
+    found = views.payment_of_days(days, time, merchants, channels, branches)
+    seen = [(r.merchant_category, r.channel_name, r.region_name, r.txn_count, float(r.gross_amount)) for r in found.collect()]
+    assert sorted(seen, key=str) == sorted(
+        [(c, n, "N", k, 10.0 * k) for c in ("A", None) for n, k in (("x", 8), ("y", 4))], key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line.split("(")[1].split("#")[0] for line in plan.splitlines() if "Join Inner" in line]
+    assert joins == ["channel_key", "branch_key", "merchant_key", "time_key"]  # the last one first
+
+
 def test_segments_of_current_customers_only(spark, dims_of):
     debt = fact(spark, "star.fact_debt_status", [(2, 1, 1, 100.0, "NPL", 95)] * 2 + [(4, 1, 1, 7.0, "NPL", 9)], DEBT)
     wallet = fact(spark, "star.fact_ewallet_transaction", [(2, 5.0)], "customer_key long, txn_amount double")
