@@ -3,6 +3,7 @@ import os
 
 import pytest
 
+from ledgerloom import catalogue
 from ledgerloom.sources import files, readers
 from ledgerloom.streaming import feed, landing
 from ledgerloom.streaming.landing import dead_letter_sink, dead_letters, folder_sink, landed, start_landing
@@ -79,6 +80,18 @@ def test_the_feed_keeps_the_newest_over_batches_and_replays(spark, tmp_path):
     assert feed.latest(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_texts_for_a_stream_are_compressed_files_of_few_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue, "TEXT_ROWS", 10)
+    raw = spark.range(0, 100, 1, 2).selectExpr("concat('{\"event_id\":\"', id, '\", \"currency\":\"', repeat('x', 300), '\"}') AS value")
+    catalogue._write_texts(raw, f"{tmp_path}/in")
+    texts = [n for n in os.listdir(f"{tmp_path}/in") if n.startswith("part-")]
+    assert len(texts) == 10 and all(n.endswith(".txt.lz4") for n in texts)
+    start_landing(
+        readers.file_events(spark, f"{tmp_path}/in", 4), f"{tmp_path}/checkpoint", folder_sink(f"{tmp_path}/out"),
+        available_now=True).awaitTermination()
+    assert sorted(int(r.event_id) for r in landed(spark, f"{tmp_path}/out").collect()) == list(range(100))
+
+
 HEADER = "id,one,two,three,four\n"
 
 
