@@ -47,6 +47,7 @@ RATE = 0.1
 BATCH = 1 << 14  # words
 FAN_IN = 64
 BLOCKS = 64
+SAFE = 60  # logits up to it are exponentiated as they are
 KEPT = 200_000  # distinct words that a task counts before it passes them on
 NANO = 1_000_000_000  # shares are whole billionths of a nat, so that their sums do not depend on an order
 NEVER = -1e9  # log-probability of a unit without words
@@ -74,7 +75,9 @@ def tokens(text: str) -> list[bytes]:
 
 
 def in_units(words: list[bytes], known: Vocabulary) -> np.ndarray:
-    return np.fromiter(map(known.units.__getitem__, words), np.uint16, len(words))
+    listed, heads = known.units.get, known.units.heads
+    shared = UNITS - heads  # as in ``Units``, without a call for each of its words
+    return np.array([heads + crc32(w) % shared if (unit := listed(w)) is None else unit for w in words], np.uint16)
 
 
 def _log_totals(totals: np.ndarray) -> np.ndarray:
@@ -93,18 +96,30 @@ def initial(totals: np.ndarray) -> np.ndarray:
     ]).astype(np.float32)
 
 
+def _settled(logits: np.ndarray) -> np.ndarray:
+    """The logits, less the highest of their row unless all rows can do without."""
+    if logits.max() > SAFE or logits[:, 0].min() < -SAFE:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
+
+def _row_sums(values: np.ndarray) -> np.ndarray:
+    return values @ np.ones(values.shape[1], values.dtype)
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    np.exp(_settled(logits), out=logits)
+    logits /= _row_sums(logits)[:, None]
     return logits
 
 
 def _log_part(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The log-probability of one column of each row."""
-    logits -= logits.max(axis=1, keepdims=True)
-    chosen = logits[np.arange(len(wanted)), wanted]
-    return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+    """The log-probability of one column of each row; exact also where it is close to 0."""
+    logits -= logits[np.arange(len(wanted)), wanted][:, None]
+    high = logits.max(axis=1) if logits.max() > SAFE else np.zeros(len(wanted), logits.dtype)
+    if high.any():
+        logits -= high[:, None]
+    return -(high + np.log(_row_sums(np.exp(logits, out=logits))))
 
 
 def _segments(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,6 +128,12 @@ def _segments(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
 
 
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where each value of a sorted array begins and ends."""
+    ends = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(ends, ends[1:]))
+
+
 class Network:
     """Two context words on each side, a hidden layer, a class and a unit of it."""
 
@@ -127,21 +148,23 @@ class Network:
         self.seen = [np.full_like(p, 1e-6) for p in (self.out, self.bias, self.unit_out, self.unit_bias)]
 
     def hidden(self, contexts: list[np.ndarray]) -> np.ndarray:
-        total = self.embed[0][contexts[0]]
+        total = self.embed[0].take(contexts[0], axis=0)
         for side, ids in zip(self.embed[1:], contexts[1:], strict=True):
-            total += side[ids]
-        return np.tanh(total)
+            total += side.take(ids, axis=0)
+        return np.tanh(total, out=total)
 
     def classes(self, hidden: np.ndarray) -> np.ndarray:
         """Logits of all classes."""
-        return hidden @ self.out + self.bias
+        logits = hidden @ self.out
+        logits += self.bias
+        return logits
 
     def members(self, hidden: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Logits of the units in the class of each row; ``classes`` is sorted."""
-        logits = self.unit_bias[classes]
-        _, first = _segments(classes)
-        for a, b in zip(first, [*first[1:], len(classes)], strict=True):
-            logits[a:b] += hidden[a:b] @ self.unit_out[classes[a]]
+        logits = np.empty((len(classes), MEMBERS), np.float32)
+        for a, b in _runs(classes):
+            np.matmul(hidden[a:b], self.unit_out[classes[a]], out=logits[a:b])
+            logits[a:b] += self.unit_bias[classes[a]]
         return logits
 
     def log_probabilities(self, contexts: list[np.ndarray], units: np.ndarray) -> np.ndarray:
@@ -164,23 +187,26 @@ class Network:
         inner = _softmax(self.members(hidden, targets))
         inner[at, units % MEMBERS] -= 1
         back = error @ self.out.T
-        _, first = _segments(targets)
-        found, unit_out = targets[first], np.empty((len(first), WIDTH, MEMBERS), np.float32)
-        for k, (a, b) in enumerate(zip(first, [*first[1:], len(units)], strict=True)):
+        runs = _runs(targets)
+        found, one = targets[[a for a, _ in runs]], np.ones(len(units), np.float32)
+        unit_out = np.empty((len(runs), WIDTH, MEMBERS), np.float32)
+        unit_bias = np.empty((len(runs), MEMBERS), np.float32)
+        for k, (a, b) in enumerate(runs):
             back[a:b] += inner[a:b] @ self.unit_out[found[k]].T
-            unit_out[k] = hidden[a:b].T @ inner[a:b]
+            np.matmul(hidden[a:b].T, inner[a:b], out=unit_out[k])
+            np.matmul(one[a:b], inner[a:b], out=unit_bias[k])
         back *= 1 - hidden * hidden
         every = slice(None)
         for value, seen, rows, gradient in zip(
             (self.out, self.bias, self.unit_out, self.unit_bias), self.seen, (every, every, found, found),
-            (hidden.T @ error, error.sum(axis=0), unit_out, np.add.reduceat(inner, first, axis=0)), strict=True,
+            (hidden.T @ error, one @ error, unit_out, unit_bias), strict=True,
         ):
             seen[rows] += gradient * gradient
             value[rows] -= RATE * gradient / np.sqrt(seen[rows])
         for side, seen, ids in zip(self.embed, self.embed_seen, contexts, strict=True):
             order, first = _segments(ids)
             rows = ids[order][first]
-            gradient = np.add.reduceat(back[order], first, axis=0)
+            gradient = np.add.reduceat(back.take(order, axis=0), first, axis=0)
             seen[rows] += (gradient * gradient).mean(axis=1, keepdims=True)
             side[rows] -= RATE * gradient / np.sqrt(seen[rows])
 

@@ -140,3 +140,27 @@ def test_odd_rows(spark):
     assert rows[0].log_likelihood == 0 and rows[0].mean_log_likelihood is None
     assert rows[2].log_likelihood == rows[3].log_likelihood < 0
     assert lm.pseudo_likelihood(frame(spark, [None]).limit(0)).collect() == []
+
+
+def test_probabilities_hold_for_logits_of_any_size():
+    for low, high in ((-5, 5), (-3000, -2000), (2000, 3000), (-1e9, 0)):
+        logits = np.random.default_rng(3).uniform(low, high, (50, lm.CLASSES)).astype(np.float32)
+        wanted = np.arange(50) % lm.CLASSES
+        exact = logits.astype(float) - logits.max(axis=1, keepdims=True)
+        exact -= np.log(np.exp(exact).sum(axis=1, keepdims=True))
+        assert np.allclose(lm._log_part(logits.copy(), wanted), exact[np.arange(50), wanted], rtol=1e-4, atol=1e-3)
+        assert np.allclose(lm._softmax(logits.copy()), np.exp(exact), atol=1e-4)
+
+
+def test_the_highest_logit_is_looked_for_only_where_it_matters():
+    usual = np.zeros((4, lm.CLASSES), np.float32)
+    usual[:, 0] = 9
+    assert lm._settled(usual)[0, 0] == 9
+    usual[2, 5] = 500
+    assert lm._settled(usual)[:, 0].tolist() == [0, 0, -491, 0]
+
+
+def test_units_of_words_do_not_depend_on_how_they_are_looked_up():
+    known = lm.Vocabulary(lm.Units([b"a", b"b"], 2), np.ones(lm.UNITS))
+    words = [b"a", b"zz", b"b", b"", b"yy"]
+    assert lm.in_units(words, known).tolist() == [known.units[w] for w in words]
