@@ -49,6 +49,17 @@ def left_lookup(
     )
 
 
+def member_lookup(facts: DataFrame, dim: DataFrame, key: str, unknown: int) -> DataFrame:
+    """Inner join on a surrogate key that many facts share, that of the unknown member.
+
+    Its one row goes to the facts that point at it, which are read once more but
+    not shuffled; only the others are joined by key.
+    """
+    known = facts.where(F.col(key) != unknown).join(dim.where(F.col(key) != unknown), key)
+    return known.unionByName(
+        facts.where(F.col(key) == unknown).join(F.broadcast(dim.where(F.col(key) == unknown)), key))
+
+
 def full_outer_on_key(
     left: DataFrame, right: DataFrame, key: str, left_id: list[str], right_id: list[str]
 ) -> DataFrame:

@@ -37,10 +37,11 @@ def realtime_facts(
     rows = events if ds is None else events.where(on_day("timestamp", ds))
     rows = rows.withColumn("natural_id", natural_id(EVENT_SOURCES))
     bridge = natural_id_bridge(dim_customer, "customer_sk", CUSTOMER_SOURCES)
-    rows = left_lookup(rows, bridge, "natural_id", ["event_id"], also=["source_system"])
+    # merchants are few: their key, and not the name, goes through the shuffle by customer
     rows = left_lookup(
         rows, dim_merchant.select("merchant_name", "merchant_sk"), "merchant_name", ["event_id"]
     )
+    rows = left_lookup(rows, bridge, "natural_id", ["event_id"], also=["source_system"])
     return schemas.conform(
         rows.select(
             _known("customer_sk"), _known("merchant_sk"),

@@ -161,3 +161,22 @@ def test_the_calendar_grows_and_star_days_are_replaced(warehouse):
     assert [(r.customer_key, r.merchant_key, r.branch_key, str(r.refund_amount)) for r in pay] == [(3, 9, 7, "0.00")]
     with pytest.raises(ValueError):
         daily.run_star_day(w, "2030-01-01")
+
+
+def test_facts_without_a_timestamp_are_looked_for_in_their_partition(warehouse, plan_of):
+    w = warehouse
+    daily.run_daily(w, DAY)
+    plan = plan_of(daily._broken(w.stored("mdm.fact_enterprise_transaction")))
+    assert "PartitionFilters: [isnull(trans_date" in plan
+
+
+def test_a_load_of_events_is_not_shuffled(warehouse):
+    w = warehouse
+    events = w.table("public.realtime_transactions")
+    twice = events.unionByName(events.withColumn("event_id", F.concat("event_id", F.lit("x")))).repartition(4, "event_id")
+    tasks = {r[0] for r in twice.select(F.spark_partition_id()).distinct().collect()}
+    w.reload("public.realtime_transactions", twice)
+    landed = w.table("public.realtime_transactions")
+    assert landed.count() == 6
+    files = {r[0] for r in landed.select(F.input_file_name()).distinct().collect()}
+    assert len(files) == len(tasks) > 1 and all(".zstd." in f for f in files)

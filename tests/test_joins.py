@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.joins import (
     full_outer_on_key,
     left_lookup,
+    member_lookup,
     natural_id,
     natural_id_bridge,
     with_constant_match,
@@ -145,3 +146,17 @@ def test_full_outer_shuffles_the_left_side_once(spark):
     finally:
         for key in keys:
             spark.conf.unset(key)
+
+
+def test_facts_of_the_unknown_member_are_not_shuffled(spark, rows, plan_of):
+    facts = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "d"), (9, "e"), (None, "f")], "sk long, fact string")
+    dim = spark.createDataFrame([(1, "N/A"), (2, "x"), (3, "y")], "sk long, name string")
+    joined = member_lookup(facts, dim, "sk", 1)
+    assert rows(joined) == rows(facts.join(dim, "sk"))
+    plain = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(member_lookup(facts, dim, "sk", 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", plain)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
