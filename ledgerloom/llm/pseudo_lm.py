@@ -19,16 +19,17 @@ nothing grows with the number of tasks but the number of groups.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
-from itertools import compress
+from functools import cached_property
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import fresh, ship, text_of, without
@@ -48,7 +49,8 @@ BATCH = 1 << 14  # words
 FAN_IN = 64
 BLOCKS = 64
 SAFE = 60  # logits up to it are exponentiated as they are
-KEPT = 200_000  # distinct words that a task counts before it passes them on
+KEPT = 1_000_000  # words that a task holds before it counts them and passes the counts on
+HASHED = "64m"  # of a partition of words, as shuffled, that a join holds in a hash table
 NANO = 1_000_000_000  # shares are whole billionths of a nat, so that their sums do not depend on an order
 NEVER = -1e9  # log-probability of a unit without words
 
@@ -69,15 +71,36 @@ class Vocabulary:
     units: Units  # of the heads
     totals: np.ndarray  # words of the corpus in each unit
 
+    @cached_property
+    def listed(self) -> pa.Array:
+        """The heads in the order of their units."""
+        return pa.array(list(self.units), pa.binary())
+
 
 def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8").split()
 
 
-def in_units(words: list[bytes], known: Vocabulary) -> np.ndarray:
-    listed, heads = known.units.get, known.units.heads
-    shared = UNITS - heads  # as in ``Units``, without a call for each of its words
-    return np.array([heads + crc32(w) % shared if (unit := listed(w)) is None else unit for w in words], np.uint16)
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``tokens`` of all texts in one array, and how many of them each text has."""
+    lists = pc.ascii_split_whitespace(texts)
+    words, ends = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy()
+    held = pc.binary_length(words).to_numpy() > 0  # white space at an end leaves an empty one
+    kept_before = np.append(0, np.cumsum(held))
+    return words.filter(pa.array(held)), np.diff(kept_before[ends])
+
+
+def in_units(words: pa.Array | list[bytes], known: Vocabulary) -> np.ndarray:
+    words, heads = pa.array(words, pa.binary()) if isinstance(words, list) else words, known.units.heads
+    places = pc.index_in(words, value_set=known.listed)
+    units, rest = places.fill_null(0).to_numpy().astype(np.uint16), places.is_null()
+    hashes = np.fromiter(map(crc32, words.filter(rest).to_numpy(zero_copy_only=False)), np.int64)
+    units[rest.to_numpy(zero_copy_only=False)] = heads + hashes % (UNITS - heads)  # as in ``Units``
+    return units
+
+
+def _by_text(values: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    return np.split(values, np.cumsum(lengths)[:-1]) if len(lengths) else []
 
 
 def _log_totals(totals: np.ndarray) -> np.ndarray:
@@ -248,16 +271,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
+            total = pc.value_counts(pa.chunked_array(held, pa.binary()))
+            return pa.RecordBatch.from_arrays([total.field(0), total.field(1)], names=["word", "n"])
 
-        total = Counter()
+        held, n = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(tokens(text))
-                if len(total) > KEPT:
-                    yield counted()
-                    total = Counter()
+            held.append(words_of(batch.column(0))[0])
+            n += len(held[-1])
+            if n > KEPT:
+                yield counted()
+                held, n = [], 0
         yield counted()
 
     return stored(texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -290,8 +313,8 @@ def _trained(parameters: np.ndarray, known: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, n = Network(parameters), 0
         for batch in batches:
-            texts = [in_units(tokens(t), known) for t in batch.column(0).to_pylist()]
-            for group in _grouped(texts):
+            words, lengths = words_of(batch.column(0))
+            for group in _grouped(_by_text(in_units(words, known), lengths)):
                 for contexts, units, _ in examples(group):
                     network.train(contexts, units)
                     n += len(units)
@@ -353,23 +376,36 @@ def score_units(texts: list[np.ndarray], network: Network) -> np.ndarray:
 SCORED = "n long, units double, rare array<struct<word: binary, times: long>>"
 
 
-def _scored(texts: list[str], known: Vocabulary, network: Network) -> pa.StructArray:
+def _scored(texts: pa.Array, known: Vocabulary, network: Network) -> pa.StructArray:
     """For each text its length, the sum over its units, and its words that share a unit."""
-    words = [tokens(t) for t in texts]
-    units = [in_units(w, known) for w in words]
-    sums = np.round(score_units(units, network), 3)  # single precision depends on the place in a batch
-    starts, rare, times = [0], [], []
-    for each, ids in zip(words, units, strict=True):
-        counted = Counter(compress(each, (ids >= known.units.heads).tolist()))
-        rare += counted
-        times += counted.values()
-        starts.append(len(rare))
-    pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], names=["word", "times"])
+    words, lengths = words_of(texts)
+    units = in_units(words, known)
+    sums = np.round(score_units(_by_text(units, lengths), network), 3)  # single precision depends on the place in a batch
+    shared = units >= known.units.heads
+    rare = words.filter(pa.array(shared)).dictionary_encode()
+    size = max(1, len(rare.dictionary))
+    numbers = np.repeat(np.arange(len(lengths)), lengths)[shared]
+    pairs, times = np.unique(numbers * size + rare.indices.to_numpy(), return_counts=True)
+    starts = np.searchsorted(pairs, np.arange(len(lengths) + 1) * size).astype(np.int32)
+    found = pa.StructArray.from_arrays(
+        [rare.dictionary.take(pa.array(pairs % size)), pa.array(times, pa.int64())], names=["word", "times"])
     return pa.StructArray.from_arrays(
-        [pa.array([len(w) for w in words], pa.int64()), pa.array(sums), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs)],
+        [pa.array(lengths, pa.int64()), pa.array(sums), pa.ListArray.from_arrays(pa.array(starts), found)],
         names=["n", "units", "rare"])
 
 
+@contextmanager
+def _hash_joins(spark: SparkSession) -> Iterator[None]:
+    """A shuffled join sorts neither side if all partitions of one are small enough for a hash table."""
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, HASHED)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def pseudo_likelihood(
     docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, kept: tuple[str, ...] | None = None
 ) -> DataFrame:
@@ -393,7 +429,7 @@ def pseudo_likelihood(
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         network = Network(parameters)
         for batch in batches:
-            yield _scored(batch.to_pylist(), known, network)
+            yield _scored(batch, known, network)
 
     # stored, so that the numbers of the rows hold for both reads
     done = stored(docs.select(
@@ -404,6 +440,8 @@ def pseudo_likelihood(
         .groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("total"))
         .select(F.col("row").alias(row), F.col("total").alias(total))
     )
+    with _hash_joins(docs.sparkSession):
+        shared = stored(shared, "shared")
     likelihood = F.col(f"{found}.units") + F.coalesce(F.col(total), F.lit(0)) / NANO
     return done.join(shared, row, "left").select(
         *[F.col(f"`{c}`") for c in columns], F.col(f"{found}.n").alias("n_tokens"),

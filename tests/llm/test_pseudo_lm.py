@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerloom.llm import pseudo_lm as lm
 
@@ -164,3 +165,58 @@ def test_units_of_words_do_not_depend_on_how_they_are_looked_up():
     known = lm.Vocabulary(lm.Units([b"a", b"b"], 2), np.ones(lm.UNITS))
     words = [b"a", b"zz", b"b", b"", b"yy"]
     assert lm.in_units(words, known).tolist() == [known.units[w] for w in words]
+
+
+def test_words_of_many_texts_are_their_tokens():
+    texts = ["a b", "", " ", "\t a\r\n", "b\x0b\x0c c  d ", " e\u0085 f\x1cg h", "a" * 300]
+    words, lengths = lm.words_of(pa.array(texts))
+    assert words.to_pylist() == [w for t in texts for w in lm.tokens(t)]
+    assert lengths.tolist() == [len(lm.tokens(t)) for t in texts]
+    words, lengths = lm.words_of(pa.array(texts)[2:5])
+    assert words.to_pylist() == [b"a", b"b", b"c", b"d"] and lengths.tolist() == [0, 1, 3]
+    assert [len(x) for x in lm.words_of(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_units_of_words(monkeypatch):
+    texts = sentences(20)
+    known, _ = some_vocabulary(texts, monkeypatch, 20)
+    for words in ([*lm.tokens(texts[0]), b"nowhere", b""], [b"nowhere"], []):
+        expected = [known.units[w] for w in words]
+        assert lm.in_units(words, known).tolist() == lm.in_units(pa.array(words, pa.binary()), known).tolist() == expected
+    known = lm.Vocabulary(lm.Units([], 20), np.zeros(lm.UNITS))
+    assert lm.in_units([b"x"], known).tolist() == [known.units[b"x"]]
+
+
+def test_words_that_share_a_unit_are_counted_by_text(monkeypatch):
+    texts = ["", "x a x y", " ", "a", "y y x", ""]
+    known, _ = some_vocabulary(["a a a b b x y"], monkeypatch)
+    found = lm._scored(pa.array(texts), known, lm.Network(lm.initial(known.totals))).to_pylist()
+    assert [r["n"] for r in found] == [len(t.split()) for t in texts]
+    assert [{p["word"]: p["times"] for p in r["rare"]} for r in found] == [
+        Counter(w for w in lm.tokens(t) if w not in known.units) for t in texts]
+
+
+def test_words_meet_their_shares_without_a_sort(spark, monkeypatch):
+    plans, write = {}, lm.stored
+
+    def stored(df, label):
+        if label == "shared":
+            df.collect()
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label)
+
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before, old = spark.conf.get(name), [spark.conf.get(n) for n in names]
+    monkeypatch.setattr(lm, "stored", stored)
+    monkeypatch.setattr(lm, "HEADS", 2)
+    try:
+        for n, value in zip(names, ("-1", "true"), strict=True):
+            spark.conf.set(n, value)
+        rows = lm.pseudo_likelihood(frame(spark, sentences(30)), rounds=1).collect()
+    finally:
+        for n, value in zip(names, old, strict=True):
+            spark.conf.set(n, value)
+    final = plans["shared"].split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+    assert len(rows) == 30 and spark.conf.get(name) == before
