@@ -373,25 +373,19 @@ def score_units(texts: list[np.ndarray], network: Network) -> np.ndarray:
     return np.concatenate(sums)
 
 
-SCORED = "n long, units double, rare array<struct<word: binary, times: long>>"
+SCORED = "n long, units double, rare array<binary>"
 
 
 def _scored(texts: pa.Array, known: Vocabulary, network: Network) -> pa.StructArray:
-    """For each text its length, the sum over its units, and its words that share a unit."""
+    """For each text its length, the sum over its units, and its words that share a unit, each as often as it occurs."""
     words, lengths = words_of(texts)
     units = in_units(words, known)
     sums = np.round(score_units(_by_text(units, lengths), network), 3)  # single precision depends on the place in a batch
     shared = units >= known.units.heads
-    rare = words.filter(pa.array(shared)).dictionary_encode()
-    size = max(1, len(rare.dictionary))
-    numbers = np.repeat(np.arange(len(lengths)), lengths)[shared]
-    pairs, times = np.unique(numbers * size + rare.indices.to_numpy(), return_counts=True)
-    starts = np.searchsorted(pairs, np.arange(len(lengths) + 1) * size).astype(np.int32)
-    found = pa.StructArray.from_arrays(
-        [rare.dictionary.take(pa.array(pairs % size)), pa.array(times, pa.int64())], names=["word", "times"])
-    return pa.StructArray.from_arrays(
-        [pa.array(lengths, pa.int64()), pa.array(sums), pa.ListArray.from_arrays(pa.array(starts), found)],
-        names=["n", "units", "rare"])
+    ends = np.append(0, np.cumsum(lengths))
+    starts = np.append(0, np.cumsum(shared))[ends].astype(np.int32)
+    rare = pa.ListArray.from_arrays(pa.array(starts), words.filter(pa.array(shared)))
+    return pa.StructArray.from_arrays([pa.array(lengths, pa.int64()), pa.array(sums), rare], names=["n", "units", "rare"])
 
 
 @contextmanager
@@ -436,8 +430,8 @@ def pseudo_likelihood(
         *[F.col(f"`{c}`") for c in columns], score(text_of(text_col)).alias(found),
         F.monotonically_increasing_id().alias(row)), "scored")
     shared = (
-        done.select(F.col(row).alias("row"), F.inline(f"{found}.rare")).join(shares, "word")
-        .groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("total"))
+        done.select(F.col(row).alias("row"), F.explode(f"{found}.rare").alias("word")).join(shares, "word")
+        .groupBy("row").agg(F.sum("share").alias("total"))
         .select(F.col("row").alias(row), F.col("total").alias(total))
     )
     with _hash_joins(docs.sparkSession):

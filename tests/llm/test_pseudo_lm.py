@@ -192,7 +192,7 @@ def test_words_that_share_a_unit_are_counted_by_text(monkeypatch):
     known, _ = some_vocabulary(["a a a b b x y"], monkeypatch)
     found = lm._scored(pa.array(texts), known, lm.Network(lm.initial(known.totals))).to_pylist()
     assert [r["n"] for r in found] == [len(t.split()) for t in texts]
-    assert [{p["word"]: p["times"] for p in r["rare"]} for r in found] == [
+    assert [Counter(r["rare"]) for r in found] == [
         Counter(w for w in lm.tokens(t) if w not in known.units) for t in texts]
 
 
